@@ -258,9 +258,9 @@ QUERIES = {
         rows as (select playlist_name, track_id, genre_name, mediatype_name
                  from shop_playlist left join (select trackid as track_id, genre_name, mediatype_name from shop_track)
                  using (track_id)),
-        genres as (select playlist_name, genre_name from rows group by all
+        genres as (select playlist_name, genre_name from rows group by 1, 2
                    qualify rank() over (partition by playlist_name order by count(genre_name) desc) = 1),
-        media as (select playlist_name, mediatype_name from rows group by all
+        media as (select playlist_name, mediatype_name from rows group by 1, 2
                   qualify rank() over (partition by playlist_name order by count(mediatype_name) desc) = 1),
         sold as (select playlist_name, count(lines.track_id) * 100 // count(p.track_id) as pct
                  from shop_playlist p left join lines on lines.track_id = p.track_id group by 1)
