@@ -6,6 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast if a count finds at most ``rows`` rows; else leave the join to Catalyst.
+
+    The count stops at the limit. Meant for landed or otherwise cheap frames.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def _keys(other: DataFrame, on: dict[str, str]) -> DataFrame:
     # distinct is combined before its shuffle, so a hot key arrives as one row per task
     return other.select(*(F.col(theirs).alias(ours) for ours, theirs in on.items())).distinct()

@@ -6,10 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunehouse.functions.numbers import int_div
+from tunehouse.operators.joins import BROADCAST_ROWS
 from tunehouse.session import land
 
-BROADCAST_ROWS = 100_000
-
 
 def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
     """The first ``k`` rows in ``order``; each task keeps only its own best ``k``."""
@@ -75,8 +74,11 @@ def position_in_group(
     """
     sub = [lead] if lead else []
     keys = [*group, *sub, "_block"]
-    local = df.withColumn("_block", int_div(F.col(key), block)).withColumn(
-        "_local", F.row_number().over(Window.partitionBy(*keys).orderBy(key))
+    # the explicit shuffle keeps a partitioning by the whole group, left by an earlier join, from being reused
+    local = (
+        df.withColumn("_block", int_div(F.col(key), block))
+        .repartition(*keys)
+        .withColumn("_local", F.row_number().over(Window.partitionBy(*keys).orderBy(key)))
     )
     earlier = (
         Window.partitionBy(*group)

@@ -55,8 +55,7 @@ def genre_share(
     )
     revenue = F.col("_price") * F.col("_tiers")
     return (
-        F.broadcast(tiers)
-        .join(by_genre, "country", "left")
+        tiers.join(by_genre, "country", "left")
         .select(
             "country",
             F.dense_rank()
@@ -137,6 +136,6 @@ def manager_share(
         .agg(F.coalesce(F.sum("_spent"), F.lit(0)).cast("decimal(30,2)").alias("total_by_managers"))
     )
     share = F.col("total_by_managers").cast("double") * 100 / F.nullif(F.col("total_sales").cast("double"), F.lit(0.0))
-    return F.broadcast(top).join(by_country, "country", "left").select(
+    return top.join(by_country, "country", "left").select(
         "country", "total_sales", "total_by_managers", round_half_even(share).alias("percentege_of_managers_sales")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tunehouse.functions.numbers import whole_percent_text
 from tunehouse.operators.ranking import group_best, top_k
 from tunehouse.operators.sets import union_all
+from tunehouse.session import land
 
 
 def load_counts(dim_playlist: DataFrame) -> DataFrame:
@@ -58,7 +59,8 @@ def breakdown(dim_playlist: DataFrame, dim_track: DataFrame, fact_invoiceline: D
         dim_track.select(F.col("trackid").alias("track_id"), "genre_name", "mediatype_name")
         .join(sold, "track_id", "full")
     )
-    parts = (
+    # one row per playlist, genre and media type; landed because three results come from it
+    parts = land(
         dim_playlist.select("playlist_name", "track_id")
         .join(facts, "track_id", "left")
         .groupBy("playlist_name", "genre_name", "mediatype_name")
@@ -66,7 +68,8 @@ def breakdown(dim_playlist: DataFrame, dim_track: DataFrame, fact_invoiceline: D
             F.count(F.lit(1)).alias("_rows"),
             F.sum(F.coalesce("_sold", F.lit(0))).alias("_sold"),
             F.sum(F.when(F.col("track_id").isNotNull(), F.greatest(F.coalesce("_sold", F.lit(0)), F.lit(1)))).alias("_joined"),
-        )
+        ),
+        "playlist-parts",
     )
 
     def leading(column: str) -> DataFrame:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tunehouse.operators.joins import broadcast_if_small
 from tunehouse.operators.ranking import group_top_n, position_in_group
 from tunehouse.session import land
 
+MASK_BITS = 62  # candidates per genre kept in a BIGINT mask; more are handled one by one
+
 
 def ordered_tracks(dim_customer: DataFrame, fact_invoice: DataFrame, fact_invoiceline: DataFrame) -> DataFrame:
     """How often each customer ordered each track: ``customerid, track_id, orders``."""
@@ -57,74 +60,82 @@ def recommend(
     genres. With ``fill_single_genre`` a customer of a single genre gets the
     other genres' share from it too.
 
-    No customer is paired with all tracks of a genre. Number the candidates of a
-    genre 1, 2, 3, … and let p(1) < p(2) < … be the numbers a customer already
-    ordered. Before p(i) lie p(i) - i tracks not ordered, so the j-th track not
-    ordered has the number j + count of i with p(i) - i < j. That takes one count
-    per customer, genre and j, and one look-up by (genre, number).
+    No customer is paired with all tracks of a genre. The candidates of a genre
+    are numbered 1, 2, 3, … and wanted are the lowest numbers the customer does
+    not have. A bit mask of the first numbers, built in the aggregation that also
+    finds the genres, settles that for all but the customers who have nearly all
+    of those; ``_beyond_mask`` finds the numbers for these few.
     """
     if order not in ("track_id", "popularity"):
         raise ValueError(f"unknown order {order!r}")
-    genres = dim_track.filter(F.col("genre_name").isNotNull()).select(
-        F.col("trackid").alias("track_id"), "genre_name"
+    ordered = land(ordered_tracks(dim_customer, fact_invoice, fact_invoiceline), "ordered")
+    tracks = dim_track.filter(F.col("genre_name").isNotNull()).select(
+        F.col("trackid").alias("track_id"), "genre_name", "track_name"
     )
-    # both tables feed several branches below
-    ordered = land(ordered_tracks(dim_customer, fact_invoice, fact_invoiceline).join(genres, "track_id"), "ordered")
-    popularity = ordered.groupBy("genre_name", "track_id").agg(F.sum("orders").alias("_orders"))
+    popularity = ordered.groupBy("track_id").agg(F.sum("orders").alias("_orders")).join(tracks, "track_id")
     numbered = land(
         position_in_group(
             popularity, ["genre_name"], "track_id", "_number", lead="_orders" if order == "popularity" else None
         ),
         "numbered",
-    ).select("genre_name", "track_id", "_number")
+    ).drop("_orders")
 
     mine = ordered if customer_id is None else ordered.filter(F.col("customerid") == customer_id)
-    preferred = group_top_n(
-        mine.groupBy("customerid", "genre_name").agg(
-            F.sum("orders").alias("_orders"), F.count(F.lit(1)).alias("_known")
-        ),
-        n_genres,
-        ["customerid"],
-        F.desc("_orders"),
-        F.asc("genre_name"),
+    tagged = mine.join(numbered.select("track_id", "genre_name", "_number"), "track_id")
+    bit = F.when(F.col("_number") <= MASK_BITS, F.expr("shiftleft(1L, int(_number - 1))")).otherwise(0)
+    tastes = tagged.groupBy("customerid", "genre_name").agg(
+        F.sum("orders").alias("_orders"), F.count(F.lit(1)).alias("_known"), F.bit_or(bit).alias("_mask")
     )
-    most = per_genre * n_genres if fill_single_genre else per_genre
+    preferred = group_top_n(tastes, n_genres, ["customerid"], F.desc("_orders"), F.asc("genre_name"))
+    wanted = F.lit(per_genre)
     if fill_single_genre:
-        alone = preferred.groupBy("customerid").agg((F.count(F.lit(1)) == 1).alias("_alone"))
-        preferred = preferred.join(alone, "customerid").withColumn(
-            "_wanted", F.when(F.col("_alone"), F.lit(most)).otherwise(F.lit(per_genre))
-        )
-    else:
-        preferred = preferred.withColumn("_wanted", F.lit(per_genre))
-
-    # an ordered track only shifts the answer if at most `most` unordered ones precede it,
-    # and i never exceeds the number of tracks the customer knows in the genre
+        alone = F.count(F.lit(1)).over(Window.partitionBy("customerid")) == 1
+        wanted = F.when(alone, n_genres * per_genre).otherwise(per_genre)
+    preferred = land(preferred.withColumn("_wanted", wanted), "preferred")
+
+    free = F.filter(
+        F.sequence(F.lit(1).cast("bigint"), F.lit(MASK_BITS).cast("bigint")),
+        lambda number: F.getbit(F.col("_mask"), (number - 1).cast("int")) == 0,
+    )
+    masked = preferred.withColumn("_free", free)
+    picks = _look_up(
+        masked.filter(F.size("_free") >= F.col("_wanted")).select(
+            "customerid", "genre_name", F.explode(F.slice("_free", F.lit(1), F.col("_wanted"))).alias("_number")
+        ),
+        numbered.filter(F.col("_number") <= MASK_BITS),
+    )
+    crowded = masked.filter(F.size("_free") < F.col("_wanted")).drop("_free")
+    if not crowded.isEmpty():
+        picks = picks.unionByName(_look_up(_beyond_mask(crowded, tagged, n_genres * per_genre), numbered))
+    return picks.select("customerid", "track_id", "track_name", "genre_name")
+
+
+def _look_up(slots: DataFrame, numbered: DataFrame) -> DataFrame:
+    """The tracks at the wanted numbers. Few numbers are wanted very often, hence the broadcast where it fits."""
+    return slots.join(broadcast_if_small(numbered), ["genre_name", "_number"])
+
+
+def _beyond_mask(crowded: DataFrame, tagged: DataFrame, most: int) -> DataFrame:
+    """Lowest numbers missing from each customer's own, however many those are.
+
+    Let p(1) < p(2) < … be the numbers a customer has in a genre. Before p(i) lie
+    p(i) - i missing ones, so the j-th missing number is j + (count of i with
+    p(i) - i < j). Numbers of ``_known + most`` and more cannot be among those
+    counted, as i is at most ``_known``.
+    """
     near = (
-        mine.select("customerid", "track_id")
-        .join(numbered, "track_id")
-        .join(preferred.select("customerid", "genre_name", "_known"), ["customerid", "genre_name"])
+        tagged.select("customerid", "genre_name", "_number")
+        .join(broadcast_if_small(crowded.select("customerid", "genre_name", "_known")), ["customerid", "genre_name"])
         .filter(F.col("_number") < F.col("_known") + most)
-        .select("customerid", "genre_name", "_number")
-    )
-    shifted = position_in_group(near, ["customerid", "genre_name"], "_number", "_i")
-    shifts = shifted.groupBy("customerid", "genre_name").agg(
-        F.array(
-            *(F.count_if(F.col("_number") - F.col("_i") < j) for j in range(1, most + 1))
-        ).alias("_shift")
+        .drop("_known")
     )
-    slots = preferred.join(shifts, ["customerid", "genre_name"], "left").select(
-        "customerid",
-        "genre_name",
-        F.posexplode(
-            F.slice(
-                F.coalesce("_shift", F.array(*(F.lit(0).cast("bigint") for _ in range(most)))),
-                F.lit(1),
-                F.col("_wanted"),
-            )
-        ).alias("_j", "_skip"),
+    before = F.col("_number") - F.col("_i")
+    shifts = (
+        position_in_group(near, ["customerid", "genre_name"], "_number", "_i")
+        .groupBy("customerid", "genre_name")
+        .agg(F.array(*(F.count_if(before < j) + j for j in range(1, most + 1))).alias("_missing"))
     )
-    picks = slots.select("customerid", "genre_name", (F.col("_j") + 1 + F.col("_skip")).alias("_number")).join(
-        numbered, ["genre_name", "_number"]
+    missing = F.coalesce("_missing", F.array(*(F.lit(j).cast("bigint") for j in range(1, most + 1))))
+    return crowded.join(shifts, ["customerid", "genre_name"], "left").select(
+        "customerid", "genre_name", F.explode(F.slice(missing, F.lit(1), F.col("_wanted"))).alias("_number")
     )
-    names = dim_track.select(F.col("trackid").alias("track_id"), "track_name")
-    return picks.join(names, "track_id").select("customerid", "track_id", "track_name", "genre_name")
