@@ -58,12 +58,20 @@ def dim_customer(customer: DataFrame, columns: tuple[str, ...] = ()) -> DataFram
     return conform(rows, clone_schema(customer.schema, CUSTOMER_EXTRA), columns)
 
 
+def needs_department(columns: tuple[str, ...]) -> bool:
+    return not columns or bool({"department_name", "department_budget"} & set(columns))
+
+
+def needs_invoice(columns: tuple[str, ...]) -> bool:
+    return not columns or "line_total" in columns
+
+
 def dim_employee(
-    employee: DataFrame, department: DataFrame, as_of: datetime.date, columns: tuple[str, ...] = ()
+    employee: DataFrame, department: DataFrame | None, as_of: datetime.date, columns: tuple[str, ...] = ()
 ) -> DataFrame:
     """All staging columns plus department, years employed, manager flag and e-mail domain."""
     rows = employee
-    if not columns or {"department_name", "department_budget"} & set(columns):
+    if needs_department(columns):
         lookup = department.select(
             F.col("department_id").alias("departmentid"),
             "department_name",
@@ -136,12 +144,14 @@ def fact_invoice(invoice: DataFrame, columns: tuple[str, ...] = ()) -> DataFrame
     return conform(invoice, FACT_INVOICE, columns)
 
 
-def fact_invoiceline(invoiceline: DataFrame, invoice: DataFrame, columns: tuple[str, ...] = ()) -> DataFrame:
+def fact_invoiceline(
+    invoiceline: DataFrame, invoice: DataFrame | None, columns: tuple[str, ...] = ()
+) -> DataFrame:
     """Invoice lines. ``line_total`` repeats the invoice's total on each line: never add it up."""
     rows = invoiceline.withColumnsRenamed(
         {"invoicelineid": "invoiceline_id", "invoiceid": "invoice_id", "trackid": "track_id"}
     )
-    if not columns or "line_total" in columns:
+    if needs_invoice(columns):
         totals = invoice.select(F.col("invoiceid").alias("invoice_id"), F.col("total").alias("line_total"))
         rows = rows.join(totals, "invoice_id", "left")
     return conform(rows, FACT_INVOICELINE, columns)
@@ -161,7 +171,8 @@ class Warehouse:
         return dim_customer(self.staging.customer(), columns)
 
     def employee(self, *columns: str) -> DataFrame:
-        return dim_employee(self.staging.employee(), self.staging.department(), self.as_of, columns)
+        department = self.staging.department() if needs_department(columns) else None
+        return dim_employee(self.staging.employee(), department, self.as_of, columns)
 
     def track(self, *columns: str) -> DataFrame:
         s = self.staging
@@ -174,7 +185,8 @@ class Warehouse:
         return fact_invoice(self.staging.invoice(), columns)
 
     def invoiceline(self, *columns: str) -> DataFrame:
-        return fact_invoiceline(self.staging.invoiceline(), self.staging.invoice(), columns)
+        invoice = self.staging.invoice() if needs_invoice(columns) else None
+        return fact_invoiceline(self.staging.invoiceline(), invoice, columns)
 
     def currencies(self) -> DataFrame:
         return dim_currencies(self.staging.invoice(), self.staging.rates())

@@ -19,6 +19,9 @@ DEFAULTS = {
 }
 
 
+_local_roots: dict[str, str] = {}
+
+
 def build_session(app_name: str = "tunehouse", master: str | None = None, **extra: str) -> SparkSession:
     """A session with this library's defaults; ``extra`` wins over them."""
     builder = SparkSession.builder.appName(app_name)
@@ -47,9 +50,10 @@ def scratch_root(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="tunehouse-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _local_roots:
+        _local_roots[app] = tempfile.mkdtemp(prefix="tunehouse-")
+    return _local_roots[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

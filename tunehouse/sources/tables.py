@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table by path."""
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """A Parquet table by path; a known ``schema`` saves reading a file footer."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(path)
 
 
 def jdbc_options(

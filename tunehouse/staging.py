@@ -11,12 +11,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tunehouse.operators.ranking import with_global_position
 from tunehouse.session import land
 from tunehouse.sources.tables import read_table
 
+# per application: landed look-up lists by folder, and table schemas, so that no footer is read twice
 _landed: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_schemas: dict[tuple[str, str], StructType] = {}
 
 
 def text(column: Column | str) -> Column:
@@ -35,7 +38,10 @@ class Staging:
         self.sf_dir = sf_dir.rstrip("/")
 
     def source(self, name: str) -> DataFrame:
-        return read_table(self.spark, f"{self.sf_dir}/{name}.parquet")
+        key = (self.spark.sparkContext.applicationId, f"{self.sf_dir}/{name}.parquet")
+        rows = read_table(self.spark, key[1], _schemas.get(key))
+        _schemas[key] = rows.schema
+        return rows
 
     # ---- look-up lists
 
