@@ -1,0 +1,165 @@
+"""Files, tables and rates."""
+
+import datetime
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from tunehouse import session
+from tunehouse.operators.sets import union_all
+from tunehouse.plans.departments import load_department_budgets
+from tunehouse.schemas import DEPARTMENT, RATE_RESPONSE, SUB_BUDGET, clone_schema, columns, conform
+from tunehouse.schemas import LONG, TEXT
+from tunehouse.sinks import files as out
+from tunehouse.sinks import tables
+from tunehouse.sources import files, rates
+from tunehouse.sources.tables import jdbc_options
+
+
+@pytest.fixture
+def path(fixture_dir):
+    return lambda name: os.path.join(fixture_dir, name)
+
+
+def test_delimited(spark, path):
+    assert rows(files.read_delimited(spark, path("departments.txt"), DEPARTMENT)) == [
+        (10, "Front Desk"),
+        (20, "Warehouse"),
+        (30, "Repairs"),
+    ]
+
+
+def test_surplus_field_fails_instead_of_losing_text(spark, path):
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        files.read_delimited(spark, path("departments_with_dash.txt"), DEPARTMENT).collect()
+
+
+def test_json_lines(spark, path):
+    got = files.read_json_lines(spark, path("budgets.jsonl"), SUB_BUDGET)
+    assert got.count() == 4 and (9, "nobody", 99, 5000) in rows(got)
+
+
+def test_json_columns_with_missing_cell(spark, path):
+    assert rows(files.read_json_columns(spark, path("budgets_by_column.json"), SUB_BUDGET)) == [
+        (1, "bench", 30, 400),
+        (2, None, 30, 150),
+        (3, "spares", 20, 50),
+    ]
+
+
+def test_department_budgets(spark, path):
+    got = load_department_budgets(spark, path("departments.txt"), path("budgets.jsonl"), path("budgets_by_column.json"))
+    assert [(a, b, float(c)) for a, b, c in rows(got)] == [
+        (10, "Front Desk", 1000.0),
+        (20, "Warehouse", 1300.0),
+        (30, "Repairs", 550.0),
+    ]
+
+
+def test_rates(spark, path):
+    daily = rates.daily_rates(rates.read_rate_responses(spark, path("rates.jsonl")))
+    assert rows(daily) == [
+        (datetime.date(2024, 5, 2), 4.0, 1.25),
+        (datetime.date(2024, 5, 3), 4.1, None),
+        (datetime.date(2024, 5, 6), None, None),
+    ]
+
+
+def test_json_columns_round_trip_over_many_documents(spark, tmp_path):
+    df = spark.range(2500).select(
+        F.col("id").alias("sub_dep_id"),
+        F.when(F.col("id") % 7 != 0, F.concat(F.lit("n"), F.col("id"))).alias("sub_dep_name"),
+        (F.col("id") % 5).alias("department_id"),
+        (F.col("id") * 2).alias("budget"),
+    )
+    target = str(tmp_path / "columns")
+    out.write_json_columns(df, target, "sub_dep_id", rows_per_document=100)
+    assert spark.read.text(target).count() == 25
+    assert rows(files.read_json_columns(spark, target, SUB_BUDGET, one_per_line=True)) == rows(df)
+
+
+def test_csv_has_header_and_no_index(spark, tmp_path):
+    target = str(tmp_path / "csv")
+    out.write_csv(spark.createDataFrame([(1, "a,b")], "k int, v string").coalesce(1), target)
+    assert [r.value for r in spark.read.text(target).collect()] == ["k,v", '1,"a,b"']
+
+
+def test_refresh_replaces_rows_and_may_read_its_own_table(spark, tmp_path):
+    name = "refresh_test"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    first = tables.refresh_table(spark.range(5), name, str(tmp_path))
+    assert first.count() == 5
+    assert rows(tables.refresh_table(spark.table(name).filter("id > 2"), name, str(tmp_path))) == [(3,), (4,)]
+    tables.ensure_table(spark, name, spark.table(name).schema, str(tmp_path / "elsewhere"))
+    assert spark.table(name).count() == 2
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_clone_then_insert_fewer_columns_by_name(spark, tmp_path):
+    for name in ("clone_source", "clone_target"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    tables.ensure_table(spark, "clone_source", columns(id=LONG, name=TEXT), str(tmp_path / "a"))
+    tables.clone_table(spark, "clone_target", "clone_source", str(tmp_path / "b"), columns(email_domain=TEXT))
+    tables.insert_by_name(spark.createDataFrame([("x", 1)], "name string, id bigint"), "clone_target")
+    assert rows(spark.table("clone_target")) == [(1, "x", None)]
+    for name in ("clone_source", "clone_target"):
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_delete_keeps_null_ids(spark):
+    df = spark.createDataFrame([(8,), (9,), (None,)], "id int")
+    assert rows(tables.delete_where(df, F.col("id").isin(8, 10))) == [(9,), (None,)]
+
+
+def test_add_columns_and_conform(spark):
+    df = tables.add_columns(spark.range(1), columns(email_domain=TEXT))
+    assert df.schema == clone_schema(spark.range(1).schema, columns(email_domain=TEXT))
+    assert conform(spark.range(1), columns(ID=TEXT, other=LONG)).collect()[0].asDict() == {"ID": "0", "other": None}
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    left = tables.save_bucketed(spark.range(100).toDF("invoiceid"), "bucket_a", "invoiceid", 4, str(tmp_path / "a"))
+    right = tables.save_bucketed(spark.range(50).toDF("invoiceid"), "bucket_b", "invoiceid", 4, str(tmp_path / "b"))
+    joined = left.hint("merge").join(right, "invoiceid")
+    assert joined.count() == 50
+    assert "Exchange" not in joined._jdf.queryExecution().sparkPlan().toString()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+    for name in ("bucket_a", "bucket_b"):
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_union_fills_missing_columns(spark):
+    a, b = spark.createDataFrame([(1, "x")], "k int, v string"), spark.createDataFrame([(2,)], "k int")
+    assert rows(union_all(a, b)) == [(1, "x"), (2, None)]
+
+
+def test_jdbc_options_split_on_a_key():
+    options = jdbc_options("jdbc:x", "stg.invoice", user="u", key="invoiceid", bounds=(0, 100), partitions=8)
+    assert options["partitionColumn"] == "invoiceid" and options["numPartitions"] == "8" and "password" not in options
+    with pytest.raises(ValueError):
+        jdbc_options("jdbc:x", "t", key="id")
+
+
+def test_scratch_folder_comes_from_the_session(spark, monkeypatch):
+    class Conf:
+        def __init__(self, folder):
+            self.folder = folder
+
+        def get(self, key, default=None):
+            return self.folder if key == "spark.checkpoint.dir" else default
+
+    class Session:
+        def __init__(self, folder, master):
+            self.conf = Conf(folder)
+            self.sparkContext = type("C", (), {"master": master, "applicationId": "a"})
+
+    assert session.scratch_root(Session("hdfs://shared/", "yarn")) == "hdfs://shared"
+    with pytest.raises(RuntimeError):
+        session.scratch_root(Session(None, "yarn"))
+
+
+def test_response_schema_has_nested_mid():
+    assert RATE_RESPONSE["rates"].dataType.elementType.fieldNames() == ["mid"]
