@@ -17,7 +17,7 @@ from tunehouse.plans.currencies import convert, convert_at_default, currencies
 from tunehouse.plans.departments import load_department_budgets
 from tunehouse.plans.warehouse import Warehouse
 from tunehouse.schemas import DEPARTMENT, SUB_BUDGET
-from tunehouse.session import scratch_path, scratch_root
+from tunehouse.session import make_adaptive, scratch_path, scratch_root
 from tunehouse.sinks.files import write_csv, write_delimited, write_json_columns, write_json_lines
 from tunehouse.sinks.tables import refresh_table
 from tunehouse.sources.files import read_delimited, read_json_columns, read_json_lines
@@ -47,6 +47,7 @@ def query(build: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse], Data
     """Register a query under its function name."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        make_adaptive(spark)
         return comparable(build(Warehouse(Staging(spark, sf_dir), AS_OF)))
 
     QUERIES[build.__name__] = run

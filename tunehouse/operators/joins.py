@@ -24,12 +24,12 @@ def _keys(other: DataFrame, on: dict[str, str]) -> DataFrame:
 
 def semi_join(df: DataFrame, other: DataFrame, on: dict[str, str]) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``other``; ``on`` maps our column to theirs."""
-    return df.join(_keys(other, on), list(on), "left_semi")
+    return df.join(_keys(other, on), list(on), "left_semi").select(*df.columns)
 
 
 def anti_join(df: DataFrame, other: DataFrame, on: dict[str, str]) -> DataFrame:
     """Rows of ``df`` whose key does not occur in ``other``; a NULL key is kept."""
-    return df.join(_keys(other, on), list(on), "left_anti")
+    return df.join(_keys(other, on), list(on), "left_anti").select(*df.columns)
 
 
 def flag_member(df: DataFrame, other: DataFrame, on: dict[str, str], name: str) -> DataFrame:

@@ -59,7 +59,7 @@ def head_rest_split(df: DataFrame, n: int, key: str, *order: Column | str) -> tu
     head = df.orderBy(*order).limit(n)
     keys = head.select(key)
     rest = df.join(F.broadcast(keys) if n <= BROADCAST_ROWS else keys, key, "left_anti")
-    return head, rest
+    return head, rest.select(*df.columns)
 
 
 def position_in_group(
@@ -70,13 +70,15 @@ def position_in_group(
     With ``lead`` the order is ``lead`` descending, then ``key``. The group is
     cut into key ranges of at most ``block`` rows, numbered on their own; the
     counts of the earlier ranges are added. A group of any size is thereby
-    spread over many tasks.
+    spread over many tasks. Rows with a NULL in ``group`` or ``key`` drop out.
     """
     sub = [lead] if lead else []
     keys = [*group, *sub, "_block"]
-    # the explicit shuffle keeps a partitioning by the whole group, left by an earlier join, from being reused
+    # the explicit shuffle keeps a partitioning by the whole group, left by an earlier join, from being reused;
+    # with no NULL left, the join below adds no filter that would make the two branches differ
     local = (
-        df.withColumn("_block", int_div(F.col(key), block))
+        df.dropna(subset=[*group, *sub, key])
+        .withColumn("_block", F.coalesce(int_div(F.col(key), block), F.lit(0)))
         .repartition(*keys)
         .withColumn("_local", F.row_number().over(Window.partitionBy(*keys).orderBy(key)))
     )

@@ -7,18 +7,20 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-DEFAULTS = {
+ADAPTIVE = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join key even where that costs one more shuffle afterwards
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+DEFAULTS = {
+    **ADAPTIVE,
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
 }
 
-
 _local_roots: dict[str, str] = {}
 
 
@@ -32,12 +34,10 @@ def build_session(app_name: str = "tunehouse", master: str | None = None, **extr
     return builder.getOrCreate()
 
 
-def apply_defaults(spark: SparkSession) -> SparkSession:
-    """Put the runtime settings on a session that somebody else built."""
-    for key, value in DEFAULTS.items():
-        if key.startswith("spark.sql."):
-            spark.conf.set(key, value)
-    return spark
+def make_adaptive(spark: SparkSession) -> None:
+    """Put the adaptive-execution settings on a session that somebody else built."""
+    for key, value in ADAPTIVE.items():
+        spark.conf.set(key, value)
 
 
 def scratch_root(spark: SparkSession) -> str:
