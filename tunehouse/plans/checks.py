@@ -8,32 +8,25 @@ from pyspark.sql import functions as F
 from tunehouse.operators.sets import union_all
 
 
-def duplicate_keys(df: DataFrame, table: str, key: list[str]) -> DataFrame:
-    """Rows beyond the first of each key."""
-    repeats = df.groupBy(*key).agg((F.count(F.lit(1)) - 1).alias("_extra"))
-    return repeats.agg(F.coalesce(F.sum("_extra"), F.lit(0)).alias("violations")).select(
-        F.lit(f"{table}: unique {', '.join(key)}").alias("check_name"), "violations"
+def check_table(df: DataFrame, table: str, key: list[str], required: list[str]) -> DataFrame:
+    """Rows beyond the first of each key, and NULLs per required column, in one pass.
+
+    Counts are combined per key before the shuffle, so one key repeated in a
+    third of the rows is a single row per task.
+    """
+    per_key = df.groupBy(*key).agg(
+        (F.count(F.lit(1)) - 1).alias("_0"),
+        *(F.count_if(F.col(c).isNull()).alias(f"_{i}") for i, c in enumerate(required, 1)),
     )
-
-
-def null_values(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
-    """NULLs per column that must not have any; one pass over the table for all of them."""
-    counts = df.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in columns))
-    pairs = F.array(
-        *(F.struct(F.lit(f"{table}: {c} not null").alias("check_name"), F.col(c).alias("violations")) for c in columns)
-    )
-    return counts.select(F.inline(pairs))
+    names = [f"{table}: unique {', '.join(key)}", *(f"{table}: {c} not null" for c in required)]
+    totals = per_key.agg(*(F.coalesce(F.sum(f"_{i}"), F.lit(0)).alias(f"_{i}") for i in range(len(names))))
+    pairs = [F.struct(F.lit(n).alias("check_name"), F.col(f"_{i}").alias("violations")) for i, n in enumerate(names)]
+    return totals.select(F.inline(F.array(*pairs)))
 
 
 def check_keys(tables: dict[str, tuple[DataFrame, list[str], list[str]]]) -> DataFrame:
     """``check_name, violations`` for tables given as (rows, key columns, required columns)."""
-    return union_all(
-        *(
-            check
-            for name, (df, key, required) in tables.items()
-            for check in (duplicate_keys(df, name, key), null_values(df, name, required))
-        )
-    )
+    return union_all(*(check_table(df, name, key, required) for name, (df, key, required) in tables.items()))
 
 
 def check_load_counts(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
