@@ -148,6 +148,13 @@ def test_genre_share_doubles_a_country_in_both_tiers(spark):
     ]
 
 
+def test_invoice_without_lines_is_a_line_without_genre(spark):
+    fact = sales(spark, ("a", "8.00"), ("a", "2.00"), ("b", "1.00"))
+    lines = table(spark, "invoice_id bigint, track_id bigint, unitprice decimal(10,2)", (0, 1, Decimal("1.00")), (0, 9, Decimal("2.00")))
+    dims = table(spark, "trackid bigint, genre_name string", (1, "Rock"))
+    assert rows(countries.genre_share(fact, lines, dims, k=1)) == [("a", 1, "Rock", "10.00%"), ("a", 2, None, "20.00%"), ("b", 1, None, None)]
+
+
 def test_single_customer_countries_fold_into_other(spark):
     people = table(spark, "customerid bigint, country string", (1, "a"), (2, "a"), (3, "b"), (4, "c"))
     fact = table(spark, FACT, *[(i, c, None, Decimal("1.00")) for i, c in enumerate([1, 1, 2, 2, 2, 3, 3, 3])])
