@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,7 +49,7 @@ def query(build: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse], Data
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         make_adaptive(spark)
-        return comparable(build(Warehouse(Staging(spark, sf_dir), AS_OF)))
+        return comparable(build(Warehouse(Staging.of(spark, sf_dir), AS_OF)))
 
     QUERIES[build.__name__] = run
     return build
@@ -188,12 +189,12 @@ def sink_csv(wh: Warehouse) -> DataFrame:
 @query
 def sink_overwrite(wh: Warehouse) -> DataFrame:
     """Load customers, then replace them by the load with cleaned names."""
-    name, root = "tunehouse_refresh_check", scratch_root(wh.staging.spark)
-    spark = wh.staging.spark
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    clean = wh.customer()
+    spark, clean = wh.staging.spark, wh.customer()
+    name, root = f"refresh_{uuid.uuid4().hex}", scratch_root(spark)
     refresh_table(wh.staging.customer().withColumn("email_domain", F.lit(None).cast("string")), name, root)
-    return refresh_table(clean, name, root)
+    loaded = refresh_table(clean, name, root)
+    spark.sql(f"DROP TABLE {name}")  # the files stay, and the frame reads those
+    return loaded
 
 
 # ---- checks
@@ -228,7 +229,7 @@ def chk_load_counts(wh: Warehouse) -> DataFrame:
             "dim_playlist": (s.playlisttrack(), wh.playlist()),
             "dim_customer": (s.customer(), wh.customer()),
             "dim_employee": (s.employee(), wh.employee()),
-            "dim_track": (s.track(keys=False), wh.track()),
+            "dim_track": (s.track(False), wh.track()),
             "dim_currencies": (s.invoice(), wh.currencies()),
             "fact_invoice": (s.invoice(), wh.invoice()),
             "fact_invoiceline": (s.invoiceline(), wh.invoiceline()),

@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 100_000
 
 
+def broadcast_within(df: DataFrame, bound: int, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark ``df``, known to have at most ``bound`` rows, for broadcast if that is few enough."""
+    return F.broadcast(df) if bound <= rows else df
+
+
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast if a count finds at most ``rows`` rows; else leave the join to Catalyst.
 

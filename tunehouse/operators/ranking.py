@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunehouse.functions.numbers import int_div
-from tunehouse.operators.joins import BROADCAST_ROWS
+from tunehouse.operators.joins import broadcast_within
 from tunehouse.session import land
 
 
@@ -58,7 +58,7 @@ def head_rest_split(df: DataFrame, n: int, key: str, *order: Column | str) -> tu
     """The first ``n`` rows in ``order`` and all the others; ``key`` identifies a row."""
     head = df.orderBy(*order).limit(n)
     keys = head.select(key)
-    rest = df.join(F.broadcast(keys) if n <= BROADCAST_ROWS else keys, key, "left_anti")
+    rest = df.join(broadcast_within(keys, n), key, "left_anti")
     return head, rest.select(*df.columns)
 
 

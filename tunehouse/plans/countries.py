@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunehouse.functions.numbers import int_div, percent_of, percent_text, round_half_even
-from tunehouse.operators.joins import anti_join
+from tunehouse.operators.joins import anti_join, broadcast_within
 from tunehouse.operators.ranking import top_k
 from tunehouse.operators.sets import union_all
 
@@ -44,7 +44,7 @@ def genre_share(
         .agg(F.max("total_revenue").alias("total_revenue"), F.count(F.lit(1)).alias("_tiers"))
     )
     invoices = fact_invoice.select("invoiceid", F.col("billingcountry").alias("country")).join(
-        F.broadcast(tiers.select("country")), "country", "left_semi"
+        broadcast_within(tiers.select("country"), 2 * k), "country", "left_semi"
     )
     lines = fact_invoiceline.select(F.col("invoice_id").alias("invoiceid"), "track_id", "unitprice")
     by_track = invoices.join(lines, "invoiceid").groupBy("country", "track_id").agg(F.sum("unitprice").alias("_price"))
@@ -128,7 +128,7 @@ def manager_share(
     managers = dim_employee.filter(F.col("is_manager") == 1).select(F.col("employeeid").alias("supportrepid"))
     served = (
         dim_customer.select("customerid", "country", "supportrepid")
-        .join(F.broadcast(top.select("country")), "country", "left_semi")
+        .join(broadcast_within(top.select("country"), k), "country", "left_semi")
         .join(managers, "supportrepid")
     )
     spent = fact_invoice.groupBy("customerid").agg(F.sum("total").alias("_spent"))

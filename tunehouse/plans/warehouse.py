@@ -178,7 +178,7 @@ class Warehouse:
         s = self.staging
         plain = {"trackid", "track_name", "composer", "unitprice", "last_update", "seconds", "track_duration"}
         if columns and set(columns) <= plain:
-            return dim_track(s.track(keys=False), columns=columns)
+            return dim_track(s.track(False), columns=columns)
         return dim_track(s.track(), s.genre(), s.mediatype(), s.album(), s.artist(), columns)
 
     def invoice(self, *columns: str) -> DataFrame:

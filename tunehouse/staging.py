@@ -9,17 +9,27 @@ type) are landed, so that Catalyst knows their size when it plans joins.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tunehouse.operators.ranking import with_global_position
 from tunehouse.session import land
 from tunehouse.sources.tables import read_table
 
-# per application: landed look-up lists by folder, and table schemas, so that no footer is read twice
-_landed: dict[tuple[str, str], dict[str, DataFrame]] = {}
-_schemas: dict[tuple[str, str], StructType] = {}
+
+def once(build):
+    """Define a frame on first use; later calls get the same lazy frame."""
+
+    @functools.wraps(build)
+    def frame(self, *args):
+        key = (build.__name__, *args)
+        if key not in self._frames:
+            self._frames[key] = build(self, *args)
+        return self._frames[key]
+
+    return frame
 
 
 def text(column: Column | str) -> Column:
@@ -33,23 +43,30 @@ def day_after(start: str, days: Column) -> Column:
 class Staging:
     """Staging tables over one folder of Parquet test tables."""
 
+    _known: dict[tuple[str, SparkSession, str], Staging] = {}
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._frames: dict[tuple, DataFrame] = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> Staging:
+        """The staging tables of a folder, defined once per session like views."""
+        key = (spark.sparkContext.applicationId, spark, sf_dir.rstrip("/"))
+        if key not in cls._known:
+            cls._known[key] = cls(spark, sf_dir)
+        return cls._known[key]
 
+    @once
     def source(self, name: str) -> DataFrame:
-        key = (self.spark.sparkContext.applicationId, f"{self.sf_dir}/{name}.parquet")
-        rows = read_table(self.spark, key[1], _schemas.get(key))
-        _schemas[key] = rows.schema
-        return rows
+        return read_table(self.spark, f"{self.sf_dir}/{name}.parquet")
 
     # ---- look-up lists
 
+    @once
     def _lookup(self, name: str) -> DataFrame:
-        done = _landed.setdefault((self.spark.sparkContext.applicationId, self.sf_dir), {})
-        if name not in done:
-            done[name] = land(getattr(self, f"_build_{name}")(), name)
-        return done[name]
+        return land(getattr(self, f"_build_{name}")(), name)
 
     def _numbered(self, distinct: DataFrame, *order: str) -> DataFrame:
         return with_global_position(distinct, *order, name="_at").withColumn("_id", F.col("_at") + 1)
@@ -104,6 +121,7 @@ class Staging:
 
     # ---- tracks and playlists
 
+    @once
     def track(self, keys: bool = True) -> DataFrame:
         """``keys=False`` leaves out the genre and album keys, which need a look-up."""
         key = F.col("p_partkey")
@@ -135,6 +153,7 @@ class Staging:
             )
         )
 
+    @once
     def playlist(self) -> DataFrame:
         number = F.col("playlistid")
         return (
@@ -150,6 +169,7 @@ class Staging:
             )
         )
 
+    @once
     def playlisttrack(self) -> DataFrame:
         """Playlist n holds tracks whose key is a multiple of n; playlists 12 to 15 stay empty."""
         bucket = F.col("l_suppkey") % 18
@@ -163,6 +183,7 @@ class Staging:
 
     # ---- people
 
+    @once
     def customer(self) -> DataFrame:
         key = F.col("c_custkey")
         segment = F.lower("c_mktsegment")
@@ -183,6 +204,7 @@ class Staging:
             )
         )
 
+    @once
     def department(self) -> DataFrame:
         """Regions as departments; the budget is the suppliers' balance in the region."""
         by_nation = (
@@ -201,6 +223,7 @@ class Staging:
             F.col("budget").cast("decimal(38,2)").alias("budget"),
         )
 
+    @once
     def employee(self) -> DataFrame:
         """Suppliers as employees; four managers, and two department ids that do not exist."""
         key = F.col("s_suppkey")
@@ -220,6 +243,7 @@ class Staging:
 
     # ---- sales
 
+    @once
     def invoice(self) -> DataFrame:
         buyer = F.col("o_custkey")
         return self.source("orders").select(
@@ -238,6 +262,7 @@ class Staging:
             F.col("o_orderdate").cast("date").alias("last_update"),
         )
 
+    @once
     def invoiceline(self) -> DataFrame:
         """All line items. Twelve neighbouring parts share their sales unevenly.
 
@@ -257,6 +282,7 @@ class Staging:
 
     # ---- exchange rates
 
+    @once
     def rates(self) -> DataFrame:
         """One row per invoice day, at most one per calendar day; none are published at weekends."""
         day = F.col("rate_date")
