@@ -12,16 +12,13 @@ from tunehouse.session import land
 MASK_BITS = 62  # candidates per genre kept in a BIGINT mask; more are handled one by one
 
 
-def ordered_tracks(dim_customer: DataFrame, fact_invoice: DataFrame, fact_invoiceline: DataFrame) -> DataFrame:
-    """How often each customer ordered each track: ``customerid, track_id, orders``."""
+def order_lines(dim_customer: DataFrame, fact_invoice: DataFrame, fact_invoiceline: DataFrame) -> DataFrame:
+    """``customerid, track_id`` of every line whose invoice and customer are known."""
     invoices = fact_invoice.select(F.col("invoiceid").alias("invoice_id"), "customerid").join(
         dim_customer.select("customerid"), "customerid", "left_semi"
     )
     return (
-        fact_invoiceline.select("invoice_id", "track_id")
-        .join(invoices, "invoice_id")
-        .groupBy("customerid", "track_id")
-        .agg(F.count(F.lit(1)).alias("orders"))
+        fact_invoiceline.select("invoice_id", "track_id").join(invoices, "invoice_id").select("customerid", "track_id")
     )
 
 
@@ -68,11 +65,12 @@ def recommend(
     """
     if order not in ("track_id", "popularity"):
         raise ValueError(f"unknown order {order!r}")
-    ordered = land(ordered_tracks(dim_customer, fact_invoice, fact_invoiceline), "ordered")
+    # landed, because the candidates must be numbered before each customer's lines are looked at again
+    ordered = land(order_lines(dim_customer, fact_invoice, fact_invoiceline), "ordered")
     tracks = dim_track.filter(F.col("genre_name").isNotNull()).select(
         F.col("trackid").alias("track_id"), "genre_name", "track_name"
     )
-    popularity = ordered.groupBy("track_id").agg(F.sum("orders").alias("_orders")).join(tracks, "track_id")
+    popularity = ordered.groupBy("track_id").agg(F.count(F.lit(1)).alias("_orders")).join(tracks, "track_id")
     numbered = land(
         position_in_group(
             popularity, ["genre_name"], "track_id", "_number", lead="_orders" if order == "popularity" else None
@@ -84,7 +82,7 @@ def recommend(
     tagged = mine.join(numbered.select("track_id", "genre_name", "_number"), "track_id")
     bit = F.when(F.col("_number") <= MASK_BITS, F.expr("shiftleft(1L, int(_number - 1))")).otherwise(0)
     tastes = tagged.groupBy("customerid", "genre_name").agg(
-        F.sum("orders").alias("_orders"), F.count(F.lit(1)).alias("_known"), F.bit_or(bit).alias("_mask")
+        F.count(F.lit(1)).alias("_orders"), F.bit_or(bit).alias("_mask")
     )
     preferred = group_top_n(tastes, n_genres, ["customerid"], F.desc("_orders"), F.asc("genre_name"))
     wanted = F.lit(per_genre)
@@ -120,14 +118,15 @@ def _beyond_mask(crowded: DataFrame, tagged: DataFrame, most: int) -> DataFrame:
 
     Let p(1) < p(2) < … be the numbers a customer has in a genre. Before p(i) lie
     p(i) - i missing ones, so the j-th missing number is j + (count of i with
-    p(i) - i < j). Numbers of ``_known + most`` and more cannot be among those
-    counted, as i is at most ``_known``.
+    p(i) - i < j). Numbers of ``_orders + most`` and more cannot be among those
+    counted, as i is at most ``_orders``.
     """
     near = (
         tagged.select("customerid", "genre_name", "_number")
-        .join(broadcast_if_small(crowded.select("customerid", "genre_name", "_known")), ["customerid", "genre_name"])
-        .filter(F.col("_number") < F.col("_known") + most)
-        .drop("_known")
+        .join(broadcast_if_small(crowded.select("customerid", "genre_name", "_orders")), ["customerid", "genre_name"])
+        .filter(F.col("_number") < F.col("_orders") + most)
+        .drop("_orders")
+        .distinct()
     )
     before = F.col("_number") - F.col("_i")
     shifts = (
