@@ -214,6 +214,17 @@ QUERIES = {
         union all select 'fact_invoice: unique invoiceid', count(*) - count(distinct invoiceid) from invoice
         union all select 'fact_invoice: invoiceid not null', count(*) - count(invoiceid) from invoice
         union all select 'fact_invoice: billingcountry not null', count(*) - count(billingcountry) from invoice
+        union all select 'dim_playlist: playlist_name at most 255 characters', count(*) filter (length(playlist_name) > 255) from shop_playlist
+        union all unpivot (select count(*) filter (length(track_name) > 255) as "dim_track: track_name at most 255 characters",
+                count(*) filter (length(track_duration) > 5) as "dim_track: track_duration at most 5 characters",
+                count(*) filter (length(composer) > 255) as "dim_track: composer at most 255 characters" from shop_track)
+            on columns(*) into name check_name value violations
+        union all unpivot (select count(*) filter (length(billingaddress) > 70) as "fact_invoice: billingaddress at most 70 characters",
+                count(*) filter (length(billingcity) > 40) as "fact_invoice: billingcity at most 40 characters",
+                count(*) filter (length(billingstate) > 40) as "fact_invoice: billingstate at most 40 characters",
+                count(*) filter (length(billingcountry) > 40) as "fact_invoice: billingcountry at most 40 characters",
+                count(*) filter (length(billingpostalcode) > 10) as "fact_invoice: billingpostalcode at most 10 characters" from invoice)
+            on columns(*) into name check_name value violations
         union all select 'fact_invoiceline: unique invoiceline_id', count(*) - count(distinct invoicelineid) from invoiceline
         union all select 'fact_invoiceline: invoiceline_id not null', count(*) - count(invoicelineid) from invoiceline""",
     "chk_load_counts": """

@@ -345,6 +345,8 @@ def test_checks_find_repeated_and_missing_keys(spark):
     df = table(spark, "k int, v string", (1, "a"), (1, "b"), (1, None), (None, "c"))
     got = dict(rows(checks.check_keys({"t": (df, ["k"], ["k", "v"])})))
     assert got == {"t: unique k": 2, "t: k not null": 1, "t: v not null": 1}
+    long = dict(rows(checks.check_table(table(spark, "k int, v string", (1, "abc"), (2, "ab"), (3, None)), "t", ["k"], [], {"v": 2})))
+    assert long == {"t: unique k": 0, "t: v at most 2 characters": 1}
     assert dict(rows(checks.check_keys({"t": (df.limit(0), ["k"], ["k"])}))) == {"t: unique k": 0, "t: k not null": 0}
 
 

@@ -94,6 +94,8 @@ def test_refresh_replaces_rows_and_may_read_its_own_table(spark, tmp_path):
     assert rows(tables.refresh_table(spark.table(name).filter("id > 2"), name, str(tmp_path))) == [(3,), (4,)]
     tables.ensure_table(spark, name, spark.table(name).schema, str(tmp_path / "elsewhere"))
     assert spark.table(name).count() == 2
+    assert tables.clear_table(spark, name, str(tmp_path)).count() == 0
+    assert spark.table(name).columns == ["id"]
     spark.sql(f"DROP TABLE {name}")
 
 
@@ -143,6 +145,11 @@ def test_jdbc_options_split_on_a_key():
         jdbc_options("jdbc:x", "t", key="id")
 
 
+def test_jdbc_refresh_truncates_over_few_connections():
+    options = tables.jdbc_refresh_options("jdbc:x", "stg.department", user="u", connections=4)
+    assert options["truncate"] == "true" and options["numPartitions"] == "4" and options["user"] == "u"
+
+
 def test_scratch_folder_comes_from_the_session(spark, monkeypatch):
     class Conf:
         def __init__(self, folder):

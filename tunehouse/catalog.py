@@ -17,7 +17,7 @@ from tunehouse.plans import checks, countries, customers, employees, playlists,
 from tunehouse.plans.currencies import convert, convert_at_default, currencies
 from tunehouse.plans.departments import load_department_budgets
 from tunehouse.plans.warehouse import Warehouse
-from tunehouse.schemas import DEPARTMENT, SUB_BUDGET
+from tunehouse.schemas import DEPARTMENT, MAX_LENGTHS, SUB_BUDGET
 from tunehouse.session import make_adaptive, scratch_path, scratch_root
 from tunehouse.sinks.files import write_csv, write_delimited, write_json_columns, write_json_lines
 from tunehouse.sinks.tables import refresh_table
@@ -207,15 +207,28 @@ def chk_playlist_counts(wh: Warehouse) -> DataFrame:
 
 @query
 def chk_keys(wh: Warehouse) -> DataFrame:
+    tracks_checked = ("trackid", "track_name", "track_duration", "composer")
+    invoices_checked = ("invoiceid", *MAX_LENGTHS["fact_invoice"])
     return checks.check_keys(
         {
-            "dim_playlist": (wh.playlist(), ["playlist_id", "track_id"], ["playlist_id", "playlist_name", "track_id"]),
+            "dim_playlist": (
+                wh.playlist(),
+                ["playlist_id", "track_id"],
+                ["playlist_id", "playlist_name", "track_id"],
+                MAX_LENGTHS["dim_playlist"],
+            ),
             "dim_track": (
-                wh.track("trackid", "track_name", "track_duration"),
+                wh.track(*tracks_checked),
                 ["trackid"],
                 ["trackid", "track_name", "track_duration"],
+                MAX_LENGTHS["dim_track"],
+            ),
+            "fact_invoice": (
+                wh.invoice(*invoices_checked),
+                ["invoiceid"],
+                ["invoiceid", "billingcountry"],
+                MAX_LENGTHS["fact_invoice"],
             ),
-            "fact_invoice": (wh.invoice("invoiceid", "billingcountry"), ["invoiceid"], ["invoiceid", "billingcountry"]),
             "fact_invoiceline": (wh.invoiceline("invoiceline_id"), ["invoiceline_id"], ["invoiceline_id"]),
         }
     )

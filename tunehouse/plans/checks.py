@@ -8,25 +8,27 @@ from pyspark.sql import functions as F
 from tunehouse.operators.sets import union_all
 
 
-def check_table(df: DataFrame, table: str, key: list[str], required: list[str]) -> DataFrame:
-    """Rows beyond the first of each key, and NULLs per required column, in one pass.
+def check_table(
+    df: DataFrame, table: str, key: list[str], required: list[str], lengths: dict[str, int] | None = None
+) -> DataFrame:
+    """Rows beyond the first of each key, NULLs per required column and texts over their length, in one pass.
 
     Counts are combined per key before the shuffle, so one key repeated in a
     third of the rows is a single row per task.
     """
-    per_key = df.groupBy(*key).agg(
-        (F.count(F.lit(1)) - 1).alias("_0"),
-        *(F.count_if(F.col(c).isNull()).alias(f"_{i}") for i, c in enumerate(required, 1)),
-    )
-    names = [f"{table}: unique {', '.join(key)}", *(f"{table}: {c} not null" for c in required)]
-    totals = per_key.agg(*(F.coalesce(F.sum(f"_{i}"), F.lit(0)).alias(f"_{i}") for i in range(len(names))))
-    pairs = [F.struct(F.lit(n).alias("check_name"), F.col(f"_{i}").alias("violations")) for i, n in enumerate(names)]
+    lengths = lengths or {}
+    counts = {f"{table}: unique {', '.join(key)}": F.count(F.lit(1)) - 1}
+    counts |= {f"{table}: {c} not null": F.count_if(F.col(c).isNull()) for c in required}
+    counts |= {f"{table}: {c} at most {n} characters": F.count_if(F.length(c) > n) for c, n in lengths.items()}
+    per_key = df.groupBy(*key).agg(*(count.alias(f"_{i}") for i, count in enumerate(counts.values())))
+    totals = per_key.agg(*(F.coalesce(F.sum(f"_{i}"), F.lit(0)).alias(f"_{i}") for i in range(len(counts))))
+    pairs = [F.struct(F.lit(name).alias("check_name"), F.col(f"_{i}").alias("violations")) for i, name in enumerate(counts)]
     return totals.select(F.inline(F.array(*pairs)))
 
 
-def check_keys(tables: dict[str, tuple[DataFrame, list[str], list[str]]]) -> DataFrame:
-    """``check_name, violations`` for tables given as (rows, key columns, required columns)."""
-    return union_all(*(check_table(df, name, key, required) for name, (df, key, required) in tables.items()))
+def check_keys(tables: dict[str, tuple]) -> DataFrame:
+    """``check_name, violations`` for tables given as the arguments of ``check_table`` after the name."""
+    return union_all(*(check_table(df, name, *rest) for name, (df, *rest) in tables.items()))
 
 
 def check_load_counts(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:

@@ -73,6 +73,20 @@ EMPLOYEE_EXTRA = columns(
 )
 
 
+# fixed values: declared lengths of text columns; Spark's string has none, so a check looks after them
+MAX_LENGTHS = {
+    "dim_playlist": {"playlist_name": 255},
+    "dim_track": {"track_name": 255, "track_duration": 5, "composer": 255},
+    "fact_invoice": {
+        "billingaddress": 70,
+        "billingcity": 40,
+        "billingstate": 40,
+        "billingcountry": 40,
+        "billingpostalcode": 10,
+    },
+}
+
+
 def clone_schema(source: T.StructType, extra: T.StructType | None = None) -> T.StructType:
     """The columns of ``source`` followed by those of ``extra``."""
     return T.StructType(list(source.fields) + (list(extra.fields) if extra else []))

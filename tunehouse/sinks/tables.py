@@ -37,6 +37,30 @@ def refresh_table(df: DataFrame, name: str, root: str) -> DataFrame:
     return spark.table(name)
 
 
+def clear_table(spark: SparkSession, name: str, root: str) -> DataFrame:
+    """Remove all rows and keep the table."""
+    return refresh_table(spark.table(name).limit(0), name, root)
+
+
+def jdbc_refresh_options(
+    url: str, table: str, user: str | None = None, password: str | None = None, connections: int = 16, batch: int = 10_000
+) -> dict[str, str]:
+    """Options of a full refresh that empties the database table rather than dropping it."""
+    options = {
+        "url": url,
+        "dbtable": table,
+        "truncate": "true",
+        "numPartitions": str(connections),
+        "batchsize": str(batch),
+    }
+    return options | {k: v for k, v in (("user", user), ("password", password)) if v}
+
+
+def refresh_jdbc(df: DataFrame, url: str, table: str, **more: object) -> None:
+    """Replace all rows of a database table over at most ``connections`` connections."""
+    df.write.format("jdbc").options(**jdbc_refresh_options(url, table, **more)).mode("overwrite").save()
+
+
 def insert_by_name(df: DataFrame, name: str) -> None:
     """Append rows matching columns by name; columns that ``df`` lacks become NULL."""
     view = f"_rows_{uuid.uuid4().hex}"
