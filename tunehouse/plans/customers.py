@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tunehouse.functions.text import full_name
 from tunehouse.operators.ranking import top_k
 from tunehouse.plans.currencies import convert
 
-EXACT = "decimal(18,6)"  # prices are added up as decimals, so the sum does not depend on row order
+
+def millionths(price: Column) -> Column:
+    """A price in whole millionths, so that sums are exact and do not depend on row order."""
+    return F.rint(price * 1e6).cast("bigint").cast("decimal(18,0)")
 
 
 def customer_totals(fact_invoice: DataFrame, dim_currencies: DataFrame) -> DataFrame:
@@ -25,7 +30,7 @@ def customer_totals(fact_invoice: DataFrame, dim_currencies: DataFrame) -> DataF
     per_day = (
         dim_currencies.filter(F.col("purchase_date") == midnight.cast("timestamp_ntz"))
         .groupBy(midnight.alias("invoicedate"))
-        .agg(F.sum(F.col("usd_price").cast(EXACT)).alias("_usd"), F.sum(F.col("ils_price").cast(EXACT)).alias("_ils"))
+        .agg(F.sum(millionths(F.col("usd_price"))).alias("_usd"), F.sum(millionths(F.col("ils_price"))).alias("_ils"))
     )
     return (
         fact_invoice.filter(F.col("customerid").isNotNull())
@@ -41,13 +46,14 @@ def customer_totals_per_invoice(fact_invoice: DataFrame, rates: DataFrame) -> Da
         convert(fact_invoice, rates)
         .filter(F.col("customerid").isNotNull())
         .groupBy("customerid")
-        .agg(*_sums(F.col("usd_price").cast(EXACT), F.col("ils_price").cast(EXACT)))
+        .agg(*_sums(millionths(F.col("usd_price")), millionths(F.col("ils_price"))))
     )
 
 
-def _sums(usd, ils):
+def _sums(usd: Column, ils: Column) -> list[Column]:
+    unit = F.lit(Decimal("0.000001"))
     return [
-        F.coalesce(F.sum(value), F.lit(0)).cast("decimal(38,6)").alias(name)
+        (F.coalesce(F.sum(value), F.lit(0)).cast("decimal(38,0)") * unit).cast("decimal(38,6)").alias(name)
         for name, value in (("usd_price", usd), ("ils_price", ils))
     ]
 
