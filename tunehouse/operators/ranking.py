@@ -68,9 +68,9 @@ def position_in_group(
     """1-based position of every row in its group by ``key``, a unique integer within it.
 
     With ``lead`` the order is ``lead`` descending, then ``key``. The group is
-    cut into key ranges of at most ``block`` rows, numbered on their own; the
-    counts of the earlier ranges are added. A group of any size is thereby
-    spread over many tasks. Rows with a NULL in ``group`` or ``key`` drop out.
+    cut by ``lead`` and into key ranges of at most ``block`` rows, numbered on
+    their own; the counts of the earlier ranges are added. A group of any size is
+    thereby spread over many tasks. Rows with a NULL in ``group`` or ``key`` drop out.
     """
     sub = [lead] if lead else []
     keys = [*group, *sub, "_block"]
@@ -82,17 +82,13 @@ def position_in_group(
         .repartition(*keys)
         .withColumn("_local", F.row_number().over(Window.partitionBy(*keys).orderBy(key)))
     )
-    earlier = (
-        Window.partitionBy(*group)
-        .orderBy(*(F.desc(c) for c in sub), F.asc("_block"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
     # counted on the numbered rows, so both branches read the same shuffle
-    offsets = (
-        local.groupBy(*keys)
-        .agg(F.max("_local").alias("_rows"))
-        .select(*keys, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
-    )
+    sizes = local.groupBy(*keys).agg(F.max("_local").alias("_rows"))
+    offsets = sizes.select(*keys, _rows_before([*group, *sub], F.asc("_block")).alias("_offset"))
+    if lead:
+        ranks = sizes.groupBy(*group, lead).agg(F.sum("_rows").alias("_rows"))
+        ranks = ranks.select(*group, lead, _rows_before(group, F.desc(lead)).alias("_above"))
+        offsets = offsets.join(ranks, [*group, lead]).withColumn("_offset", F.col("_offset") + F.col("_above")).drop("_above")
     return (
         local.join(offsets, keys)
         .withColumn(name, F.col("_offset") + F.col("_local"))
@@ -100,6 +96,12 @@ def position_in_group(
     )
 
 
+def _rows_before(group: list[str], order: Column) -> Column:
+    """Running total of ``_rows`` over the earlier rows of the group."""
+    earlier = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
+
+
 def stride_of_counts(counts: DataFrame, value: str, rows: str, step: int, chunk: int = 100_000) -> DataFrame:
     """Every ``step``-th entry of a sorted column given as (value, number of rows).
 

@@ -62,6 +62,7 @@ def genre_share(
             "country",
             F.dense_rank()
             .over(Window.partitionBy("country").orderBy(revenue.asc_nulls_last()))
+            .cast("bigint")
             .alias("rank_by_presentege"),
             "genre_name",
             percent_text(percent_of(revenue, F.col("total_revenue"))).alias("presentege_from_total_country_rev"),
