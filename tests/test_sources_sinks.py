@@ -126,6 +126,7 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
     right = tables.save_bucketed(spark.range(50).toDF("invoiceid"), "bucket_b", "invoiceid", 4, str(tmp_path / "b"))
     joined = left.hint("merge").join(right, "invoiceid")
     assert joined.count() == 50
+    assert len([f for f in os.listdir(tmp_path / "a") if f.endswith(".parquet")]) == 4  # one file per bucket
     assert "Exchange" not in joined._jdf.queryExecution().sparkPlan().toString()
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "SortMergeJoin" in plan

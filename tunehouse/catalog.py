@@ -387,7 +387,7 @@ def an_manager_share(wh: Warehouse) -> DataFrame:
 
 @query
 def an_customer_totals(wh: Warehouse) -> DataFrame:
-    return customers.customer_totals(wh.invoice("customerid", "invoicedate"), wh.currencies())
+    return customers.ranked_customers(customers.customer_totals(wh.invoice("customerid", "invoicedate"), wh.currencies()))
 
 
 @query

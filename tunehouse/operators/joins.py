@@ -15,11 +15,11 @@ def broadcast_within(df: DataFrame, bound: int, rows: int = BROADCAST_ROWS) -> D
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast if a count finds at most ``rows`` rows; else leave the join to Catalyst.
+    """Mark ``df`` for broadcast if it counts at most ``rows`` rows; else leave the join to Catalyst.
 
-    The count stops at the limit. Meant for landed or otherwise cheap frames.
+    For landed frames, whose count is cheap.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return broadcast_within(df, df.count(), rows)
 
 
 def _keys(other: DataFrame, on: dict[str, str]) -> DataFrame:

@@ -139,6 +139,8 @@ def manager_share(
         .agg(F.coalesce(F.sum("_spent"), F.lit(0)).cast("decimal(30,2)").alias("total_by_managers"))
     )
     share = F.col("total_by_managers").cast("double") * 100 / F.nullif(F.col("total_sales").cast("double"), F.lit(0.0))
-    return top.join(by_country, "country", "left").select(
-        "country", "total_sales", "total_by_managers", round_half_even(share).alias("percentege_of_managers_sales")
+    return (
+        top.join(by_country, "country", "left")
+        .select("country", "total_sales", "total_by_managers", round_half_even(share).alias("percentege_of_managers_sales"))
+        .orderBy(F.desc("total_sales"), F.asc("country"))
     )

@@ -58,6 +58,11 @@ def _sums(usd: Column, ils: Column) -> list[Column]:
     ]
 
 
+def ranked_customers(totals: DataFrame) -> DataFrame:
+    """All customers, the highest USD total first."""
+    return totals.orderBy(F.desc("usd_price"), F.asc("customerid"))
+
+
 def top_customers(totals: DataFrame, dim_customer: DataFrame, k: int = 5) -> DataFrame:
     """The ``k`` customers with the highest USD total among those with a name."""
     named = totals.join(dim_customer.select("customerid", "firstname", "lastname"), "customerid")

@@ -16,7 +16,8 @@ def load_warehouse(wh: Warehouse, database: str, root: str, buckets: int | None
     """Full refresh of all dimensions and facts as tables of ``database`` below ``root``.
 
     With ``buckets`` the facts are bucketed by invoice, so that every later join
-    of lines to their invoices needs no shuffle.
+    of lines to their invoices needs no shuffle. Leave it out if single invoices
+    hold a large part of the lines: only a shuffled join can split those.
     """
     spark = wh.staging.spark
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root.rstrip('/')}/{database}'")

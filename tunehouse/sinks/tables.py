@@ -82,9 +82,14 @@ def add_columns(df: DataFrame, extra: T.StructType) -> DataFrame:
 
 
 def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, location: str) -> DataFrame:
-    """Write a table bucketed and sorted on ``key``; two such tables join without a shuffle."""
+    """Write a table bucketed and sorted on ``key``; two such tables join without a shuffle.
+
+    One task writes a bucket, and one task joins it later: not for a key of which
+    single values hold a large part of the rows.
+    """
     (
-        df.write.mode("overwrite")
+        df.repartition(buckets, key)
+        .write.mode("overwrite")
         .option("path", location)
         .bucketBy(buckets, key)
         .sortBy(key)
