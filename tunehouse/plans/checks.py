@@ -8,22 +8,31 @@ from pyspark.sql import functions as F
 from tunehouse.operators.sets import union_all
 
 
+def _as_rows(counts: DataFrame, names: list[str]) -> DataFrame:
+    """One row of counts ``_0, _1, …`` as rows of ``check_name, violations``."""
+    pairs = (F.struct(F.lit(n).alias("check_name"), F.col(f"_{i}").alias("violations")) for i, n in enumerate(names))
+    return counts.select(F.inline(F.array(*pairs)))
+
+
+def duplicate_keys(df: DataFrame, table: str, key: list[str]) -> DataFrame:
+    """Rows beyond the first of each key. Only keys and counts are shuffled, combined within each task."""
+    repeats = df.groupBy(*key).agg((F.count(F.lit(1)) - 1).alias("_extra"))
+    return _as_rows(repeats.agg(F.coalesce(F.sum("_extra"), F.lit(0)).alias("_0")), [f"{table}: unique {', '.join(key)}"])
+
+
+def bad_values(df: DataFrame, table: str, required: list[str], lengths: dict[str, int]) -> DataFrame:
+    """NULLs per required column and texts over their length, in one pass without a shuffle of rows."""
+    bad = {f"{table}: {c} not null": F.col(c).isNull() for c in required}
+    bad |= {f"{table}: {c} at most {n} characters": F.length(c) > n for c, n in lengths.items()}
+    return _as_rows(df.agg(*(F.count_if(test).alias(f"_{i}") for i, test in enumerate(bad.values()))), list(bad))
+
+
 def check_table(
     df: DataFrame, table: str, key: list[str], required: list[str], lengths: dict[str, int] | None = None
 ) -> DataFrame:
-    """Rows beyond the first of each key, NULLs per required column and texts over their length, in one pass.
-
-    Counts are combined per key before the shuffle, so one key repeated in a
-    third of the rows is a single row per task.
-    """
-    lengths = lengths or {}
-    counts = {f"{table}: unique {', '.join(key)}": F.count(F.lit(1)) - 1}
-    counts |= {f"{table}: {c} not null": F.count_if(F.col(c).isNull()) for c in required}
-    counts |= {f"{table}: {c} at most {n} characters": F.count_if(F.length(c) > n) for c, n in lengths.items()}
-    per_key = df.groupBy(*key).agg(*(count.alias(f"_{i}") for i, count in enumerate(counts.values())))
-    totals = per_key.agg(*(F.coalesce(F.sum(f"_{i}"), F.lit(0)).alias(f"_{i}") for i in range(len(counts))))
-    pairs = [F.struct(F.lit(name).alias("check_name"), F.col(f"_{i}").alias("violations")) for i, name in enumerate(counts)]
-    return totals.select(F.inline(F.array(*pairs)))
+    """Uniqueness of the key and validity of the values."""
+    checks = duplicate_keys(df, table, key)
+    return union_all(checks, bad_values(df, table, required, lengths or {})) if required or lengths else checks
 
 
 def check_keys(tables: dict[str, tuple]) -> DataFrame:
