@@ -36,11 +36,8 @@ QUERIES: dict[str, Query] = {}
 def comparable(df: DataFrame) -> DataFrame:
     """Types that every engine hands out alike: decimals as doubles, dates as midnight timestamps."""
     as_type = {T.DecimalType: "double", T.DateType: "timestamp_ntz"}
-    return df.select(
-        *(
-            F.col(f.name).cast(as_type[type(f.dataType)]).alias(f.name) if type(f.dataType) in as_type else F.col(f.name)
-            for f in df.schema.fields
-        )
+    return df.withColumns(
+        {f.name: F.col(f.name).cast(as_type[type(f.dataType)]) for f in df.schema.fields if type(f.dataType) in as_type}
     )
 
 
@@ -65,7 +62,7 @@ def _department_files(wh: Warehouse) -> tuple[str, str, str]:
     """
     s = wh.staging
     paths = tuple(scratch_path(s.spark, name) for name in ("department", "budget-lines", "budget-columns"))
-    nations = s.source("nation").select(F.col("n_nationkey").alias("department_id"), F.col("n_name").alias("department_name"))
+    nations = s.source("nation").select("n_nationkey", "n_name").toDF("department_id", "department_name")
 
     def budgets(table: str, c: str, key: str) -> DataFrame:
         return s.source(table).select(
@@ -368,7 +365,9 @@ def an_country_genre_share(wh: Warehouse) -> DataFrame:
 
 @query
 def an_country_customer_summary(wh: Warehouse) -> DataFrame:
-    return countries.customer_summary(wh.customer("customerid", "country"), wh.invoice("invoiceid", "customerid", "total"))
+    return countries.customer_summary(
+        wh.customer("customerid", "country"), wh.invoice("invoiceid", "customerid", "total")
+    )
 
 
 @query
@@ -387,7 +386,8 @@ def an_manager_share(wh: Warehouse) -> DataFrame:
 
 @query
 def an_customer_totals(wh: Warehouse) -> DataFrame:
-    return customers.ranked_customers(customers.customer_totals(wh.invoice("customerid", "invoicedate"), wh.currencies()))
+    totals = customers.customer_totals(wh.invoice("customerid", "invoicedate"), wh.currencies())
+    return customers.ranked_customers(totals)
 
 
 @query

@@ -88,7 +88,7 @@ def position_in_group(
     if lead:
         ranks = sizes.groupBy(*group, lead).agg(F.sum("_rows").alias("_rows"))
         ranks = ranks.select(*group, lead, _rows_before(group, F.desc(lead)).alias("_above"))
-        offsets = offsets.join(ranks, [*group, lead]).withColumn("_offset", F.col("_offset") + F.col("_above")).drop("_above")
+        offsets = offsets.join(ranks, [*group, lead]).select(*keys, (F.col("_offset") + F.col("_above")).alias("_offset"))
     return (
         local.join(offsets, keys)
         .withColumn(name, F.col("_offset") + F.col("_local"))
@@ -120,7 +120,8 @@ def stride_of_counts(counts: DataFrame, value: str, rows: str, step: int, chunk:
     first = int_div(F.col("_start") + (step - 1), step)
     last = int_div(F.col("_end") - 1, step)
     ticks = spans.select(value, first.alias("_first"), last.alias("_last")).filter("_first <= _last")
-    chunks = ticks.select(value, "_last", F.explode(F.sequence("_first", "_last", F.lit(chunk).cast("bigint"))).alias("_from"))
+    starts = F.sequence("_first", "_last", F.lit(chunk).cast("bigint"))
+    chunks = ticks.select(value, "_last", F.explode(starts).alias("_from"))
     return chunks.select(
         value, F.explode(F.sequence("_from", F.least(F.col("_last"), F.col("_from") + (chunk - 1)))).alias("_tick")
     ).select(value, (F.col("_tick") * step).alias("position"))

@@ -34,11 +34,15 @@ def employee_growth(
             F.sum("_revenue").alias("_revenue"),
         )
     )
+    name = full_name(F.col("firstname"), F.col("lastname")).alias("name")
     rows = (
-        dim_employee.select("employeeid", full_name(F.col("firstname"), F.col("lastname")).alias("name"), "years_employed")
+        dim_employee.select("employeeid", name, "years_employed")
         .join(by_employee, "employeeid", "left")
         .groupBy("employeeid", "name", "years_employed", "year")
-        .agg(F.sum(F.coalesce("_served", F.lit(0))).alias("total_customers_served_per_year"), F.sum("_revenue").alias("_revenue"))
+        .agg(
+            F.sum(F.coalesce("_served", F.lit(0))).alias("total_customers_served_per_year"),
+            F.sum("_revenue").alias("_revenue"),
+        )
     )
     before = F.lag("_revenue").over(Window.partitionBy("employeeid").orderBy(F.asc_nulls_last("year")))
     return rows.withColumn("_before", before).select(

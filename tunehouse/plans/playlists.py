@@ -59,6 +59,7 @@ def breakdown(dim_playlist: DataFrame, dim_track: DataFrame, fact_invoiceline: D
         dim_track.select(F.col("trackid").alias("track_id"), "genre_name", "mediatype_name")
         .join(sold, "track_id", "full")
     )
+    times_sold = F.coalesce("_sold", F.lit(0))
     # one row per playlist, genre and media type; landed because three results come from it
     parts = land(
         dim_playlist.select("playlist_name", "track_id")
@@ -66,8 +67,8 @@ def breakdown(dim_playlist: DataFrame, dim_track: DataFrame, fact_invoiceline: D
         .groupBy("playlist_name", "genre_name", "mediatype_name")
         .agg(
             F.count(F.lit(1)).alias("_rows"),
-            F.sum(F.coalesce("_sold", F.lit(0))).alias("_sold"),
-            F.sum(F.when(F.col("track_id").isNotNull(), F.greatest(F.coalesce("_sold", F.lit(0)), F.lit(1)))).alias("_joined"),
+            F.sum(times_sold).alias("_sold"),
+            F.sum(F.when(F.col("track_id").isNotNull(), F.greatest(times_sold, F.lit(1)))).alias("_joined"),
         ),
         "playlist-parts",
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -12,6 +14,57 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     return reader.parquet(path)
 
 
+class StagingTables:
+    """The staging tables wherever they lie; ``read`` turns a table name into its rows.
+
+    For example ``StagingTables(spark, lambda name: spark.table(f"stg.{name}"))``,
+    or the same with ``read_jdbc``. ``rates`` has ``rate_date, usd_pln, ils_pln``.
+    """
+
+    def __init__(self, spark: SparkSession, read: Callable[[str], DataFrame]):
+        self.spark = spark
+        self.read = read
+
+    def track(self, keys: bool = True) -> DataFrame:
+        return self.read("track")
+
+    def genre(self) -> DataFrame:
+        return self.read("genre")
+
+    def mediatype(self) -> DataFrame:
+        return self.read("mediatype")
+
+    def album(self) -> DataFrame:
+        return self.read("album")
+
+    def artist(self) -> DataFrame:
+        return self.read("artist")
+
+    def playlist(self) -> DataFrame:
+        return self.read("playlist")
+
+    def playlisttrack(self) -> DataFrame:
+        return self.read("playlisttrack")
+
+    def customer(self) -> DataFrame:
+        return self.read("customer")
+
+    def employee(self) -> DataFrame:
+        return self.read("employee")
+
+    def department(self) -> DataFrame:
+        return self.read("department")
+
+    def invoice(self) -> DataFrame:
+        return self.read("invoice")
+
+    def invoiceline(self) -> DataFrame:
+        return self.read("invoiceline")
+
+    def rates(self) -> DataFrame:
+        return self.read("rates")
+
+
 def jdbc_options(
     url: str,
     table: str,

@@ -74,13 +74,17 @@ class Staging:
     def _build_genre(self) -> DataFrame:
         names = self._numbered(self.source("part").select("p_type").distinct(), "p_type")
         return names.select(
-            F.col("_id").alias("genreid"), F.col("p_type").alias("name"), day_after("2017-01-01", F.col("_id")).alias("last_update")
+            F.col("_id").alias("genreid"),
+            F.col("p_type").alias("name"),
+            day_after("2017-01-01", F.col("_id")).alias("last_update"),
         )
 
     def _build_artist(self) -> DataFrame:
         names = self._numbered(self.source("part").select("p_brand").distinct(), "p_brand")
         return names.select(
-            F.col("_id").alias("artistid"), F.col("p_brand").alias("name"), day_after("2017-03-01", F.col("_id")).alias("last_update")
+            F.col("_id").alias("artistid"),
+            F.col("p_brand").alias("name"),
+            day_after("2017-03-01", F.col("_id")).alias("last_update"),
         )
 
     def _build_album(self) -> DataFrame:
