@@ -4,7 +4,8 @@ Every staging table covers the whole of the table it comes from: parts are
 tracks, orders are invoices, line items are invoice lines, suppliers are
 employees and, by key modulo 18, playlists. Large tables stay plain projections
 over the Parquet scan; only the short look-up lists (genre, artist, album, media
-type) are landed, so that Catalyst knows their size when it plans joins.
+type, playlist, department) are landed, so that Catalyst knows their size when it
+plans joins.
 """
 
 from __future__ import annotations
@@ -157,8 +158,10 @@ class Staging:
             )
         )
 
-    @once
     def playlist(self) -> DataFrame:
+        return self._lookup("playlist")
+
+    def _build_playlist(self) -> DataFrame:
         number = F.col("playlistid")
         return (
             self.source("supplier")
@@ -208,8 +211,10 @@ class Staging:
             )
         )
 
-    @once
     def department(self) -> DataFrame:
+        return self._lookup("department")
+
+    def _build_department(self) -> DataFrame:
         """Regions as departments; the budget is the suppliers' balance in the region."""
         by_nation = (
             self.source("supplier")
