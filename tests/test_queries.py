@@ -4,9 +4,11 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, oracle_rows, spark_rows
+from oracles import sql
+from tunehouse import catalog
 
 SMALL = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, sql.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +18,7 @@ def con():
 
 def test_each_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES) and len(QUERIES) == 44
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
