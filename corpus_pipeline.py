@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tunehouse.llm import simhash
+from tunehouse.llm import quality_crf, simhash
 from tunehouse.llm.common import landed, read
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the line classifier predicts to be bad go."""
+    return quality_crf.keep_good(docs, read(spark, sf_dir, "labels"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, that of the smallest doc_id."""
     return simhash.keep_one(docs, words=3, max_bits=2)
 
 
-STAGES = [("simhash_near_dedup", near_dedup)]
+STAGES = [("quality_classifier", quality), ("simhash_near_dedup", near_dedup)]
 
 #: The classifier and the packing cannot be said in SQL; tests hold the rows against brute force.
 ORACLE_SQL = None

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunehouse.llm import simhash
+from tunehouse.llm import quality_crf, simhash
 from tunehouse.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,3 +26,9 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: 3-word shingles, 2 bits."""
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"), words=3, max_bits=2)
     return found.select("doc_id", "fingerprint", "component_id")
+
+
+@query
+def op3_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents from a conditional random field over their lines."""
+    return quality_crf.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
