@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunehouse.llm import quality_crf, simhash
+from tunehouse.llm import quality_crf, rule_ledger, simhash
 from tunehouse.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,3 +32,13 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all documents from a conditional random field over their lines."""
     return quality_crf.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query
+def op4_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality rules of all documents, judged by the current policy."""
+    ledger = rule_ledger.judged(rule_ledger.build_ledger(read(spark, sf_dir, "documents")))
+    return ledger.select("doc_id", *rule_ledger.MEASURES[:5], "base_failed", "kept")
+
+
+ORACLES["op4_rule_ledger"] = rule_ledger.JUDGED_SQL
