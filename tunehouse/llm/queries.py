@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunehouse.llm import quality_crf, rule_ledger, simhash
+from tunehouse.llm import mixing, quality_crf, rule_ledger, simhash
 from tunehouse.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,3 +42,12 @@ def op4_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op4_rule_ledger"] = rule_ledger.JUDGED_SQL
+
+
+@query
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to source weights 5, 2, 1 in turn, 3 epochs at most."""
+    return mixing.mix(read(spark, sf_dir, "documents"))
+
+
+ORACLES["op5_mixing"] = mixing.MIX_SQL
