@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunehouse.llm import mixing, quality_crf, rule_ledger, simhash
-from tunehouse.llm.common import read
+from tunehouse.llm import mixing, quality_crf, rule_ledger, simhash, warc
+from tunehouse.llm.common import landed, read
+from tunehouse.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,3 +52,15 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op5_mixing"] = mixing.MIX_SQL
+
+
+@query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to WARC archives, read back and assembled, revisits resolved."""
+    path = scratch_path(spark, "warc")
+    warc.write_captures(read(spark, sf_dir, "pages"), path, min_bytes=0)
+    records = landed(warc.read_records(spark, path, payloads=False), "warc-records")[0]
+    return warc.resolved(warc.assemble(records))
+
+
+ORACLES["op6_warc"] = warc.CAPTURES_SQL
