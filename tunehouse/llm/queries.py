@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunehouse.llm import mixing, quality_crf, rule_ledger, simhash, warc
+from tunehouse.llm import mixing, quality_crf, rule_ledger, secret_scan, simhash, warc
 from tunehouse.llm.common import landed, read
 from tunehouse.session import scratch_path
 
@@ -64,3 +64,9 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op6_warc"] = warc.CAPTURES_SQL
+
+
+@query
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents."""
+    return secret_scan.digest(secret_scan.scan(read(spark, sf_dir, "documents")))
