@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunehouse.llm import mixing, quality_crf, rule_ledger, secret_scan, simhash, warc
+from tunehouse.llm import mixing, packing, quality_crf, rule_ledger, secret_scan, simhash, warc
 from tunehouse.llm.common import landed, read
 from tunehouse.session import scratch_path
 
@@ -70,3 +70,9 @@ ORACLES["op6_warc"] = warc.CAPTURES_SQL
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents."""
     return secret_scan.digest(secret_scan.scan(read(spark, sf_dir, "documents")))
+
+
+@query
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    return packing.pack(read(spark, sf_dir, "documents"))

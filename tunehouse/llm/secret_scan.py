@@ -220,5 +220,5 @@ def digest(scanned: DataFrame) -> DataFrame:
         some = F.filter("found", lambda s: s["kind"].isin(*kinds))
         return F.array_join(F.transform(some, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
-    counts = [F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in BASE_KINDS]
+    counts = [F.expr(f"cast(size(filter(found, s -> s.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in BASE_KINDS]
     return scanned.select("doc_id", *counts, F.sha2(line(BASE_KINDS), 256).alias("base_sha256"), line(KINDS).alias("spans"))
