@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tunehouse.llm import mixing, packing, quality_crf, simhash
+from tunehouse.llm import mixing, packing, pii, quality_crf, simhash
 from tunehouse.llm.common import landed, read
 
 
@@ -18,6 +18,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs, words=3, max_bits=2)
 
 
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by surrogates."""
+    return pii.replace_personal_data(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources are brought to their target weights; a document has a row for each time it is taken."""
     return mixing.mixed_documents(docs)
@@ -28,7 +33,13 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
-STAGES = [("quality_classifier", quality), ("simhash_near_dedup", near_dedup), ("mixing", mix), ("packing", pack)]
+STAGES = [
+    ("quality_classifier", quality),
+    ("simhash_near_dedup", near_dedup),
+    ("pii_surrogates", private),
+    ("mixing", mix),
+    ("packing", pack),
+]
 
 #: The classifier and the packing cannot be said in SQL; tests hold the rows against brute force.
 ORACLE_SQL = None

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunehouse.llm import embedding_dedup, mixing, packing, quality_crf, rule_ledger, secret_scan, simhash, warc
+from tunehouse.llm import embedding_dedup, mixing, packing, pii, quality_crf, rule_ledger, secret_scan, simhash, warc
 from tunehouse.llm.common import landed, read
 from tunehouse.session import scratch_path
 
@@ -82,3 +82,9 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicates among all embeddings of a label, cosine 0.93 or more."""
     return embedding_dedup.vector_links(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with personal data replaced by surrogates."""
+    return pii.surrogate_texts(read(spark, sf_dir, "documents"))
