@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunehouse.llm import embedding_dedup, mixing, packing, pii, quality_crf, rule_ledger, secret_scan, simhash, warc
+from tunehouse.llm import embedding_dedup, licenses, mixing, packing, pii, quality_crf, rule_ledger, secret_scan, simhash, warc
 from tunehouse.llm.common import landed, read
 from tunehouse.session import scratch_path
 
@@ -22,6 +22,16 @@ def query(build: Query) -> Query:
     return build
 
 
+@query
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of all documents, taken as files of a directory tree."""
+    files = licenses.document_files(read(spark, sf_dir, "documents"))
+    return licenses.license_scan(files).withColumnRenamed("key", "doc_id")
+
+
+ORACLES["op1_licenses"] = licenses.LICENSE_SQL
+
+
 @query
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: 3-word shingles, 2 bits."""
