@@ -35,3 +35,13 @@ def word_count(text: Column) -> Column:
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct, so that helper columns beside it clash with none of them."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def fields(df: DataFrame, row: str, **changed: Column) -> list[Column]:
+    """The columns of ``df`` out of a ``whole_row`` column, some of them with another value."""
+    return [changed.get(c, F.col(f"{row}.`{c}`")).alias(c) for c in df.columns]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tunehouse.llm.common import WORD, landed, text_or_empty, word_count
+from tunehouse.llm.common import WORD, fields, landed, text_or_empty, whole_row, word_count
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
@@ -142,17 +142,21 @@ def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int
     The documents themselves are not shuffled: the stored plan has one row per source, and Spark broadcasts it if
     it is small. n_chars, where there is one, follows the text.
     """
-    keyed = with_keys(docs, None, seed)
+    packed = docs.select(
+        whole_row(docs).alias("__row"), "doc_id", F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("source")
+    )
+    keyed = with_keys(packed, None, seed)
     slim = landed(keyed.select("doc_id", "source", *OWN), "mix-keys")[0]
     rows = _with_taken(keyed, landed(mixing_plan(slim, weights, cap), "mix-plan")[0])
     extra = F.col("__extra")
     part = F.when(extra == F.col("__size"), F.col("text")).otherwise(first_words(F.col("text"), extra))
     parts = F.when(extra > 0, F.array(part)).otherwise(F.array().cast("array<string>"))
     copies = F.concat(F.array_repeat("text", F.col("__plan.epochs").cast("int")), parts)
-    out = rows.where("__size > 0").withColumn("text", F.explode(copies))
+    out = rows.where("__size > 0").select("__row", F.explode(copies).alias("__text"))
+    changed = {"text": F.col("__text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        changed["n_chars"] = F.length("__text").cast(docs.schema["n_chars"].dataType)
+    return out.select(*fields(docs, "__row", **changed))
 
 
 #: DuckDB

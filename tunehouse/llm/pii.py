@@ -7,11 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunehouse.llm.common import landed, remove, text_or_empty
+from tunehouse.llm.common import fields, landed, remove, text_or_empty, whole_row
 
 KEY = "tunehouse"  # stands for the secret that an owner of the data passes
 ROUNDS = 64
-ROW, FOUND, NAMES = "__row", "__found", "__names"
 
 # fixed values: titles and common given names, by gender; name parts by script
 TITLES = {
@@ -293,25 +292,25 @@ def replace_personal_data(docs: DataFrame, key: str = KEY) -> DataFrame:
     matter; the others pass as they are. A document's entities are gathered per document, which its text bounds; a frequent
     entity is a plain join, which adaptive execution can split. NULL and empty texts stay as they are.
     """
-    columns = docs.columns
-    text = F.col("text")
+    text = F.col("text").cast("string")
     found = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
-    some = docs.where(has_personal_data(text)).withColumns({ROW: F.monotonically_increasing_id(), FOUND: found})
+    some = docs.where(has_personal_data(text))
+    some = some.select(whole_row(docs).alias("row"), text.alias("text"), F.monotonically_increasing_id().alias("number"), found.alias("found"))
     hits = landed(some, "personal")[0]
-    tokens = hits.select(ROW, F.explode(F.array_distinct(FOUND)).alias("entity"))
-    tokens = tokens.select(ROW, F.explode(entity_tokens(F.col("entity"))).alias("t")).select(ROW, "t.kind", "t.norm").distinct()
+    tokens = hits.select("number", F.explode(F.array_distinct("found")).alias("entity"))
+    tokens = tokens.select("number", F.explode(entity_tokens(F.col("entity"))).alias("t")).select("number", "t.kind", "t.norm").distinct()
     tokens = landed(tokens, "personal-tokens")[0]
     known = assign(tokens.select("kind", "norm").distinct(), key)
     pair = F.struct(F.concat_ws(":", "kind", "norm"), F.col("surrogate"))
-    names = tokens.join(known, ["kind", "norm"]).groupBy(ROW).agg(F.map_from_entries(F.collect_list(pair)).alias(NAMES))
-    rows = hits.join(names, ROW, "left")
-    gaps = F.split(text, PATTERN, -1)
-    made = F.transform(FOUND, lambda e: render(e, F.col(NAMES)))
-    pieces = F.zip_with(gaps, made, lambda g, m: F.concat(g, F.coalesce(m, F.lit(""))))
-    changed = rows.withColumn("text", F.array_join(pieces, ""))
-    if "n_chars" in columns:
-        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return docs.where(~has_personal_data(text)).unionByName(changed.select(*columns))
+    names = tokens.join(known, ["kind", "norm"]).groupBy("number").agg(F.map_from_entries(F.collect_list(pair)).alias("names"))
+    rows = hits.join(names, "number", "left")
+    made = F.transform("found", lambda e: render(e, F.col("names")))
+    pieces = F.zip_with(F.split("text", PATTERN, -1), made, lambda g, m: F.concat(g, F.coalesce(m, F.lit(""))))
+    rewritten = rows.select("row", F.array_join(pieces, "").alias("new"))
+    changed = {"text": F.col("new")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.length("new").cast(docs.schema["n_chars"].dataType)
+    return docs.where(~has_personal_data(text)).unionByName(rewritten.select(*fields(docs, "row", **changed)))
 
 
 def entity_count(text: Column) -> Column:

@@ -11,10 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tunehouse.llm.common import fields, whole_row
+
 SAMPLE_DOCS = 4_000  # labelled documents that the model is fitted on, at most
 SAMPLE_LINES = 300  # longer labelled documents are not taken into that sample
 THRESHOLD = 0.3
-SCORE = "__score"
 
 CLASSES = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "#*$%&|<>", "!", "|", "0123456789", ".,;:?")
 IN_CLASS = np.zeros((len(CLASSES), 256), np.float32)
@@ -235,33 +236,30 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sa
 
 
 def with_scores(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with the column ``__score`` (0 to 1); all other columns pass as they are.
+    """(row, score) per row of ``docs``: all its columns as a struct, and the score from 0 to 1.
 
     NULL, empty and blank texts are one empty line. Texts are scored whole; nothing but the text is looked at.
     """
-    place = docs.columns.index(text_col)
-    schema = T.StructType([*docs.schema.fields, T.StructField(SCORE, T.DoubleType())])
+    packed = docs.select(whole_row(docs).alias("row"), F.col(text_col).cast("string").alias("text"))
+    schema = T.StructType([packed.schema["row"], T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = model.score(batch.column(place).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, SCORE])
+            scores = pa.array(model.score(batch.column(1).to_pylist()), pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), scores], names=["row", "score"])
 
-    return docs.mapInArrow(run, schema)
+    return packed.mapInArrow(run, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per document: doc_id, held_out, score and predicted (1 from a score of 0.3 on); a NULL id is not held out."""
-    slim = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    scored = with_scores(slim, train(docs, labels))
+    scored = with_scores(docs.select("doc_id", "text"), train(docs, labels))
+    key = F.col("row.doc_id")
     return scored.select(
-        "doc_id",
-        held_out(F.col("doc_id")).alias("held_out"),
-        F.col(SCORE).alias("score"),
-        (F.col(SCORE) >= THRESHOLD).cast("int").alias("predicted"),
+        key.alias("doc_id"), held_out(key).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
     )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are predicted good, with the same columns."""
-    return with_scores(docs, train(docs, labels)).where(F.col(SCORE) >= THRESHOLD).drop(SCORE)
+    return with_scores(docs, train(docs, labels)).where(F.col("score") >= THRESHOLD).select(*fields(docs, "row"))

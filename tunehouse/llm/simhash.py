@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunehouse.llm.common import landed, text_or_empty
+from tunehouse.llm.common import fields, landed, text_or_empty, whole_row
 from tunehouse.llm.components import connected_components
 
 SEED = 42
@@ -131,6 +131,6 @@ def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataFrame:
     """
     groups = near_duplicates(docs.where("doc_id is not null"), words=words, max_bits=max_bits)
     kept = groups.select(F.col("component_id").alias("doc_id")).distinct()
-    named = docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
-    one = named.groupBy("doc_id").agg(F.min_by(F.struct(*named.columns), text_or_empty()).alias("row"))
-    return one.select("row.*").unionByName(docs.where("doc_id is null"))
+    named = docs.join(kept, "doc_id", "left_semi")
+    one = named.groupBy("doc_id").agg(F.min_by(whole_row(docs), text_or_empty()).alias("row"))
+    return one.select(*fields(docs, "row")).unionByName(docs.where("doc_id is null"))
