@@ -1,0 +1,106 @@
+import re
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from tunehouse.llm import mixing
+
+
+def plain_targets(sizes, weights=(5, 2, 1), cap=3):
+    """Share by weight, stop at the cap, share the excess again, until none is above."""
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    left, free, target = float(sum(sizes.values())), set(names), {}
+    while free:
+        heft = sum(weight[s] for s in free)
+        over = {s for s in free if left * weight[s] / heft >= cap * sizes[s]}
+        if not over:
+            return target | {s: left * weight[s] / heft for s in free}
+        for s in over:
+            target[s] = cap * sizes[s]
+            left -= target[s]
+        free -= over
+    return target
+
+
+@pytest.mark.parametrize(
+    "sizes",
+    [
+        {"a": 10, "b": 1000, "c": 5000},
+        {"a": 1, "b": 2, "c": 3, "d": 100_000, None: 7},
+        {"a": 0, "b": 0},
+        {"a": 0, "b": 9},
+        {"é": 50, "z": 50, "Z": 50, "ø": 1},
+        {None: 12},
+    ],
+)
+def test_targets(spark, sizes):
+    df = spark.createDataFrame(list(sizes.items()), "source string, source_size bigint")
+    got = {r["source"]: r["target"] for r in mixing.source_targets(df).collect()}
+    assert got == pytest.approx(plain_targets(sizes))
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def test_awkward_rows(awkward, awkward_rows, nothing):
+    rows = mixing.mix(awkward).collect()
+    assert sorted((r["doc_id"] or 0, r["size"]) for r in rows) == sorted((k or 0, len(words(t))) for k, t, _ in awkward_rows)
+    sizes = defaultdict(int)
+    for _, t, s in awkward_rows:
+        sizes[s] += len(words(t))
+    target = plain_targets(sizes)
+    by_size = {v: k for k, v in sizes.items()}
+    assert len(by_size) == len(sizes)
+    taken = defaultdict(int)
+    for r in rows:
+        assert 0 <= r["taken"] <= 3 * r["size"]
+        source = by_size[r["source_size"]]
+        assert r["target"] == pytest.approx(target[source])
+        taken[source] += r["taken"]
+    assert all(taken[s] == int(target[s] + 1e-9) for s in sizes)
+    assert sorted(map(tuple, mixing.mix(awkward.repartition(7)).collect()), key=repr) == sorted(map(tuple, rows), key=repr)
+    assert mixing.mix(nothing).count() == 0
+
+
+def test_documents_follow_the_plan(awkward, nothing):
+    mixed = mixing.mixed_documents(awkward)
+    assert mixed.dtypes == awkward.dtypes
+    taken = defaultdict(int)
+    for r in mixed.collect():
+        taken[r["doc_id"]] += len(words(r["text"]))
+        assert r["n_chars"] == len(r["text"])
+    want = defaultdict(int)
+    for r in mixing.mix(awkward).collect():
+        want[r["doc_id"]] += r["taken"]
+    assert taken == {k: v for k, v in want.items() if v}
+    assert mixing.mixed_documents(nothing).count() == 0
+
+
+def test_epochs_come_before_the_fraction(spark):
+    rows = [(i, "w " * (i % 7 + 1), "a") for i in range(300)] + [(1000 + i, "w " * 20, "b") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = [r for r in mixing.mix(docs, weights=(1, 1)).collect() if r["doc_id"] < 1000]
+    epochs = int(got[0]["target"]) // got[0]["source_size"]
+    assert 1 <= epochs
+    assert all(r["taken"] >= epochs * r["size"] for r in got)
+    assert sum(r["taken"] not in (epochs * r["size"], (epochs + 1) * r["size"]) for r in got) <= 1
+
+
+def test_heavier_documents_come_first(spark):
+    docs = spark.range(4000).select(
+        F.col("id").alias("doc_id"),
+        F.lit("w w w w").alias("text"),
+        F.when(F.col("id") < 2000, "a").otherwise("b").alias("source"),
+        F.when(F.col("id") % 2 == 0, 1.0).otherwise(0.25).alias("quality"),
+    )
+    got = mixing.mix(docs, weights=(1, 3), weight=F.col("quality")).where("doc_id < 2000").collect()
+    heavy, light = (sum(r["taken"] for r in got if r["doc_id"] % 2 == k) for k in (0, 1))
+    assert heavy + light == 4000 and heavy > 2.5 * light
+
+
+def test_first_words(one):
+    text = F.lit(" a  b\nc\td ")
+    assert [one(mixing.first_words(text, F.lit(n))) for n in (0, 1, 2, 4, 9)] == ["", " a", " a  b", " a  b\nc\td", " a  b\nc\td "]

@@ -1,0 +1,116 @@
+import base64
+import hashlib
+import json
+import re
+
+import pytest
+
+from tunehouse.llm import secret_scan as S
+
+
+def plain_base(text):
+    """Leftmost matches, looked for place by place."""
+    out, text = [], text or ""
+    assign = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+    for kind, pattern, least, group in (("assign", assign, 12, 2), ("access", re.compile("AKIA[A-Z0-9]+"), 18, 0), ("hex", re.compile("[0-9a-f]+"), 16, 0)):
+        at = 0
+        while at < len(text):
+            m = pattern.match(text, at)
+            if m:
+                if len(m[group]) >= least:
+                    out.append((kind, m.start(), m.end()))
+                at = m.end()
+            else:
+                at += 1
+    return sorted(out, key=lambda s: (s[1], S.KINDS.index(s[0])))
+
+
+def der(tag, body):
+    n = len(body)
+    size = bytes([n]) if n < 128 else (lambda b: bytes([0x80 | len(b)]) + b)(n.to_bytes((n.bit_length() + 7) // 8, "big"))
+    return bytes([tag]) + size + body
+
+
+def integer(n):
+    return der(2, n.to_bytes(n.bit_length() // 8 + 1, "big"))
+
+
+def string(b):
+    return len(b).to_bytes(4, "big") + b
+
+
+def b64(data):
+    return base64.b64encode(data).decode()
+
+
+RSA = der(0x30, b"".join(map(integer, [0, 3 << 500, 65537, 5 << 490, 7 << 250, 9 << 240, 3, 4, 5])))
+PKCS8 = der(0x30, integer(0) + der(0x30, der(6, b"\x2b\x65\x70")) + der(4, der(4, bytes(range(32)))))
+EC = der(0x30, integer(1) + der(4, bytes(range(1, 33))))
+SSH = string(b"ssh-ed25519") + string(bytes(range(32)))
+JWT = ".".join(base64.urlsafe_b64encode(x).decode().rstrip("=") for x in (json.dumps({"alg": "HS256", "typ": "JWT"}).encode(), b'{"sub":"1"}', b"signature-bytes-here"))
+
+
+def kinds(text):
+    return {k for k, _, _ in S.spans(text)} - set(S.BASE_KINDS)
+
+
+def test_base_spans(awkward_rows, con):
+    texts = [t for _, t, _ in awkward_rows] + [t for (t,) in con.execute("select text from documents").fetchall()]
+    texts += [
+        "password=abcdefghijkl", "PassWd : 'abcdefghijk'", "token = password=abcdefghijkl", "api_key\":\"aaaaaaaaaaaa", "apikey  ==abcdefghijkl",
+        "ſecret=abcdefghijkl toKen:abcdefghijkl", "secret=short secret=" + "a" * 12, "AKIA" + "A" * 13, "AKIA" + "A" * 14, "AKIAAKIA" + "B" * 14,
+        "0123456789abcdef", "0123456789abcde", "é 0123456789abcdef0 😀 0123456789abcdef", "token=" + "f" * 40,
+    ]
+    for text in texts:
+        got = [s for s in S.spans(text) if s[0] in S.BASE_KINDS]
+        assert got == plain_base(text), text
+
+
+@pytest.mark.parametrize("key", [RSA, PKCS8, EC])
+def test_keys_in_der(key):
+    assert S.is_private_der(key)
+    assert kinds(f"x {b64(key)} y") == {"der"} and kinds(f"x {key.hex()} y") == {"der"} and kinds(key.hex().upper()) == {"der"}
+    pem = f"-----BEGIN PRIVATE KEY-----\n{b64(key)}\n-----END PRIVATE KEY-----"
+    assert "pem" in kinds(f"see {pem}.")
+    assert not kinds(b64(key[:-1])) and not kinds(b64(key + b"\0")) and not kinds(pem.replace("PRIVATE KEY", "CERTIFICATE").replace(b64(key), "QUJD"))
+    broken = bytearray(key)
+    broken[1] ^= 1
+    assert not S.is_private_der(bytes(broken))
+
+
+def test_other_der_is_no_key():
+    assert not S.is_private_der(der(0x30, der(0x0C, b"hello") * 5))
+    assert not S.is_private_der(der(0x30, integer(0)))
+    assert not S.is_private_der(b"") and not S.is_private_der(b"\x30\x80\x00\x00")
+
+
+def test_ssh_and_tokens():
+    assert kinds("key " + b64(SSH)) == {"ssh"} and not kinds("key " + b64(SSH[:-1]))
+    assert kinds(b64(S.SSH_PRIVATE + string(b"none") + string(b"none") + bytes(40))) == {"ssh"}
+    assert kinds(f"Bearer {JWT}") == {"jwt"}
+    head, body, signature = JWT.split(".")
+    other = base64.urlsafe_b64encode(b'{"alg":"ROT13"}').decode().rstrip("=")
+    assert not kinds(f"{other}.{body}.{signature}") and not kinds(f"{head}.AAAA.{signature}") and not kinds("eyJhbGciOi.eyJ.x")
+
+
+def test_random_base64_is_not_reported():
+    noise = b64(hashlib.sha512(b"x").digest() * 3)
+    assert not kinds(noise) and not kinds(hashlib.sha512(b"y").hexdigest() * 2)
+
+
+def test_query_columns(spark, awkward, awkward_rows, nothing):
+    rows = S.digest(S.scan(awkward)).collect()
+    want = []
+    for k, t, _ in awkward_rows:
+        base = plain_base(t)
+        line = ",".join(f"{a}:{b}:{c}" for a, b, c in base)
+        counts = [sum(s[0] == x for s in base) for x in S.BASE_KINDS]
+        want.append((k, *counts, hashlib.sha256(line.encode()).hexdigest(), S.written(S.spans(t))))
+    assert sorted((tuple(r) for r in rows), key=repr) == sorted(want, key=repr)
+    assert S.digest(S.scan(nothing)).count() == 0
+    docs = spark.createDataFrame([(1, f"é token = {JWT} {b64(RSA)} {RSA.hex()}")], "doc_id int, text string")
+    row = S.digest(S.scan(docs)).first()
+    assert row["spans"] == S.written(S.spans(docs.first()["text"])) and {x.split(":")[0] for x in row["spans"].split(",")} == {"assign", "jwt", "der", "hex"}
+    found = S.scan(docs).first()["found"]
+    text = docs.first()["text"]
+    assert all(s["sha256"] == hashlib.sha256(text[s["start"] : s["end"]].encode()).hexdigest() for s in found)
