@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunehouse.llm.common import fields, landed, remove, text_or_empty, whole_row
+from tunehouse.llm.common import fields, landed, remove, whole_row
 
 KEY = "tunehouse"  # stands for the secret that an owner of the data passes
 ROUNDS = 64
@@ -44,34 +44,37 @@ ENDINGS = {
 
 
 def _any(words: str) -> str:
-    """The words as a pattern, as written and in capitals, long ones first."""
-    both = {*words.split(), *words.upper().split()}
-    return "|".join(sorted(both, key=lambda w: (-len(w), w)))
+    """The words as a pattern, as written and in capitals, long ones first, grouped by their first letter."""
+    by_first: dict[str, set[str]] = {}
+    for word in {*words.split(), *words.upper().split()}:
+        by_first.setdefault(word[0], set()).add(word[1:])
+    return "|".join(f"{c}(?:{'|'.join(sorted(rest, key=lambda w: (-len(w), w)))})" for c, rest in sorted(by_first.items()))
 
 
 TITLE = _any(" ".join(TITLES.values()))
 NAME = r"\p{Lu}(?:\p{Ll}+|\p{Lu}+)(?:[-'’]\p{L}+)?"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
+GIVEN_NAME = _any(" ".join(GIVEN.values()))
+INITIALS = "".join(sorted({w[0] for w in " ".join([*TITLES.values(), *GIVEN.values()]).split()}))
 # in the order in which they are tried; separators are such that neighbouring numbers are not drawn in
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-    "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: [A-Z0-9]{4}){3,7}(?: [A-Z0-9]{1,3})?(?!\w)|(?<!\w)[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?!\w)",
-    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?\(\d{1,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)"
+    "iban": r"(?=[A-Z]{2}\d)(?<!\w)(?:[A-Z]{2}\d{2}(?: [A-Z0-9]{4}){3,7}(?: [A-Z0-9]{1,3})?|[A-Z]{2}\d{2}[A-Z0-9]{11,30})(?!\w)",
+    "phone": r"(?=[+(\d])(?:(?<![\w+])\+\d{1,3}[ .-]?\(\d{1,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)"
     r"|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d|[.-]\d)"
-    r"|(?<![\w(.-])(?:\(\d{3}\) ?|\d{3}[-.])\d{3}[-.]\d{4}(?!\d|[.-]\d)",
-    "card": r"(?<![\w.])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,4}|\d{4}[ -]\d{6}[ -]\d{5})(?!\w|\.\d)",
-    "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "ip": rf"(?<![\w.])(?:{OCTET}\.){{3}}{OCTET}(?!\w|\.\d)",
-    "person": rf"(?<![\p{{L}}\p{{N}}])(?:(?:{TITLE})\.? ){{1,2}}{NAME}(?: {NAME})?|(?<![\p{{L}}\p{{N}}])(?:{_any(' '.join(GIVEN.values()))}) {NAME}(?![\p{{L}}\p{{N}}])",
+    r"|(?<![\w(.-])(?:\(\d{3}\) ?|\d{3}[-.])\d{3}[-.]\d{4}(?!\d|[.-]\d))",
+    "card": r"(?=\d)(?<![\w.])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,4}|\d{4}[ -]\d{6}[ -]\d{5})(?!\w|\.\d)",
+    "ssn": r"(?=\d)(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
+    "ip": rf"(?=\d)(?<![\w.])(?:{OCTET}\.){{3}}{OCTET}(?!\w|\.\d)",
+    "person": rf"(?=[{INITIALS}])(?<![\p{{L}}\p{{N}}])(?:(?:(?:{TITLE})\.? ){{1,2}}{NAME}(?: {NAME})?|(?:{GIVEN_NAME}) {NAME}(?![\p{{L}}\p{{N}}]))",
 }
-PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
-# no text without any of these can match; tried first, as it is fast
-QUICK = rf"[0-9@]|(?:{TITLE})\.? |{_any(' '.join(GIVEN.values()))}"
+# every kind starts where no letter or digit comes before, so most places are passed over at once
+PATTERN = rf"(?<![\p{{L}}\p{{N}}_])(?:{'|'.join(PATTERNS.values())})"
 LOWER, UPPER = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def has_personal_data(text: Column) -> Column:
-    return F.coalesce(text.rlike(QUICK) & text.rlike(PATTERN), F.lit(False))
+    return F.coalesce(text.rlike(PATTERN), F.lit(False))
 
 
 def kind_of(entity: Column) -> Column:
@@ -284,19 +287,20 @@ def render(entity: Column, names: Column) -> Column:
     return F.when(kind == "person", person).when(kind == "email", email).when(kind == "ip", own).otherwise(_laid_out(entity, own))
 
 
-def replace_personal_data(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """``docs`` with every detected entity of ``text`` replaced; other columns stay, n_chars follows the text.
+def _replaced(docs: DataFrame, key: str) -> DataFrame:
+    """(row, new, n_entities) per row of ``docs``: all its columns as a struct, its text with surrogates.
 
     An entity has one surrogate everywhere, in its own layout each time, and two entities never share one. Only
-    documents with an entity are stored, shuffled and rewritten, by a row number of their own, so NULL ids and repeated rows do not
-    matter; the others pass as they are. A document's entities are gathered per document, which its text bounds; a frequent
-    entity is a plain join, which adaptive execution can split. NULL and empty texts stay as they are.
+    documents with an entity are stored, shuffled and rewritten, by a row number of their own, so NULL ids and
+    repeated rows do not matter; the others pass as they are. A document's entities are gathered per document,
+    which its text bounds; a frequent entity is a plain join, which adaptive execution can split. NULL and empty
+    texts stay as they are.
     """
     text = F.col("text").cast("string")
     found = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
-    some = docs.where(has_personal_data(text))
-    some = some.select(whole_row(docs).alias("row"), text.alias("text"), F.monotonically_increasing_id().alias("number"), found.alias("found"))
-    hits = landed(some, "personal")[0]
+    # the number also keeps the filter behind the extraction, so that each text is searched once here
+    some = docs.select(whole_row(docs).alias("row"), text.alias("text"), F.monotonically_increasing_id().alias("number"), found.alias("found"))
+    hits = landed(some.where(F.size("found") > 0), "personal")[0]
     tokens = hits.select("number", F.explode(F.array_distinct("found")).alias("entity"))
     tokens = tokens.select("number", F.explode(entity_tokens(F.col("entity"))).alias("t")).select("number", "t.kind", "t.norm").distinct()
     tokens = landed(tokens, "personal-tokens")[0]
@@ -306,19 +310,21 @@ def replace_personal_data(docs: DataFrame, key: str = KEY) -> DataFrame:
     rows = hits.join(names, "number", "left")
     made = F.transform("found", lambda e: render(e, F.col("names")))
     pieces = F.zip_with(F.split("text", PATTERN, -1), made, lambda g, m: F.concat(g, F.coalesce(m, F.lit(""))))
-    rewritten = rows.select("row", F.array_join(pieces, "").alias("new"))
-    changed = {"text": F.col("new")}
-    if "n_chars" in docs.columns:
-        changed["n_chars"] = F.length("new").cast(docs.schema["n_chars"].dataType)
-    return docs.where(~has_personal_data(text)).unionByName(rewritten.select(*fields(docs, "row", **changed)))
+    rewritten = rows.select("row", F.array_join(pieces, "").alias("new"), F.size("found").alias("n_entities"))
+    others = docs.where(~has_personal_data(text)).select(whole_row(docs).alias("row"), text.alias("new"), F.lit(0).alias("n_entities"))
+    return others.unionByName(rewritten)
 
 
-def entity_count(text: Column) -> Column:
-    return F.when(has_personal_data(text), F.regexp_count(text, F.lit(PATTERN))).otherwise(0).cast("bigint")
+def replace_personal_data(docs: DataFrame, key: str = KEY) -> DataFrame:
+    """``docs`` with every detected entity of ``text`` replaced; other columns stay, n_chars follows a changed text."""
+    changed = {"text": F.col("new")}
+    if "n_chars" in docs.columns:
+        own = F.col("row.n_chars")
+        changed["n_chars"] = F.when(F.col("n_entities") > 0, F.length("new").cast(docs.schema["n_chars"].dataType)).otherwise(own)
+    return _replaced(docs, key).select(*fields(docs, "row", **changed))
 
 
 def surrogate_texts(docs: DataFrame, key: str = KEY) -> DataFrame:
     """Per row: doc_id, text with surrogates, n_entities (of the original text)."""
-    slim = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    counted = slim.withColumn("n_entities", entity_count(text_or_empty()))
-    return replace_personal_data(counted, key)
+    replaced = _replaced(docs.select("doc_id", "text"), key)
+    return replaced.select("row.doc_id", F.col("new").alias("text"), F.col("n_entities").cast("bigint").alias("n_entities"))
