@@ -1,0 +1,138 @@
+import math
+
+import numpy as np
+import pytest
+
+from tunehouse.llm import embedding_dedup as E
+
+
+def cosine(a, b):
+    return sum(x * y for x, y in zip(a, b, strict=True)) / math.sqrt(sum(x * x for x in a)) / math.sqrt(sum(y * y for y in b))
+
+
+def plain(rows, threshold=0.93):
+    def usable(v, label):
+        return label is not None and v is not None and len(v) > 0 and all(x is not None and math.isfinite(x) for x in v) and any(v)
+
+    n = len(rows)
+    parent, links = list(range(n)), [0] * n
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(n):
+        for j in range(i + 1, n):
+            (_, a, la), (_, b, lb) = rows[i], rows[j]
+            if usable(a, la) and usable(b, lb) and la == lb and len(a) == len(b) and cosine(a, b) >= threshold:
+                links[i] += 1
+                links[j] += 1
+                x, y = find(i), find(j)
+                parent[max(x, y)] = min(x, y)
+    out = []
+    for i, (k, _, _) in enumerate(rows):
+        ids = [rows[j][0] for j in range(n) if find(j) == find(i) and rows[j][0] is not None]
+        smallest = min(ids) if ids else None
+        out.append((k, links[i], smallest, k == smallest))
+    return sorted(out, key=repr)
+
+
+def run(spark, rows, kind="array<float>", **options):
+    df = spark.createDataFrame([(*r, 0, "x") for r in rows], f"vec_id bigint, embedding {kind}, label int, raw int, cls string")
+    return sorted((tuple(r) for r in E.vector_links(df, **options).collect()), key=repr)
+
+
+def clusters(seed, count=40, size=6, dim=64, noise=0.25):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for c in range(count):
+        centre = rng.normal(size=dim)
+        centre /= np.linalg.norm(centre)
+        for _ in range(size):
+            near = rng.normal(size=dim)
+            v = centre + rng.uniform(0, noise) * near / np.linalg.norm(near)
+            rows.append((len(rows), np.float32(v).tolist(), c % 3))
+    return rows
+
+
+def test_clusters_equal_brute_force(spark):
+    rows = clusters(1)
+    assert run(spark, rows) == plain(rows)
+
+
+def test_blocks_of_a_large_bucket(spark, monkeypatch):
+    """One cluster over many small blocks, with the pair-by-pair path off and on."""
+    rows = clusters(2, count=2, size=60, noise=0.2)
+    want = plain(rows)
+    for small in (0, 32):
+        monkeypatch.setattr(E, "BLOCK", 8)
+        monkeypatch.setattr(E, "SMALL", small)
+        monkeypatch.setattr(E, "CHUNK", 50)
+        assert run(spark, rows) == want
+
+
+def test_awkward_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, None, 1), (2, [], 1), (3, [0.0, 0.0], 1), (4, [nan, 1.0], 1), (5, [inf, 1.0], 1), (6, [None, 1.0], 1),
+        (7, [1.0, 0.0], None), (8, [1.0, 0.0], None), (9, [1.0, 0.0], 1), (10, [2.0, 0.0], 1), (11, [1.0, 0.0], 2),
+        (12, [1.0, 0.0, 0.0], 1), (13, [1.0, 0.0], 1), (13, [1.0, 0.0], 1), (None, [1.0, 0.0], 1), (None, [0.0, 1.0], 3),
+        (14, [-1.0, 0.0], 1), (15, [1e-30, 0.0], 1), (16, [3e38, 1e38], 1), (17, [5.0], 4), (18, [7.0], 4), (19, [-7.0], 4), (20, [-0.0, 1.0], 5), (21, [0.0, 1.0], 5),
+    ]
+    want = plain(rows)
+    # a NULL id with no other id in its component is its own representative
+    want = sorted([(k, n, c, True if k is None and c is None else kept) for k, n, c, kept in want], key=repr)
+    assert run(spark, rows) == want
+    assert run(spark, rows, "array<double>") == want
+
+
+def test_copies_are_not_paired(spark):
+    rows = [(i, [1.0, 2.0, 3.0], 1) for i in range(500)] + [(500, [1.0, 2.0, 3.01], 1)]
+    got = run(spark, rows)
+    assert {r[1] for r in got} == {500} and {r[2] for r in got} == {0} and sum(r[3] for r in got) == 1
+
+
+def test_empty_table(spark):
+    assert run(spark, []) == []
+
+
+def test_estimates_are_unbiased_and_bounded():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = x + 0.25 * rng.normal(size=x.shape) / 8
+    near /= np.linalg.norm(near, axis=1, keepdims=True)
+    both = np.concatenate([x, near])
+    keys, signs, factor = E.encode(both, 48, 16)
+    rows = E.Rows(both, keys, signs, factor, np.zeros(len(both), int), 0.93)
+    i, j = np.arange(400), np.arange(400, 800)
+    estimate = np.einsum("ij,ij->i", rows.corner[i], rows.turned[j]) / factor[i]
+    exact = np.einsum("ij,ij->i", both[i], both[j])
+    assert abs((estimate - exact).mean()) < 0.01
+    far = exact >= 0.93
+    assert far.sum() > 100 and (estimate[far] >= rows.least[i][far]).all()
+
+
+def test_recall_near_the_threshold(spark):
+    """Pairs that lie just above the threshold are found nearly always."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for k in range(300):
+        a = rng.normal(size=64)
+        a /= np.linalg.norm(a)
+        b = rng.normal(size=64)
+        b -= a * (a @ b)
+        b /= np.linalg.norm(b)
+        for v in (a, 0.935 * a + math.sqrt(1 - 0.935**2) * b):
+            rows.append((len(rows), v.tolist(), k % 2))
+    found = sum(r[1] for r in run(spark, rows, "array<double>")) / 2
+    assert found >= 0.98 * 300
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_joined(seed):
+    rng = np.random.default_rng(seed)
+    i, j = rng.integers(0, 50, 40), rng.integers(0, 50, 40)
+    label = E.joined(50, i, j)
+    assert (label[i] == label[j]).all() and (label <= np.arange(50)).all() and (label[label] == label).all()

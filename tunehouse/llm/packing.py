@@ -17,7 +17,7 @@ LENGTH = 2048
 END_ID = 1  # closes each document
 BLOCK = 1 << 19  # tokens after which a run of documents is packed and let go
 SENTENCE_PENALTY = 1.0  # padding tokens that a cut at a sentence's end is worth
-FORCED_PENALTY = 64.0  # the same for a cut inside a sentence
+FORCED_PENALTY = 16.0  # the same for a cut inside a sentence
 SHORT_PENALTY = 4.0  # the same for a sequence that is not filled up, as its length is a power of two
 PIECES = "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
@@ -89,24 +89,25 @@ def token_ids(texts: list[str | None], path: str) -> list[np.ndarray]:
 def cut_points(ids: np.ndarray, ends: np.ndarray, doc_ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Places where a run of tokens may be cut, ascending, 0 and the end included, and the penalty of each.
 
-    Cuts at a document's end are free. Where two places lie further apart than a sequence, forced ones are put between.
+    Cuts at a document's end are free. Forced ones are put where two places lie further apart than a sequence, and
+    before the end.
     """
     total = len(ids)
     places = np.flatnonzero(ends[ids]) + 1
     places = np.setdiff1d(places, np.concatenate([doc_ends, doc_ends - 1]))
     at = np.concatenate([[0], doc_ends, places])
     cost = np.concatenate([np.zeros(len(doc_ends) + 1), np.full(len(places), SENTENCE_PENALTY)])
+    wide = np.sort(at)
+    gaps = np.flatnonzero(np.diff(wide) > length)
+    inside = [np.arange(wide[i] + length // 8, wide[i + 1], length // 8) for i in gaps]
+    # the run's last tokens hardly fill a sequence, but may make a few whose lengths are powers of two
+    powers = 1 << np.arange(length.bit_length())
+    tail = total - np.concatenate([powers, np.add.outer(powers, powers).ravel()])
+    more = np.setdiff1d(np.concatenate([*inside, tail[tail > 0]]), at)
+    at = np.concatenate([at, more])
+    cost = np.concatenate([cost, np.full(len(more), FORCED_PENALTY)])
     order = np.argsort(at, kind="stable")
     at, cost = at[order], cost[order]
-    gaps = np.diff(at)
-    if len(gaps) and gaps.max() > length:
-        wide = np.flatnonzero(gaps > length)
-        step = length // 8
-        more = np.concatenate([np.arange(at[i] + step, at[i + 1], step) for i in wide])
-        at = np.concatenate([at, more])
-        cost = np.concatenate([cost, np.full(len(more), FORCED_PENALTY)])
-        order = np.argsort(at, kind="stable")
-        at, cost = at[order], cost[order]
     assert at[0] == 0 and at[-1] == total
     return at, cost
 
