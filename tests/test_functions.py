@@ -105,3 +105,31 @@ def test_cross_rate_and_default(one):
 def test_first_mid(one):
     assert one(first_mid(F.lit('{"code":"USD","rates":[{"mid":3.9},{"mid":4.0}]}'))) == 3.9
     assert one(first_mid(F.lit('{"rates":[]}'))) is None
+
+
+@pytest.mark.parametrize(
+    "part, whole, out",
+    [
+        ("499999.99", "10000000000.00", "0.00%"),
+        ("500000.00", "10000000000.00", "0.01%"),
+        ("-500000.00", "10000000000.00", "-0.01%"),
+        ("499999.99", "-10000000000.00", "0.00%"),
+        ("12.00", "-8.00", "-150.00%"),
+        ("99999999999999.99", "0.01", "999999999999999900.00%"),
+    ],
+)
+def test_percentages_are_rounded_once(one, part, whole, out):
+    assert one(numbers.percent_text(numbers.percent_of(dec(part, "decimal(22,2)"), dec(whole, "decimal(22,2)")))) == out
+
+
+@pytest.mark.parametrize("amount, n, out", [("200999.99", 200_000, "1.00"), ("201000.00", 200_000, "1.01"), ("-201000.00", 200_000, "-1.01"), ("1.00", 0, None)])
+def test_averages_are_rounded_once(one, amount, n, out):
+    got = one(numbers.average_of(dec(amount, "decimal(22,2)"), F.lit(n).cast("bigint")))
+    assert got == (None if out is None else Decimal(out))
+
+
+@pytest.mark.parametrize("usd_pln, ils_pln", [(4.0, 0.0), (0.0, 1.0), (None, 1.0), (4.0, None)])
+def test_unusable_rate_gives_the_default(one, usd_pln, ils_pln):
+    rate = [F.lit(r).cast("double") for r in (usd_pln, ils_pln)]
+    assert one(money.usd_to_ils(F.lit(10.0), *rate)) is None
+    assert one(money.usd_to_ils_or_default(F.lit(10.0), *rate)) == pytest.approx(35.6)
