@@ -67,7 +67,7 @@ def test_position_in_group_spreads_a_group(spark):
 
 def test_head_rest_split(skewed):
     data, df = skewed
-    head, rest = ranking.head_rest_split(df, 25, "k", "n", "k")
+    head, rest = ranking.head_rest_split(df, 25, "n", "k")
     ordered = sorted(data, key=lambda r: (r[2], r[1]))
     assert rows(head) == sorted(ordered[:25], key=repr)
     assert rows(rest) == sorted(ordered[25:], key=repr)
@@ -113,9 +113,19 @@ def test_update_from_keeps_unmatched_rows_and_never_multiplies(spark):
     assert rows(got) == sorted([(1, 99, "a"), (2, 20, "b"), (None, 30, "c"), (3, None, "d")], key=repr)
 
 
-def test_broadcast_only_if_small(spark):
-    def plan(limit):
-        small = joins.broadcast_if_small(spark.range(50), limit)
+def test_broadcast_only_within_a_bound(spark):
+    def plan(bound):
+        small = joins.broadcast_within(spark.range(50), bound, rows=50)
         return spark.range(1000).join(small, "id")._jdf.queryExecution().optimizedPlan().toString()
 
-    assert "strategy=broadcast" in plan(50) and "strategy=broadcast" not in plan(49)
+    assert "strategy=broadcast" in plan(50) and "strategy=broadcast" not in plan(51)
+
+
+def test_head_and_rest_hold_every_row_once(spark):
+    """Rows with NULL keys and repeated rows are in one of the two parts, as often as in the table."""
+    data = [(None, 1), (None, 1), (1, 1), (1, 1), (1, 1), (2, None), (2, 2), (None, 9)]
+    df = spark.createDataFrame(data, "k int, n int").repartition(3)
+    for n in range(len(data) + 2):
+        head, rest = ranking.head_rest_split(df, n, "n", "k")
+        assert head.count() == min(n, len(data))
+        assert sorted(map(tuple, head.collect() + rest.collect()), key=repr) == sorted(data, key=repr)

@@ -1,7 +1,9 @@
 """Files, tables and rates."""
 
 import datetime
+import json
 import os
+import warnings
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ from tunehouse.schemas import LONG, TEXT
 from tunehouse.sinks import files as out
 from tunehouse.sinks import tables
 from tunehouse.sources import files, rates
-from tunehouse.sources.tables import jdbc_options
+from tunehouse.sources.tables import jdbc_options, read_jdbc
 
 
 @pytest.fixture
@@ -171,3 +173,87 @@ def test_scratch_folder_comes_from_the_session(spark, monkeypatch):
 
 def test_response_schema_has_nested_mid():
     assert RATE_RESPONSE["rates"].dataType.elementType.fieldNames() == ["mid"]
+
+
+def test_refresh_with_other_columns_loses_none(spark, tmp_path):
+    name = "refresh_columns"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    tables.refresh_table(spark.range(2), name, str(tmp_path))
+    wider = spark.range(2).selectExpr("id", "id * 2 as extra")
+    assert rows(tables.refresh_table(wider, name, str(tmp_path))) == [(0, 0), (1, 2)]
+    retyped = spark.range(2).selectExpr("string(id) as id", "id * 3 as extra")
+    assert rows(tables.refresh_table(retyped, name, str(tmp_path))) == [("0", 0), ("1", 3)]
+    assert spark.table(name).dtypes == [("id", "string"), ("extra", "bigint")]
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_refresh_keeps_the_load_before_and_removes_older_ones(spark, tmp_path):
+    name = "refresh_folders"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    loads = [tables.refresh_table(spark.range(n), name, str(tmp_path)) for n in (1, 2, 3, 4)]
+    assert len(os.listdir(tmp_path / name)) == 2
+    assert spark.table(name).count() == 4 and loads[-1].count() == 4
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_delimited_rows_are_checked_whatever_is_asked_for(spark, path):
+    for ask in (lambda df: df.select("department_id").collect(), lambda df: df.count(), lambda df: df.groupBy("department_id").count().collect()):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            ask(files.read_delimited(spark, path("departments_with_dash.txt"), DEPARTMENT))
+
+
+def test_delimited_header_must_name_the_columns(spark, tmp_path):
+    (tmp_path / "swapped.txt").write_text("name-code\nx-1\n")
+    schema = columns(code=TEXT, name=TEXT)
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_delimited(spark, str(tmp_path / "swapped.txt"), schema).collect()
+
+
+def test_large_column_document(spark, tmp_path):
+    """A document of many rows with cells missing here and there."""
+    n = 20_000
+    cells = {
+        "sub_dep_id": {str(i): i for i in range(n)},
+        "sub_dep_name": {str(i): f"n{i}" for i in range(n) if i % 3},
+        "department_id": {str(i): i % 7 for i in range(n) if i % 2},
+        "budget": {},
+    }
+    (tmp_path / "doc.json").write_text(json.dumps(cells))
+    got = files.read_json_columns(spark, str(tmp_path / "doc.json"), SUB_BUDGET).collect()
+    want = {(i, f"n{i}" if i % 3 else None, i % 7 if i % 2 else None, None) for i in range(n)}
+    assert len(got) == n and {tuple(r) for r in got} == want
+
+
+def test_equal_row_keys_of_two_documents_stay_apart(spark, tmp_path):
+    line = '{"sub_dep_id":{"0":%d},"sub_dep_name":{"0":"x"},"department_id":null,"budget":{"0":1,"5":2}}'
+    (tmp_path / "docs.json").write_text("\n".join(line % i for i in (1, 2)))
+    got = files.read_json_columns(spark, str(tmp_path / "docs.json"), SUB_BUDGET, one_per_line=True)
+    assert rows(got) == sorted([(1, "x", None, 1), (2, "x", None, 1), (None, None, None, 2), (None, None, None, 2)], key=repr)
+
+
+def test_jdbc_read_in_one_task_has_to_be_asked_for(spark):
+    with pytest.raises(ValueError):
+        read_jdbc(spark, "jdbc:x", "stg.invoice")
+
+
+def test_local_scratch_folder_on_a_cluster_brings_a_warning(spark):
+    class Session:
+        def __init__(self, folder, master):
+            self.conf = type("Conf", (), {"get": lambda _, key, default=None: folder})()
+            self.sparkContext = type("C", (), {"master": master, "applicationId": "a"})
+            self._jvm, self._jsc = spark._jvm, spark._jsc
+
+    for folder in ("file:///tmp/x", "file:/tmp/x", "/tmp/x"):
+        with pytest.warns(UserWarning, match="mounted"):
+            session.scratch_root(Session(folder, "yarn"))
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        assert session.scratch_root(Session("file:///tmp/x/", "local-cluster[2,1,1024]")) == "file:///tmp/x"
+        assert session.scratch_root(Session("s3a://b/x", "yarn")) == "s3a://b/x"
+
+
+def test_scratch_can_be_cleaned(spark):
+    frame = session.land(spark.range(3), "clean-me")
+    assert frame.count() == 3 and os.path.isdir(session.own_scratch(spark))
+    session.clean_scratch(spark)
+    assert not os.path.exists(session.own_scratch(spark))

@@ -14,14 +14,6 @@ def broadcast_within(df: DataFrame, bound: int, rows: int = BROADCAST_ROWS) -> D
     return F.broadcast(df) if bound <= rows else df
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast if it counts at most ``rows`` rows; else leave the join to Catalyst.
-
-    For landed frames, whose count is cheap.
-    """
-    return broadcast_within(df, df.count(), rows)
-
-
 def _keys(other: DataFrame, on: dict[str, str]) -> DataFrame:
     # distinct is combined before its shuffle, so a hot key arrives as one row per task
     return other.select(*(F.col(theirs).alias(ours) for ours, theirs in on.items())).distinct()

@@ -54,12 +54,17 @@ def stride_sample(df: DataFrame, step: int, *order: Column | str) -> DataFrame:
     return with_global_position(df, *order, name="_at").filter(F.col("_at") % step == 0).drop("_at")
 
 
-def head_rest_split(df: DataFrame, n: int, key: str, *order: Column | str) -> tuple[DataFrame, DataFrame]:
-    """The first ``n`` rows in ``order`` and all the others; ``key`` identifies a row."""
-    head = df.orderBy(*order).limit(n)
-    keys = head.select(key)
-    rest = df.join(broadcast_within(keys, n), key, "left_anti")
-    return head, rest.select(*df.columns)
+def head_rest_split(df: DataFrame, n: int, *order: Column | str) -> tuple[DataFrame, DataFrame]:
+    """The first ``n`` rows in ``order`` and all the others.
+
+    Every row is in one of the two, also where it is repeated or holds NULLs: the
+    rows get a number of their own and are landed with it, and both parts come
+    from that. Ties go by that number. One task gathers the ``n`` rows.
+    """
+    numbered = land(df.withColumn("_number", F.monotonically_increasing_id()), "numbered-rows")
+    head = numbered.orderBy(*order, "_number").limit(n)
+    rest = numbered.join(broadcast_within(head.select("_number"), n), "_number", "left_anti")
+    return head.select(*df.columns), rest.select(*df.columns)
 
 
 def position_in_group(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,19 +35,20 @@ def build_session(app_name: str = "tunehouse", master: str | None = None, **extr
     return builder.getOrCreate()
 
 
-def make_adaptive(spark: SparkSession) -> None:
-    """Put the adaptive-execution settings on a session that somebody else built."""
-    for key, value in ADAPTIVE.items():
-        spark.conf.set(key, value)
-
-
 def scratch_root(spark: SparkSession) -> str:
     """Folder all executors can reach: the cluster's ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder.
+    Only a local session without that setting gets a temporary folder. On a cluster a folder of the ``file:``
+    file system brings a warning: it works only if it is mounted on all machines, which cannot be seen from here.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
+        scheme, marked, _ = folder.partition("://" if "://" in folder else ":")
+        local = scheme == "file" if marked else not spark.sparkContext.master.startswith("local") and (
+            file_system(spark, folder).getScheme() == "file"
+        )
+        if local and not spark.sparkContext.master.startswith("local"):
+            warnings.warn(f"{folder} is on a local file system; it has to be mounted on all machines", stacklevel=2)
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
@@ -56,9 +58,33 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+def file_system(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def own_scratch(spark: SparkSession) -> str:
+    """This application's part of the scratch folder."""
+    return f"{scratch_root(spark)}/tunehouse/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unused path below the scratch folder."""
-    return f"{scratch_root(spark)}/tunehouse/{name}-{uuid.uuid4().hex}"
+    return f"{own_scratch(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Remove all that this application has put below the scratch folder; frames that read it end with it."""
+    file_system(spark, own_scratch(spark)).delete(spark._jvm.org.apache.hadoop.fs.Path(own_scratch(spark)), True)
+
+
+def listing(spark: SparkSession, folder: str) -> tuple[tuple[str, int, int], ...]:
+    """Path, length and time of change of every file below ``folder``, in any file system Spark can read."""
+    files = file_system(spark, folder).listFiles(spark._jvm.org.apache.hadoop.fs.Path(folder), True)
+    found = []
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
 
 
 def land(df: DataFrame, name: str) -> DataFrame:

@@ -21,22 +21,50 @@ def clone_table(spark: SparkSession, name: str, like: str, location: str, extra:
     ensure_table(spark, name, T.StructType(list(schema.fields) + (list(extra.fields) if extra else [])), location)
 
 
+def same_columns(a: T.StructType, b: T.StructType) -> bool:
+    """Equal names (in any case) and types, in order; whether a column may be NULL is not compared."""
+    return [(f.name.lower(), f.dataType.simpleString()) for f in a] == [(f.name.lower(), f.dataType.simpleString()) for f in b]
+
+
 def refresh_table(df: DataFrame, name: str, root: str) -> DataFrame:
     """Replace all rows of ``name``.
 
     The rows go to a new folder first and the table is then pointed at it, so
     readers see the old rows or the new ones, never an empty table, and ``df``
-    may read the table it replaces.
+    may read the table it replaces. A table of other columns is defined anew, so
+    that none is lost; only then is it gone for a moment. The load before stays
+    for readers that are still at it, older ones are removed.
     """
     spark = df.sparkSession
-    location = f"{root.rstrip('/')}/{name.replace('.', '/')}/load-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/{name.replace('.', '/')}"
+    location = f"{folder}/load-{uuid.uuid4().hex}"
     df.write.parquet(location)
+    if spark.catalog.tableExists(name) and not same_columns(spark.table(name).schema, df.schema):
+        spark.sql(f"DROP TABLE {name}")
+    before = _location(spark, name) if spark.catalog.tableExists(name) else None
     ensure_table(spark, name, df.schema, location)
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
     spark.catalog.refreshTable(name)
+    _remove_loads(spark, folder, keep={location, before})
     return spark.table(name)
 
 
+def _location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
+def _remove_loads(spark: SparkSession, folder: str, keep: set[str | None]) -> None:
+    """Delete the load folders of a table but for some."""
+    kept = {path.rsplit("/", 1)[-1] for path in keep if path}
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(where):
+        name = status.getPath().getName()
+        if name.startswith("load-") and name not in kept:
+            files.delete(status.getPath(), True)
+
+
 def clear_table(spark: SparkSession, name: str, root: str) -> DataFrame:
     """Remove all rows and keep the table."""
     return refresh_table(spark.table(name).limit(0), name, root)

@@ -8,8 +8,13 @@ from pyspark.sql import types as T
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str = "-") -> DataFrame:
-    """Text with a header line. A row with a surplus field fails the job rather than losing text."""
-    return spark.read.csv(path, schema=schema, sep=sep, header=True, mode="FAILFAST")
+    """Text with a header line, which must name the schema's columns in order.
+
+    A row with a surplus field fails the job rather than losing text, whichever
+    columns are asked for: every line is parsed whole.
+    """
+    reader = spark.read.option("enforceSchema", False).option("columnPruning", False)
+    return reader.csv(path, schema=schema, sep=sep, header=True, mode="FAILFAST")
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -24,11 +29,30 @@ def read_json_columns(spark: SparkSession, path: str, schema: T.StructType, one_
     line is a document, so that a large file can be split among tasks. A cell
     that a column lacks is NULL.
     """
+    names = schema.fieldNames()
     as_maps = T.StructType([T.StructField(f.name, T.MapType(T.StringType(), f.dataType)) for f in schema.fields])
     documents = spark.read.schema(as_maps).option("mode", "FAILFAST").json(path, multiLine=not one_per_line)
-    no_keys = F.array().cast("array<string>")
-    row_keys = no_keys
-    for name in schema.fieldNames():
-        row_keys = F.array_union(row_keys, F.coalesce(F.map_keys(name), no_keys))
-    rows = documents.select("*", F.explode(row_keys).alias("_row"))
-    return rows.select(*(F.try_element_at(F.col(name), F.col("_row")).alias(name) for name in schema.fieldNames()))
+
+    def cells(field: T.StructField):
+        """A column's entries, as rows of which only this column is filled."""
+
+        def row(entry):
+            return F.struct(
+                entry["key"].alias("_row"),
+                *(
+                    (entry["value"] if f.name == field.name else F.lit(None)).cast(f.dataType).alias(f.name)
+                    for f in schema.fields
+                ),
+            )
+
+        entries = F.coalesce(F.map_entries(field.name), F.array().cast(_entries_type(field)))
+        return F.transform(entries, row)
+
+    # entries are grouped, not looked up: finding each row key in each map would be quadratic in a document
+    numbered = documents.withColumn("_document", F.monotonically_increasing_id())
+    every = numbered.select("_document", F.inline(F.concat(*map(cells, schema.fields))))
+    return every.groupBy("_document", "_row").agg(*(F.first(n, ignorenulls=True).alias(n) for n in names)).select(*names)
+
+
+def _entries_type(field: T.StructField) -> T.ArrayType:
+    return T.ArrayType(T.StructType([T.StructField("key", T.StringType()), T.StructField("value", field.dataType)]))

@@ -25,7 +25,7 @@ class StagingTables:
         self.spark = spark
         self.read = read
 
-    def track(self, keys: bool = True) -> DataFrame:
+    def track(self, keys: tuple[str, ...] = ("genreid", "albumid")) -> DataFrame:
         return self.read("track")
 
     def genre(self) -> DataFrame:
@@ -93,6 +93,11 @@ def jdbc_options(
     return options
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, **split: object) -> DataFrame:
-    """A database table. Credentials come from the caller, never from this library."""
+def read_jdbc(spark: SparkSession, url: str, table: str, one_task: bool = False, **split: object) -> DataFrame:
+    """A database table, read in ranges of ``key``. Credentials come from the caller, never from this library.
+
+    A table without a numeric key comes over one connection into one task, which has to be asked for.
+    """
+    if not one_task and not split.get("key"):
+        raise ValueError("give key, bounds and partitions to split the read, or one_task=True for a small table")
     return spark.read.format("jdbc").options(**jdbc_options(url, table, **split)).load()
