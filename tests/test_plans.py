@@ -1,16 +1,21 @@
 """Builds and analyses on a few literal rows, chosen for what the test tables do not hold."""
 
 import datetime
+import os
 import random
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import rows
-from tunehouse.plans import checks, countries, customers, employees, playlists, recommend, tracks, warehouse
+from tunehouse import session
+from tunehouse.plans import checks, countries, customers, departments, employees, jobs, playlists, recommend, tracks, warehouse
 from tunehouse.plans.currencies import convert, currencies
 from tunehouse.plans.departments import department_budgets
+from tunehouse.sources.rates import read_rate_responses, response_counts
+from tunehouse.sources.tables import StagingTables
 
 DAY = datetime.datetime
 
@@ -356,5 +361,110 @@ def test_checks_find_repeated_and_missing_keys(spark):
 
 
 def test_load_counts(spark):
-    got = rows(checks.check_load_counts({"a": (spark.range(5), spark.range(3)), "b": (spark.range(0), spark.range(0))}))
-    assert got == [("a", 5, 3, 2), ("b", 0, 0, 0)]
+    five, none = spark.range(5), spark.range(0)
+    other = T.StructType([T.StructField("id", T.StringType()), T.StructField("more", T.LongType())])
+    tables = {
+        "a": (five, spark.range(3), five.schema),
+        "b": (none, none, none.schema),
+        "c": (five, spark.range(7), five.schema),
+        "d": (five, five, other),
+    }
+    assert rows(checks.check_load_counts(tables)) == [("a", 5, 3, 2), ("b", 0, 0, 0), ("c", 5, 7, 2), ("d", 5, 5, 2)]
+
+
+def test_one_scan_per_checked_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(5).selectExpr("id as k", "string(id) as v").write.parquet(path)
+    df = checks.check_table(spark.read.parquet(path), "t", ["k"], ["k", "v"], {"v": 1})
+    df.collect()
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") <= 2  # the final and the initial plan
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+
+
+# ---- exact shares
+
+
+def test_genre_of_a_refunded_country_ranks_by_share(spark):
+    invoices = table(spark, "invoiceid bigint, billingcountry string, total decimal(10,2)", (1, "A", Decimal("-100.00")))
+    lines = table(
+        spark, "invoice_id bigint, track_id bigint, unitprice decimal(10,2)", (1, 1, Decimal(20)), (1, 2, Decimal(60))
+    )
+    tracks = table(spark, "trackid bigint, genre_name string", (1, "rock"), (2, "jazz"))
+    got = rows(countries.genre_share(invoices, lines, tracks))
+    # in both tiers, so doubled
+    assert got == [("A", 1, "jazz", "-120.00%"), ("A", 2, "rock", "-40.00%")]
+
+
+def test_genre_share_reads_the_lines_once(spark, tmp_path):
+    path = str(tmp_path / "lines")
+    spark.range(50).selectExpr("id as invoice_id", "id as track_id", "cast(1 as decimal(10,2)) as unitprice").write.parquet(path)
+    invoices = spark.range(60).selectExpr("id as invoiceid", "'A' as billingcountry", "cast(2 as decimal(10,2)) as total")
+    tracks = spark.range(50).selectExpr("id as trackid", "'g' as genre_name")
+    df = countries.genre_share(invoices, spark.read.parquet(path), tracks)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
+    assert rows(df) == [("A", 1, "g", "83.33%"), ("A", 2, None, None)]
+
+
+def test_large_shares_are_rounded_once(spark):
+    customers = spark.range(200_000).selectExpr("id as customerid", "'A' as country")
+    invoices = table(spark, "invoiceid bigint, customerid bigint, total decimal(12,2)", (1, 5, Decimal("200999.99")))
+    assert countries.customer_summary(customers, invoices).filter("country = 'A'").first()["avg_revenue_per_customer"] == Decimal("1.00")
+
+
+# ---- jobs
+
+
+def test_unusable_rates_fall_back_to_the_default(spark, tmp_path):
+    landed = tmp_path / "responses"
+    landed.mkdir()
+    (landed / "a.json").write_text(
+        '{"rate_date":"2020-01-01","code":"USD","rates":[{"mid":4.0}]}\n'
+        '{"rate_date":"2020-01-01","code":"ILS","rates":[{"mid":1.0}]}\n'
+        '{"rate_date":"2020-01-02","code":"USD","rates":[{"mid":4.0}]}\n'
+        '{"rate_date":"2020-01-02","code":"ILS","rates":[{"mid":0.0}]}\n'
+        "404 NotFound\n"
+        '{"rate_date":"2020-01-03","code":"USD","rates":[]}\n'
+    )
+    responses = read_rate_responses(spark, str(landed))
+    assert response_counts(responses).first().asDict() == {"responses": 6, "malformed": 1, "without_rate": 2}
+    invoices = table(
+        spark,
+        "invoiceid bigint, invoicedate timestamp_ntz, total decimal(10,2)",
+        *((i, datetime.datetime(2020, 1, i), Decimal(10)) for i in (1, 2, 3, 4)),
+    )
+    stored = jobs.currency_job(invoices, str(landed), str(tmp_path / "csv"), "job_currencies", str(tmp_path / "db"))
+    try:
+        assert sorted((r["purchase_date"].day, round(r["ils_price"], 6)) for r in stored.collect()) == [
+            (1, 40.0), (2, 35.6), (3, 35.6), (4, 35.6)
+        ]
+        assert rows(spark.table("job_currencies")) == rows(stored)
+        header = next(f for f in (tmp_path / "csv").glob("part-*")).read_text().splitlines()[0]
+        assert header == "purchase_date,usd_price,ils_price"
+    finally:
+        spark.sql("DROP TABLE job_currencies")
+
+
+def test_department_job_feeds_the_employees(spark, fixture_dir, tmp_path):
+    files = [os.path.join(fixture_dir, f) for f in ("departments.txt", "budgets.jsonl", "budgets_by_column.json")]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS stg_job LOCATION '{tmp_path / 'stg'}'")
+    try:
+        stored = jobs.department_job(spark, *files, str(tmp_path / "csv"), "stg_job.department", str(tmp_path / "stg"))
+        assert rows(stored) == rows(departments.load_department_budgets(spark, *files))
+        staging = StagingTables(spark, lambda name: spark.table(f"stg_job.{name}"))
+        assert rows(staging.department()) == rows(stored) and stored.count() > 0
+    finally:
+        spark.sql("DROP DATABASE stg_job CASCADE")
+
+
+def test_one_customer_reads_only_its_own_invoices(spark, tmp_path):
+    path = str(tmp_path / "invoices")
+    spark.range(20).selectExpr("id as invoiceid", "id % 4 as customerid").write.parquet(path)
+    lines = spark.range(20).selectExpr("id as invoice_id", "id % 7 as track_id")
+    names = spark.range(7).selectExpr("id as trackid", "'t' as track_name", "'g' as genre_name")
+    people = spark.range(4).selectExpr("id as customerid")
+    before = set(os.listdir(session.own_scratch(spark))) if os.path.isdir(session.own_scratch(spark)) else set()
+    df = recommend.recommend(people, spark.read.parquet(path), lines, names, customer_id=2)
+    assert "EqualTo(customerid,2)" in df._jdf.queryExecution().executedPlan().toString()
+    assert {r["customerid"] for r in df.collect()} == {2}
+    after = set(os.listdir(session.own_scratch(spark))) if os.path.isdir(session.own_scratch(spark)) else set()
+    assert after == before  # nothing is landed

@@ -5,8 +5,9 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
 from compare import TABLES, connect, oracle_rows, spark_rows
+from oracles.sql import ORACLES
+from tunehouse.catalog import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -37,6 +38,6 @@ def con(hot_dir):
     return connect(hot_dir)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle_on_hot_keys(spark, con, hot_dir, name):
-    assert spark_rows(entry.queries()[name](spark, hot_dir)) == oracle_rows(con, entry.oracle_sql()[name])
+    assert spark_rows(QUERIES[name](spark, hot_dir)) == oracle_rows(con, ORACLES[name])

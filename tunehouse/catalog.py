@@ -14,11 +14,12 @@ from tunehouse.operators.joins import anti_join, semi_join, update_from
 from tunehouse.operators.ranking import head_rest_split
 from tunehouse.operators.sets import union_all
 from tunehouse.plans import checks, countries, customers, employees, playlists, recommend, tracks
-from tunehouse.plans.currencies import convert, convert_at_default, currencies
-from tunehouse.plans.departments import load_department_budgets
+from tunehouse.plans.currencies import convert, convert_at_default
+from tunehouse.plans.jobs import currency_job, department_job
+from tunehouse.plans.load import LoadedWarehouse, check_loaded, load_warehouse
 from tunehouse.plans.warehouse import Warehouse
 from tunehouse.schemas import DEPARTMENT, MAX_LENGTHS, SUB_BUDGET
-from tunehouse.session import make_adaptive, scratch_path, scratch_root
+from tunehouse.session import land, own_scratch, scratch_path
 from tunehouse.sinks.files import write_csv, write_delimited, write_json_columns, write_json_lines
 from tunehouse.sinks.tables import refresh_table
 from tunehouse.sources.files import read_delimited, read_json_columns, read_json_lines
@@ -45,7 +46,6 @@ def query(build: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse], Data
     """Register a query under its function name."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        make_adaptive(spark)
         return comparable(build(Warehouse(Staging.of(spark, sf_dir), AS_OF)))
 
     QUERIES[build.__name__] = run
@@ -110,8 +110,7 @@ def src_table(wh: Warehouse) -> DataFrame:
     return read_table(wh.staging.spark, f"{wh.staging.sf_dir}/orders.parquet")
 
 
-@query
-def src_rates_json(wh: Warehouse) -> DataFrame:
+def _response_files(wh: Warehouse) -> str:
     """The rates as service responses, one per day and currency."""
     s, path = wh.staging, scratch_path(wh.staging.spark, "rates")
 
@@ -121,20 +120,35 @@ def src_rates_json(wh: Warehouse) -> DataFrame:
 
     both = F.array(response("USD", "usd_pln"), response("ILS", "ils_pln"))
     write_json_lines(s.rates().select(F.inline(both)), path)
-    return daily_rates(read_rate_responses(s.spark, path))
+    return path
+
+
+@query
+def src_rates_json(wh: Warehouse) -> DataFrame:
+    return daily_rates(read_rate_responses(wh.staging.spark, _response_files(wh)))
 
 
 # ---- jobs, dimensions, facts
 
 
+def _stored(wh: Warehouse, job: Callable[..., DataFrame], name: str, *inputs: object, **options: object) -> DataFrame:
+    """Run a job into a table of its own and read that back."""
+    spark, table = wh.staging.spark, f"{name}_{uuid.uuid4().hex}"
+    loaded = job(*inputs, csv_path=scratch_path(spark, name), table=table, root=own_scratch(spark), **options)
+    spark.sql(f"DROP TABLE {table}")  # the files stay, and the frame reads those
+    return loaded
+
+
 @query
 def etl_department(wh: Warehouse) -> DataFrame:
-    return load_department_budgets(wh.staging.spark, *_department_files(wh), one_per_line=True)
+    """The department job from files to the stored table."""
+    return _stored(wh, department_job, "department", wh.staging.spark, *_department_files(wh), one_per_line=True)
 
 
 @query
 def etl_currencies(wh: Warehouse) -> DataFrame:
-    return currencies(wh.staging.invoice(), wh.staging.rates())
+    """The currency job from landed responses to the stored table."""
+    return _stored(wh, currency_job, "currencies", wh.staging.invoice(), _response_files(wh))
 
 
 @query
@@ -187,7 +201,7 @@ def sink_csv(wh: Warehouse) -> DataFrame:
 def sink_overwrite(wh: Warehouse) -> DataFrame:
     """Load customers, then replace them by the load with cleaned names."""
     spark, clean = wh.staging.spark, wh.customer()
-    name, root = f"refresh_{uuid.uuid4().hex}", scratch_root(spark)
+    name, root = f"refresh_{uuid.uuid4().hex}", own_scratch(spark)
     refresh_table(wh.staging.customer().withColumn("email_domain", F.lit(None).cast("string")), name, root)
     loaded = refresh_table(clean, name, root)
     spark.sql(f"DROP TABLE {name}")  # the files stay, and the frame reads those
@@ -233,18 +247,14 @@ def chk_keys(wh: Warehouse) -> DataFrame:
 
 @query
 def chk_load_counts(wh: Warehouse) -> DataFrame:
-    s = wh.staging
-    return checks.check_load_counts(
-        {
-            "dim_playlist": (s.playlisttrack(), wh.playlist()),
-            "dim_customer": (s.customer(), wh.customer()),
-            "dim_employee": (s.employee(), wh.employee()),
-            "dim_track": (s.track(False), wh.track()),
-            "dim_currencies": (s.invoice(), wh.currencies()),
-            "fact_invoice": (s.invoice(), wh.invoice()),
-            "fact_invoiceline": (s.invoiceline(), wh.invoiceline()),
-        }
-    )
+    """The stored tables against staging; a warehouse that is not stored yet is loaded first."""
+    if isinstance(wh, LoadedWarehouse):
+        return check_loaded(wh)
+    spark, database = wh.staging.spark, f"dwh_{uuid.uuid4().hex}"
+    load_warehouse(wh, database, own_scratch(spark))
+    counts = land(check_loaded(LoadedWarehouse(spark, database, wh)), "load-counts")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return counts
 
 
 # ---- operators
@@ -283,7 +293,7 @@ def op_track_popularity(wh: Warehouse) -> DataFrame:
 def op_head_rest_split(wh: Warehouse) -> DataFrame:
     """The first invoices at the day's rate, all others at the default rate."""
     invoices = wh.staging.invoice().select("invoiceid", "invoicedate", "total")
-    head, rest = head_rest_split(invoices, HEAD_ROWS, "invoiceid", "invoicedate", "invoiceid")
+    head, rest = head_rest_split(invoices, HEAD_ROWS, "invoicedate", "invoiceid")
     return union_all(convert(head, wh.staging.rates()), convert_at_default(rest)).drop("rate_is_default")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tunehouse.operators.sets import union_all
 
@@ -14,25 +15,22 @@ def _as_rows(counts: DataFrame, names: list[str]) -> DataFrame:
     return counts.select(F.inline(F.array(*pairs)))
 
 
-def duplicate_keys(df: DataFrame, table: str, key: list[str]) -> DataFrame:
-    """Rows beyond the first of each key. Only keys and counts are shuffled, combined within each task."""
-    repeats = df.groupBy(*key).agg((F.count(F.lit(1)) - 1).alias("_extra"))
-    return _as_rows(repeats.agg(F.coalesce(F.sum("_extra"), F.lit(0)).alias("_0")), [f"{table}: unique {', '.join(key)}"])
-
-
-def bad_values(df: DataFrame, table: str, required: list[str], lengths: dict[str, int]) -> DataFrame:
-    """NULLs per required column and texts over their length, in one pass without a shuffle of rows."""
-    bad = {f"{table}: {c} not null": F.col(c).isNull() for c in required}
-    bad |= {f"{table}: {c} at most {n} characters": F.length(c) > n for c, n in lengths.items()}
-    return _as_rows(df.agg(*(F.count_if(test).alias(f"_{i}") for i, test in enumerate(bad.values()))), list(bad))
-
-
 def check_table(
     df: DataFrame, table: str, key: list[str], required: list[str], lengths: dict[str, int] | None = None
 ) -> DataFrame:
-    """Uniqueness of the key and validity of the values."""
-    checks = duplicate_keys(df, table, key)
-    return union_all(checks, bad_values(df, table, required, lengths or {})) if required or lengths else checks
+    """Rows beyond the first of each key, NULLs per required column, and texts over their length, in one scan.
+
+    Bad values are counted while the rows are grouped by key, so only keys and
+    counts are shuffled, combined within each task.
+    """
+    bad = {f"{table}: {c} not null": F.col(c).isNull() for c in required}
+    bad |= {f"{table}: {c} at most {n} characters": F.length(c) > n for c, n in (lengths or {}).items()}
+    names = [f"{table}: unique {', '.join(key)}", *bad]
+    counts = [F.count(F.lit(1)) - 1, *map(F.count_if, bad.values())]
+    per_key = df.groupBy(*(F.col(c).alias(f"_k{i}") for i, c in enumerate(key)))
+    per_key = per_key.agg(*(n.alias(f"_{i}") for i, n in enumerate(counts)))
+    sums = per_key.agg(*(F.coalesce(F.sum(f"_{i}"), F.lit(0)).alias(f"_{i}") for i in range(len(names))))
+    return _as_rows(sums, names)
 
 
 def check_keys(tables: dict[str, tuple]) -> DataFrame:
@@ -40,20 +38,36 @@ def check_keys(tables: dict[str, tuple]) -> DataFrame:
     return union_all(*(check_table(df, name, *rest) for name, (df, *rest) in tables.items()))
 
 
-def check_load_counts(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """Rows staged against rows loaded, per warehouse table."""
+def check_load_counts(tables: dict[str, tuple[DataFrame, DataFrame, T.StructType]]) -> DataFrame:
+    """Rows that were to be loaded against rows stored, per warehouse table.
+
+    Each table comes as the rows expected of it, intended deletions taken off,
+    as the stored table read back, and as the columns it should have. A missing,
+    surplus or differently typed column is a violation, as is each missing or
+    surplus row.
+    """
 
-    def count(df: DataFrame, table: str, side: str) -> DataFrame:
+    def count(df: DataFrame, table: str, side: str, columns: int) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias("_rows")).select(
-            F.lit(table).alias("table_name"), F.lit(side).alias("_side"), "_rows"
+            F.lit(table).alias("table_name"), F.lit(side).alias("_side"), "_rows", F.lit(columns).alias("_columns")
         )
 
     counts = union_all(
-        *(count(df, table, side) for table, both in pairs.items() for side, df in zip(("staged", "loaded"), both))
+        *(
+            count(df, table, side, column_differences(stored.schema, schema))
+            for table, (expected, stored, schema) in tables.items()
+            for side, df in (("staged", expected), ("loaded", stored))
+        )
     )
     of = lambda side: F.sum(F.when(F.col("_side") == side, F.col("_rows")))
     return counts.groupBy("table_name").agg(
         of("staged").alias("staged_rows"),
         of("loaded").alias("loaded_rows"),
-        (of("staged") - of("loaded")).alias("violations"),
+        (F.abs(of("staged") - of("loaded")) + F.max("_columns")).alias("violations"),
     )
+
+
+def column_differences(stored: T.StructType, expected: T.StructType) -> int:
+    """Columns that only one side has, or that have another type on the other."""
+    a, b = ({f.name.lower(): f.dataType.simpleString() for f in s.fields} for s in (stored, expected))
+    return len(dict(a.items() ^ b.items()))

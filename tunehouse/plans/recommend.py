@@ -5,11 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tunehouse.operators.joins import broadcast_if_small
 from tunehouse.operators.ranking import group_top_n, position_in_group
-from tunehouse.session import land
-
-MASK_BITS = 62  # candidates per genre kept in a BIGINT mask; more are handled one by one
 
 
 def order_lines(dim_customer: DataFrame, fact_invoice: DataFrame, fact_invoiceline: DataFrame) -> DataFrame:
@@ -58,83 +54,45 @@ def recommend(
     other genres' share from it too.
 
     No customer is paired with all tracks of a genre. The candidates of a genre
-    are numbered 1, 2, 3, … and wanted are the lowest numbers the customer does
-    not have. A bit mask of the first numbers, built in the aggregation that also
-    finds the genres, settles that for all but the customers who have nearly all
-    of those; ``_beyond_mask`` finds the numbers for these few.
+    are numbered 1, 2, 3, …; of the first ``k + w`` numbers a customer who has
+    ``k`` of the genre's tracks lacks at least ``w``. So that many numbers are
+    listed per customer and genre, those that they have are taken off, and the
+    lowest ``w`` are kept. All customers go this way, and it lists
+    no more than a row per track a customer has, and a few.
     """
     if order not in ("track_id", "popularity"):
         raise ValueError(f"unknown order {order!r}")
-    # landed, because the candidates must be numbered before each customer's lines are looked at again
-    ordered = land(order_lines(dim_customer, fact_invoice, fact_invoiceline), "ordered")
+    ordered = order_lines(dim_customer, fact_invoice, fact_invoiceline)
+    mine = ordered
+    if customer_id is not None:  # reaches the scans of customers and invoices
+        one = F.col("customerid") == customer_id
+        mine = order_lines(dim_customer.filter(one), fact_invoice.filter(one), fact_invoiceline)
     tracks = dim_track.filter(F.col("genre_name").isNotNull()).select(
         F.col("trackid").alias("track_id"), "genre_name", "track_name"
     )
     popularity = ordered.groupBy("track_id").agg(F.count(F.lit(1)).alias("_orders")).join(tracks, "track_id")
-    numbered = land(
-        position_in_group(
-            popularity, ["genre_name"], "track_id", "_number", lead="_orders" if order == "popularity" else None
-        ),
-        "numbered",
+    numbered = position_in_group(
+        popularity, ["genre_name"], "track_id", "_number", lead="_orders" if order == "popularity" else None
     ).drop("_orders")
 
-    mine = ordered if customer_id is None else ordered.filter(F.col("customerid") == customer_id)
-    tagged = mine.join(numbered.select("track_id", "genre_name", "_number"), "track_id")
-    bit = F.when(F.col("_number") <= MASK_BITS, F.expr("shiftleft(1L, int(_number - 1))")).otherwise(0)
-    tastes = tagged.groupBy("customerid", "genre_name").agg(
-        F.count(F.lit(1)).alias("_orders"), F.bit_or(bit).alias("_mask")
+    genre = ["customerid", "genre_name"]
+    owned = (
+        mine.join(numbered.select("track_id", "genre_name", "_number"), "track_id")
+        .groupBy(*genre, "_number")
+        .agg(F.count(F.lit(1)).alias("_orders"))
     )
+    tastes = owned.groupBy(*genre).agg(F.sum("_orders").alias("_orders"), F.count(F.lit(1)).alias("_has"))
     preferred = group_top_n(tastes, n_genres, ["customerid"], F.desc("_orders"), F.asc("genre_name"))
-    wanted = F.lit(per_genre)
+    wanted, most = F.lit(per_genre), per_genre
     if fill_single_genre:
         alone = F.count(F.lit(1)).over(Window.partitionBy("customerid")) == 1
-        wanted = F.when(alone, n_genres * per_genre).otherwise(per_genre)
-    preferred = land(preferred.withColumn("_wanted", wanted), "preferred")
-
-    free = F.filter(
-        F.sequence(F.lit(1).cast("bigint"), F.lit(MASK_BITS).cast("bigint")),
-        lambda number: F.getbit(F.col("_mask"), (number - 1).cast("int")) == 0,
-    )
-    masked = preferred.withColumn("_free", free)
-    picks = _look_up(
-        masked.filter(F.size("_free") >= F.col("_wanted")).select(
-            "customerid", "genre_name", F.explode(F.slice("_free", F.lit(1), F.col("_wanted"))).alias("_number")
-        ),
-        numbered.filter(F.col("_number") <= MASK_BITS),
-    )
-    crowded = masked.filter(F.size("_free") < F.col("_wanted")).drop("_free")
-    if not crowded.isEmpty():
-        picks = picks.unionByName(_look_up(_beyond_mask(crowded, tagged, n_genres * per_genre), numbered))
-    return picks.select("customerid", "track_id", "track_name", "genre_name")
-
-
-def _look_up(slots: DataFrame, numbered: DataFrame) -> DataFrame:
-    """The tracks at the wanted numbers. Few numbers are wanted very often, hence the broadcast where it fits."""
-    return slots.join(broadcast_if_small(numbered), ["genre_name", "_number"])
-
-
-def _beyond_mask(crowded: DataFrame, tagged: DataFrame, most: int) -> DataFrame:
-    """Lowest numbers missing from each customer's own, however many those are.
-
-    Let p(1) < p(2) < … be the numbers a customer has in a genre. Before p(i) lie
-    p(i) - i missing ones, so the j-th missing number is j + (count of i with
-    p(i) - i < j). Numbers of ``_orders + most`` and more cannot be among those
-    counted, as i is at most ``_orders``.
-    """
-    near = (
-        tagged.select("customerid", "genre_name", "_number")
-        .join(broadcast_if_small(crowded.select("customerid", "genre_name", "_orders")), ["customerid", "genre_name"])
-        .filter(F.col("_number") < F.col("_orders") + most)
-        .drop("_orders")
-        .distinct()
-    )
-    before = F.col("_number") - F.col("_i")
-    shifts = (
-        position_in_group(near, ["customerid", "genre_name"], "_number", "_i")
-        .groupBy("customerid", "genre_name")
-        .agg(F.array(*(F.count_if(before < j) + j for j in range(1, most + 1))).alias("_missing"))
-    )
-    missing = F.coalesce("_missing", F.array(*(F.lit(j).cast("bigint") for j in range(1, most + 1))))
-    return crowded.join(shifts, ["customerid", "genre_name"], "left").select(
-        "customerid", "genre_name", F.explode(F.slice(missing, F.lit(1), F.col("_wanted"))).alias("_number")
+        wanted, most = F.when(alone, n_genres * per_genre).otherwise(per_genre), n_genres * per_genre
+    preferred = preferred.withColumn("_wanted", wanted)
+    numbers = F.sequence(F.lit(1).cast("bigint"), F.col("_has") + F.col("_wanted"))
+    lacked = preferred.select(*genre, "_wanted", F.explode(numbers).alias("_number")).join(
+        owned.select(*genre, "_number"), [*genre, "_number"], "left_anti"
     )
+    # each task keeps only its own lowest numbers of a customer and genre before the shuffle
+    ranked = lacked.withColumn("_rank", F.row_number().over(Window.partitionBy(*genre).orderBy("_number")))
+    picks = ranked.filter(F.col("_rank") <= most).filter(F.col("_rank") <= F.col("_wanted"))
+    return picks.join(numbered, ["genre_name", "_number"]).select("customerid", "track_id", "track_name", "genre_name")

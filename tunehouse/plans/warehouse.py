@@ -29,6 +29,10 @@ from tunehouse.schemas import (
 )
 from tunehouse.sinks.tables import delete_where
 
+GENRE_COLUMNS = frozenset({"genreid", "genre_name", "genre_last_update"})
+MEDIA_COLUMNS = frozenset({"mediatypeid", "mediatype_name", "mediatype_last_update"})
+ALBUM_COLUMNS = frozenset({"albumid", "album_name", "album_last_update"})
+ARTIST_COLUMNS = frozenset({"artistid", "artist_name", "artist_last_update"})
 REPEATED_PLAYLISTS = (8, 10)  # fixed value: ids whose name another playlist already has
 
 
@@ -103,24 +107,24 @@ def dim_track(
     A look-up that ``columns`` does not need may be left out.
     """
 
-    def wants(*names: str) -> bool:
-        return not columns or bool(set(names) & set(columns))
+    def wants(names: frozenset[str]) -> bool:
+        return not columns or bool(names & set(columns))
 
     rows = track.withColumnsRenamed(
         {"name": "track_name", "genreid": "_genre", "mediatypeid": "_media", "albumid": "_album"}
     )
-    if wants("genreid", "genre_name", "genre_last_update"):
+    if wants(GENRE_COLUMNS):
         lookup = genre.select(
             "genreid", F.col("name").alias("genre_name"), F.col("last_update").alias("genre_last_update")
         )
         rows = rows.join(lookup, F.col("_genre") == F.col("genreid"), "left")
-    if wants("mediatypeid", "mediatype_name", "mediatype_last_update"):
+    if wants(MEDIA_COLUMNS):
         lookup = mediatype.select(
             "mediatypeid", F.col("name").alias("mediatype_name"), F.col("last_update").alias("mediatype_last_update")
         )
         rows = rows.join(lookup, F.col("_media") == F.col("mediatypeid"), "left")
-    by_artist = wants("artistid", "artist_name", "artist_last_update")
-    if by_artist or wants("albumid", "album_name", "album_last_update"):
+    by_artist = wants(ARTIST_COLUMNS)
+    if by_artist or wants(ALBUM_COLUMNS):
         lookup = album.select(
             "albumid",
             F.col("title").alias("album_name"),
@@ -164,8 +168,8 @@ class Warehouse:
         self.staging = staging
         self.as_of = as_of
 
-    def playlist(self, drop_ids: tuple[int, ...] = REPEATED_PLAYLISTS) -> DataFrame:
-        return dim_playlist(self.staging.playlisttrack(), self.staging.playlist(), drop_ids)
+    def playlist(self, *columns: str, drop_ids: tuple[int, ...] = REPEATED_PLAYLISTS) -> DataFrame:
+        return dim_playlist(self.staging.playlisttrack(), self.staging.playlist(), drop_ids).select(*(columns or "*"))
 
     def customer(self, *columns: str) -> DataFrame:
         return dim_customer(self.staging.customer(), columns)
@@ -175,11 +179,20 @@ class Warehouse:
         return dim_employee(self.staging.employee(), department, self.as_of, columns)
 
     def track(self, *columns: str) -> DataFrame:
-        s = self.staging
-        plain = {"trackid", "track_name", "composer", "unitprice", "last_update", "seconds", "track_duration"}
-        if columns and set(columns) <= plain:
-            return dim_track(s.track(False), columns=columns)
-        return dim_track(s.track(), s.genre(), s.mediatype(), s.album(), s.artist(), columns)
+        s, wanted = self.staging, set(columns)
+        genre = not columns or bool(wanted & GENRE_COLUMNS)
+        media = not columns or bool(wanted & MEDIA_COLUMNS)
+        artist = not columns or bool(wanted & ARTIST_COLUMNS)
+        album = artist or bool(wanted & ALBUM_COLUMNS)
+        track = s.track((("genreid",) if genre else ()) + (("albumid",) if album else ()))
+        return dim_track(
+            track,
+            s.genre() if genre else None,
+            s.mediatype() if media else None,
+            s.album() if album else None,
+            s.artist() if artist else None,
+            columns,
+        )
 
     def invoice(self, *columns: str) -> DataFrame:
         return fact_invoice(self.staging.invoice(), columns)
@@ -188,5 +201,5 @@ class Warehouse:
         invoice = self.staging.invoice() if needs_invoice(columns) else None
         return fact_invoiceline(self.staging.invoiceline(), invoice, columns)
 
-    def currencies(self) -> DataFrame:
-        return dim_currencies(self.staging.invoice(), self.staging.rates())
+    def currencies(self, *columns: str) -> DataFrame:
+        return dim_currencies(self.staging.invoice(), self.staging.rates()).select(*(columns or "*"))

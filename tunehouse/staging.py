@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunehouse.operators.ranking import with_global_position
-from tunehouse.session import land
+from tunehouse.session import land, listing
 from tunehouse.sources.tables import read_table
 
 
@@ -44,7 +44,7 @@ def day_after(start: str, days: Column) -> Column:
 class Staging:
     """Staging tables over one folder of Parquet test tables."""
 
-    _known: dict[tuple[str, SparkSession, str], Staging] = {}
+    _known: dict[tuple[str, SparkSession, str], tuple[tuple, Staging]] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -53,11 +53,12 @@ class Staging:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Staging:
-        """The staging tables of a folder, defined once per session like views."""
+        """The staging tables of a folder, defined once per session like views, and anew once its files change."""
         key = (spark.sparkContext.applicationId, spark, sf_dir.rstrip("/"))
-        if key not in cls._known:
-            cls._known[key] = cls(spark, sf_dir)
-        return cls._known[key]
+        files = listing(spark, sf_dir)
+        if key not in cls._known or cls._known[key][0] != files:
+            cls._known[key] = (files, cls(spark, sf_dir))
+        return cls._known[key][1]
 
     @once
     def source(self, name: str) -> DataFrame:
@@ -127,8 +128,8 @@ class Staging:
     # ---- tracks and playlists
 
     @once
-    def track(self, keys: bool = True) -> DataFrame:
-        """``keys=False`` leaves out the genre and album keys, which need a look-up."""
+    def track(self, keys: tuple[str, ...] = ("genreid", "albumid")) -> DataFrame:
+        """``keys`` names the look-up keys that are wanted; each of them needs a join."""
         key = F.col("p_partkey")
         parts = self.source("part")
         columns = [
@@ -144,19 +145,14 @@ class Staging:
             F.col("p_retailprice").cast("decimal(10,2)").alias("unitprice"),
             day_after("2018-01-01", key % 1000).alias("last_update"),
         ]
-        if not keys:
-            return parts.select(*columns)
-        genres = self.genre().select("genreid", F.col("name").alias("p_type"))
-        albums = self._lookup("album").select("albumid", "p_brand", "p_size")
-        return (
-            parts.join(genres, "p_type", "left")
-            .join(albums, ["p_brand", "p_size"], "left")
-            .select(
-                *columns,
-                F.when(key % 97 != 0, F.col("genreid")).alias("genreid"),
-                F.when(key % 53 != 1, F.col("albumid")).alias("albumid"),
-            )
-        )
+        if "genreid" in keys:
+            parts = parts.join(self.genre().select("genreid", F.col("name").alias("p_type")), "p_type", "left")
+            columns.append(F.when(key % 97 != 0, F.col("genreid")).alias("genreid"))
+        if "albumid" in keys:
+            albums = self._lookup("album").select("albumid", "p_brand", "p_size")
+            parts = parts.join(albums, ["p_brand", "p_size"], "left")
+            columns.append(F.when(key % 53 != 1, F.col("albumid")).alias("albumid"))
+        return parts.select(*columns)
 
     def playlist(self) -> DataFrame:
         return self._lookup("playlist")
