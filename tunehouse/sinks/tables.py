@@ -113,14 +113,13 @@ def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, location: st
     """Write a table bucketed and sorted on ``key``; two such tables join without a shuffle.
 
     One task writes a bucket, and one task joins it later: not for a key of which
-    single values hold a large part of the rows.
+    single values hold a large part of the rows. The rows are written under
+    another name, which then takes the table's place.
     """
-    (
-        df.repartition(buckets, key)
-        .write.mode("overwrite")
-        .option("path", location)
-        .bucketBy(buckets, key)
-        .sortBy(key)
-        .saveAsTable(name)
-    )
-    return df.sparkSession.table(name)
+    spark, fresh = df.sparkSession, f"{name}_{uuid.uuid4().hex}"
+    bucketed = df.repartition(buckets, key).write.option("path", location).bucketBy(buckets, key).sortBy(key)
+    bucketed.saveAsTable(fresh)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
