@@ -16,6 +16,7 @@ from tunehouse.llm.common import fields, whole_row
 SAMPLE_DOCS = 4_000  # labelled documents that the model is fitted on, at most
 SAMPLE_LINES = 300  # longer labelled documents are not taken into that sample
 THRESHOLD = 0.3
+TOGETHER = 256  # texts scored at a time
 
 CLASSES = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "#*$%&|<>", "!", "|", "0123456789", ".,;:?")
 IN_CLASS = np.zeros((len(CLASSES), 256), np.float32)
@@ -137,11 +138,12 @@ class Model:
         return np.add.reduceat(p * size, starts) / np.add.reduceat(size, starts)
 
     def score(self, texts: list[str | None]) -> np.ndarray:
-        """Quality from 0 to 1 of each text."""
-        if not texts:
-            return np.zeros(0)
-        own, sizes = zip(*map(line_features, texts), strict=True)
-        return self.scaled(self.mean_marginals(list(own), list(sizes)))
+        """Quality from 0 to 1 of each text; some hundred texts are held as matrices at a time."""
+        scores = [np.zeros(0)]
+        for at in range(0, len(texts), TOGETHER):
+            own, sizes = zip(*map(line_features, texts[at : at + TOGETHER]), strict=True)
+            scores.append(self.scaled(self.mean_marginals(list(own), list(sizes))))
+        return np.concatenate(scores)
 
     def scaled(self, mean: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * logit(mean) + self.shift, -500, 500)))
@@ -240,13 +242,16 @@ def with_scores(docs: DataFrame, model: Model, text_col: str = "text") -> DataFr
 
     NULL, empty and blank texts are one empty line. Texts are scored whole; nothing but the text is looked at.
     """
-    packed = docs.select(whole_row(docs).alias("row"), F.col(text_col).cast("string").alias("text"))
+    packed = docs.select(whole_row(docs).alias("row"))
     schema = T.StructType([packed.schema["row"], T.StructField("score", T.DoubleType())])
+    place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = pa.array(model.score(batch.column(1).to_pylist()), pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), scores], names=["row", "score"])
+            texts = batch.column(0).field(place)
+            scores = [model.score(texts.slice(at, TOGETHER).to_pylist()) for at in range(0, len(texts), TOGETHER)]
+            joined = pa.array(np.concatenate([np.zeros(0), *scores]), pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), joined], names=["row", "score"])
 
     return packed.mapInArrow(run, schema)
 
