@@ -304,7 +304,9 @@ def _replaced(docs: DataFrame, key: str) -> DataFrame:
     tokens = hits.select("number", F.explode(F.array_distinct("found")).alias("entity"))
     tokens = tokens.select("number", F.explode(entity_tokens(F.col("entity"))).alias("t")).select("number", "t.kind", "t.norm").distinct()
     tokens = landed(tokens, "personal-tokens")[0]
-    known = assign(tokens.select("kind", "norm").distinct(), key)
+    # few bytes, but much work each: the number of partitions is not left to their size
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known = assign(tokens.select("kind", "norm").repartition(partitions, "kind", "norm").distinct(), key)
     pair = F.struct(F.concat_ws(":", "kind", "norm"), F.col("surrogate"))
     names = tokens.join(known, ["kind", "norm"]).groupBy("number").agg(F.map_from_entries(F.collect_list(pair)).alias("names"))
     rows = hits.join(names, "number", "left")
