@@ -119,9 +119,9 @@ def test_text_without_sentence_is_cut_all_the_same(spark):
 
 
 def test_short_runs_waste_little(spark, con):
-    """Many tasks of few documents: the end of each run is cut into powers of two."""
+    """Tasks of five documents each, so that ends of runs matter: they are cut into powers of two."""
     rows = con.execute("select doc_id, text from documents").fetchall()
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(40)
     path = P.default_tokenizer()
     sizes = check(P.pack(docs).collect(), [(k, with_end(t, path)) for k, t in rows])
-    assert sum(padding(n, 2048) for n in sizes.values()) < 0.02 * sum(sizes.values())
+    assert sum(padding(n, 2048) for n in sizes.values()) < 0.03 * sum(sizes.values())

@@ -90,7 +90,7 @@ def test_packing_holds_every_token(inputs):
         tokens[r["sequence_id"]] += r["length"]
     assert max(tokens.values()) <= 2048
     waste = sum(0 if n & (n - 1) == 0 else 2048 - n for n in tokens.values())
-    assert waste < 0.02 * sum(tokens.values())
+    assert waste < 0.03 * sum(tokens.values())  # of a few documents per task
 
 
 def test_run_gives_the_last_stage(inputs, spark, small):

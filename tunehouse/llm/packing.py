@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 LENGTH = 2048
 END_ID = 1  # closes each document
-BLOCK = 1 << 19  # tokens after which a run of documents is packed and let go
+BLOCK = 1 << 18  # tokens after which a run of documents is packed and let go
 SENTENCE_PENALTY = 1.0  # padding tokens that a cut at a sentence's end is worth
 FORCED_PENALTY = 16.0  # the same for a cut inside a sentence
 SHORT_PENALTY = 4.0  # the same for a sequence that is not filled up, as its length is a power of two
@@ -35,14 +35,20 @@ def _fast(path: str):
     import public_tokenizers
     import tiktoken
 
-    with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
+    pieces, special = _vocabulary(path)
     as_byte = _bytes_by_char()
-    special = [t["content"] for t in spec["added_tokens"]]
-    ranks = {bytes(as_byte[c] for c in piece): i for piece, i in spec["model"]["vocab"].items() if piece not in special}
+    ranks = {bytes(as_byte[c] for c in piece): i for piece, i in pieces.items() if piece not in special}
     return tiktoken.Encoding("pack", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}), special
 
 
+def _vocabulary(path: str) -> tuple[dict[str, int], list[str]]:
+    """Pieces and their ids, the special ones included, and the special tokens."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    added = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    return spec["model"]["vocab"] | added, list(added)
+
+
 def _bytes_by_char() -> dict[str, int]:
     """Byte-level vocabularies write a printable byte as its character and the others as characters from U+0100 on."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -53,10 +59,10 @@ def _bytes_by_char() -> dict[str, int]:
 @lru_cache(maxsize=4)
 def _sentence_ends(path: str) -> np.ndarray:
     """Per token id: its text ends a sentence or a line."""
-    tokenizer = _tokenizer(path)
-    ends = np.zeros(max(tokenizer.get_vocab().values()) + 1, bool)
+    pieces = _vocabulary(path)[0]
+    ends = np.zeros(max(pieces.values()) + 1, bool)
     newline = next(c for c, b in _bytes_by_char().items() if b == 10)
-    for piece, i in tokenizer.get_vocab().items():
+    for piece, i in pieces.items():
         ends[i] = piece.rstrip('"')[-1:] in (".", "!", "?", newline)
     return ends
 
@@ -103,7 +109,9 @@ def cut_points(ids: np.ndarray, ends: np.ndarray, doc_ends: np.ndarray, length:
     # the run's last tokens hardly fill a sequence, but may make a few whose lengths are powers of two
     powers = 1 << np.arange(length.bit_length())
     tail = total - np.concatenate([powers, np.add.outer(powers, powers).ravel()])
-    more = np.setdiff1d(np.concatenate([*inside, tail[tail > 0]]), at)
+    # and a sequence may always be filled up
+    full = at + length
+    more = np.setdiff1d(np.concatenate([*inside, tail[tail > 0], full[full < total]]), at)
     at = np.concatenate([at, more])
     cost = np.concatenate([cost, np.full(len(more), FORCED_PENALTY)])
     order = np.argsort(at, kind="stable")
@@ -115,15 +123,19 @@ def cut_points(ids: np.ndarray, ends: np.ndarray, doc_ends: np.ndarray, length:
 def best_cuts(at: list[int], cost: list[float], length: int) -> list[int]:
     """Cuts of least padding and penalty from the first place to the last, as places, ascending.
 
-    A sequence of n tokens is padded to ``length``, except where n is a power of two, which costs a little. Let f[j] be the least cost
-    up to place j. Then f[j] = cost[j] + min(f[i] + length - (at[j] - at[i])) over the places i within ``length``
-    before j, so the least f[i] + at[i] of a sliding window is wanted: a queue of ascending values holds it at its head, and each place enters
-    and leaves it once. The powers of two are looked up besides.
+    A sequence of n tokens is padded to ``length``, except where n is a power of two, which costs a little. Let
+    f[j] be the least cost up to place j. Then f[j] = cost[j] + min(f[i] + length - (at[j] - at[i])) over the
+    places i within ``length`` before j, so the least f[i] + at[i] of a sliding window is wanted: a queue of
+    ascending values holds it at its head, and each place enters and leaves it once. The powers of two are looked
+    up besides; those below a 64th of ``length`` only for the last ``length`` tokens, where they can spare much padding.
     """
     n = len(at)
     best, source = [0.0] * n, [0] * n
-    number = {0: 0}
+    number = [-1] * (at[-1] + 1)  # place -> its index
+    number[0] = 0
     powers = [1 << k for k in range(length.bit_length()) if 1 << k < length]
+    large = [p for p in powers if 64 * p >= length]
+    tail = at[-1] - length
     queue, values, head = [0], [0.0], 0
     for j in range(1, n):
         here = at[j]
@@ -131,12 +143,12 @@ def best_cuts(at: list[int], cost: list[float], length: int) -> list[int]:
         while at[queue[head]] < low:
             head += 1
         i = queue[head]
-        least, via = values[head] + length - here, i
-        for p in powers:
-            k = number.get(here - p)
-            if k is not None and best[k] + SHORT_PENALTY < least:
-                least, via = best[k] + SHORT_PENALTY, k
-        least += cost[j]
+        short, via = values[head] + length - here - SHORT_PENALTY, i
+        for p in powers if here > tail else large:
+            k = number[here - p] if here >= p else -1
+            if k >= 0 and best[k] < short:
+                short, via = best[k], k
+        least = short + SHORT_PENALTY + cost[j]
         best[j], source[j] = least, via
         number[here] = j
         value = least + here
