@@ -17,6 +17,8 @@ PAGES = [
     (None, "http://d.example/", "é😀"),
     (None, "http://e.example/", "alone"),
     (6, "http://f.example/", "long " * 100_000),
+    (7, "http://[bad|host", "x"),
+    (8, "no url at all", "y"),
 ]
 
 
@@ -62,6 +64,8 @@ def test_nested_rows_hold_the_payload(spark):
         uri = r["capture"]["target_uri"]
         assert r["request"]["block"].startswith(f"GET {uri or '/'} HTTP/1.1")
     assert {r["capture"]["target_uri"] for r in rows} >= {"http://c.example/ a X: y", None}
+    hosts = {r["page_id"]: r["request"]["block"].partition("Host: ")[2].strip() for r in rows}
+    assert hosts[1] == "a.example" and hosts[7] == "[bad|host" and hosts[8] == ""
     slim = warc.read_records(spark, path, payloads=False)
     assert slim.where("payload is not null").count() == 0 and slim.where("payload_bytes > 0").count() > 0
 

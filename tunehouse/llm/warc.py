@@ -86,7 +86,8 @@ def write_captures(pages: DataFrame, path: str, min_bytes: int = 0, pages_per_fi
         "revisit", own, head, target, digest, http, ("WARC-Profile", F.lit(REVISIT_PROFILE)), ("WARC-Refers-To-Target-URI", F.col("first.url")), ("WARC-Refers-To-Date", F.lit(DATE))
     )
     concurrent = ("WARC-Concurrent-To", own)
-    host = F.coalesce(F.parse_url(F.regexp_extract("url", r"^https?://[^/?#\s]+", 0), F.lit("HOST")), F.lit(""))
+    # parse_url would fail the job on a malformed url
+    host = F.coalesce(F.regexp_extract("url", r"^[A-Za-z]+://(?:[^/?#@]*@)?([^/?#:]+)", 1), F.lit(""))
     get = F.concat(F.lit("GET "), F.coalesce("url", F.lit("/")), F.lit(" HTTP/1.1\r\nHost: "), host, F.lit("\r\n\r\n"))
     request = _record("request", asked, get, target, concurrent, ("Content-Type", F.lit("application/http;msgtype=request")))
     note = F.coalesce(F.concat(F.lit("page-id: "), F.col("page_id").cast("string"), F.lit("\r\n")), F.lit(""))
