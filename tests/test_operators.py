@@ -28,12 +28,6 @@ def test_global_position_of_nothing(spark):
     assert ranking.with_global_position(spark.range(0), "id").count() == 0
 
 
-def test_stride_sample(skewed):
-    data, df = skewed
-    got = ranking.stride_sample(df, 350, "k")
-    assert sorted(r.k for r in got.collect()) == sorted(k for _, k, _ in data)[::350]
-
-
 @pytest.mark.parametrize("step", [1, 7, 350, 5000])
 @pytest.mark.parametrize("chunk", [3, 100_000])
 def test_stride_of_counts_equals_sorting_all_rows(skewed, step, chunk):

@@ -24,7 +24,7 @@ def round_half_even(value: Column, digits: int = 2) -> Column:
 
 def round_to_int(value: Column) -> Column:
     """Numeric to INT as a database assignment does it: rounds, never truncates."""
-    return F.round(value).cast("int")
+    return round_half_up(value, 0).cast("int")
 
 
 def hundredths(amount: Column) -> Column:

@@ -49,11 +49,6 @@ def with_global_position(df: DataFrame, *order: Column | str, name: str = "posit
     )
 
 
-def stride_sample(df: DataFrame, step: int, *order: Column | str) -> DataFrame:
-    """Every ``step``-th row of the ordered table, beginning with the first."""
-    return with_global_position(df, *order, name="_at").filter(F.col("_at") % step == 0).drop("_at")
-
-
 def head_rest_split(df: DataFrame, n: int, *order: Column | str) -> tuple[DataFrame, DataFrame]:
     """The first ``n`` rows in ``order`` and all the others.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunehouse.functions.numbers import whole_percent_text
+from tunehouse.functions.numbers import average_of, whole_percent_text
 from tunehouse.operators.ranking import group_best, top_k
 from tunehouse.operators.sets import union_all
 from tunehouse.session import land
@@ -41,8 +41,8 @@ def extremes(dim_playlist: DataFrame, smallest: int = 2, largest: int = 1) -> Da
         top_k(counts, smallest, F.asc_nulls_last("total_tracks"), F.asc_nulls_last("playlist_name")),
         top_k(counts, largest, F.desc_nulls_first("total_tracks"), F.asc_nulls_last("playlist_name")),
     )
-    size = F.sum("total_tracks").cast("decimal(20,0)") / F.count("total_tracks")
-    average = counts.agg(F.round(size, 2).cast("decimal(20,2)").alias("avg")).scalar()
+    size = average_of(F.sum("total_tracks").cast("decimal(20,0)"), F.count("total_tracks"))
+    average = counts.agg(size.alias("avg")).scalar()
     return picked.withColumn("avg_tracks_on_playlist", average)
 
 

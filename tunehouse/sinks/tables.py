@@ -65,11 +65,6 @@ def _remove_loads(spark: SparkSession, folder: str, keep: set[str | None]) -> No
             files.delete(status.getPath(), True)
 
 
-def clear_table(spark: SparkSession, name: str, root: str) -> DataFrame:
-    """Remove all rows and keep the table."""
-    return refresh_table(spark.table(name).limit(0), name, root)
-
-
 def jdbc_refresh_options(
     url: str, table: str, user: str | None = None, password: str | None = None, connections: int = 16, batch: int = 10_000
 ) -> dict[str, str]:
@@ -104,11 +99,6 @@ def delete_where(df: DataFrame, condition: Column) -> DataFrame:
     return df.filter(F.coalesce(~condition, F.lit(True)))
 
 
-def add_columns(df: DataFrame, extra: T.StructType) -> DataFrame:
-    """Add typed columns, NULL in every row."""
-    return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in extra.fields})
-
-
 def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, location: str) -> DataFrame:
     """Write a table bucketed and sorted on ``key``; two such tables join without a shuffle.
 
