@@ -75,10 +75,13 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int
 
 
 def mixing_plan(keyed: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """One row per source: its target, the complete epochs, and where its fractional epoch is cut.
+    """One row per source: its target, the complete epochs, and the place in the order of keys where its fractional
+    epoch is cut: (key, doc_id, size) of the document that is cut, and the words taken of it.
 
     Sizes are summed up per source and bin within each task first, so a source with a third of all documents is
-    some ten thousand rows. ``keyed`` should be stored, as it is read twice.
+    some ten thousand rows, and only the rows of the bin with the cut are sorted. Equal rows at the cut take equal
+    parts, so a source may then miss its target by fewer words than there are such rows. ``keyed`` should be
+    stored, as it is read three times.
     """
     bins = keyed.groupBy("source", "__bin").agg(F.sum("__size").alias("n"))
     sizes = bins.groupBy("source").agg(F.sum("n").alias("source_size"))
@@ -86,26 +89,33 @@ def mixing_plan(keyed: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = C
     budget = F.floor("target")
     epochs = F.when(F.col("source_size") > 0, F.expr("floor(target) div source_size")).otherwise(0)
     planned = targets.withColumn("epochs", epochs).withColumn("rest", budget - F.col("epochs") * F.col("source_size"))
-    before = F.sum("n").over(W.partitionBy("source").orderBy("__bin").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("n")
-    placed = bins.withColumn("before", before).withColumnRenamed("source", "s")
-    inside = (F.col("before") < F.col("rest")) & (F.col("before") + F.col("n") >= F.col("rest"))
-    cut = planned.join(placed, F.col("source").eqNullSafe(F.col("s"))).where(inside & (F.col("n") > 0))
-    cut = cut.select("s", F.col("__bin").alias("cut_bin"), F.col("before").alias("cut_before"))
-    return planned.join(cut, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
+
+    def before(words: str, *order: str) -> Column:
+        upto = W.partitionBy("s").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+        return F.sum(words).over(upto) - F.col(words)
+
+    def reached(words: str) -> Column:
+        return (F.col("before") < F.col("rest")) & (F.col("before") + F.col(words) >= F.col("rest"))
+
+    same_source = F.col("source").eqNullSafe(F.col("s"))
+    placed = bins.withColumnRenamed("source", "s").withColumn("before", before("n", "__bin"))
+    cut_bins = planned.join(placed, same_source).where(reached("n"))
+    cut_bins = cut_bins.select("s", "rest", F.col("__bin").alias("cut_bin"), F.col("before").alias("start"))
+    near = keyed.join(cut_bins, same_source & (F.col("__bin") == F.col("cut_bin")))
+    rows = near.groupBy("s", "rest", "start", "__key", "doc_id", "__size").agg(F.count("*").alias("copies"))
+    rows = rows.withColumn("words", F.col("copies") * F.col("__size"))
+    rows = rows.withColumn("before", F.col("start") + before("words", "__key", "doc_id", "__size")).where(reached("words"))
+    cut = rows.select("s", F.struct("__key", "doc_id", "__size").alias("cut"), F.expr("(rest - before) div copies").alias("cut_words"))
+    return planned.join(cut, same_source, "left").drop("s")
 
 
 def _with_taken(keyed: DataFrame, plan: DataFrame) -> DataFrame:
     """``keyed`` with the plan's columns as __plan and with __extra, the words of the fractional epoch."""
     named = plan.select(F.col("source").alias("__s"), F.struct(*plan.columns).alias("__plan"))
     rows = keyed.join(named, F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
-    at, cut = F.col("__bin"), F.col("__plan.cut_bin")
-    whole = rows.where(cut.isNull() | (at != cut)).withColumn(
-        "__extra", F.when(at < cut, F.col("__size")).otherwise(0).cast("bigint")
-    )
-    order = W.partitionBy("source").orderBy("__key", "doc_id", "__size").rowsBetween(W.unboundedPreceding, W.currentRow)
-    room = F.col("__plan.rest") - F.col("__plan.cut_before") - (F.sum("__size").over(order) - F.col("__size"))
-    part = rows.where(at == cut).withColumn("__extra", F.greatest(F.lit(0), F.least("__size", room)).cast("bigint"))
-    return whole.unionByName(part)
+    here, cut = F.struct("__key", "doc_id", "__size"), F.col("__plan.cut")
+    extra = F.when(here < cut, F.col("__size")).when(here == cut, F.col("__plan.cut_words")).otherwise(0)
+    return rows.withColumn("__extra", extra.cast("bigint"))
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, weight: Column | None = None, seed: str = SEED) -> DataFrame:
@@ -139,8 +149,8 @@ def first_words(text: Column, n: Column) -> Column:
 def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, seed: str = SEED) -> DataFrame:
     """The documents of the mix, columns as in ``docs``: a row per epoch, the cut document with its first words only.
 
-    The documents themselves are not shuffled: the stored plan has one row per source, and Spark broadcasts it if
-    it is small. n_chars, where there is one, follows the text.
+    The documents themselves are neither shuffled nor sorted: each is held against its source's row of the stored
+    plan, which Spark broadcasts if it is small. n_chars, where there is one, follows the text.
     """
     packed = docs.select(
         whole_row(docs).alias("__row"), "doc_id", F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("source")
