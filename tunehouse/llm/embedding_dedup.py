@@ -17,7 +17,7 @@ from tunehouse.llm.components import connected_components
 THRESHOLD = 0.93
 TABLES, BITS = 48, 16  # two vectors meet if they share the 16 code bits of any of 48 tables
 CONFIDENCE = 5.0  # standard errors that an estimate may be too low before its pair is let go
-BLOCK = 1024  # rows of a bucket that are compared with as many others at once
+BLOCK = 512  # rows of a bucket that are compared with as many others at once
 SMALL = 32  # buckets up to this size are compared together, pair by pair
 CHUNK = 200_000  # pairs compared exactly at a time
 SEED = 7
@@ -146,7 +146,7 @@ def vector_links(
     that is NULL, empty, zero or holds a NULL, NaN or infinity links with nothing. Equal vectors of a label are one
     class from the start, so copies are never paired. Classes meet in buckets of equal code bits; a pair at the
     threshold meets with a probability of 0.998 with the default tables (more when nearer), so recall is high but not certain.
-    No bucket is capped: a bucket of more than 1,024 rows is dealt into blocks, and each pair of blocks is a
+    No bucket is capped: a bucket of more than 512 rows is dealt into blocks, and each pair of blocks is a
     group of its own, so the largest task does not grow with a bucket. A pair that meets in many tables counts in the
     first. Pairs are never written: a group gives counts, and links enough to join its components. All links of a
     cluster of k different vectors still have to be counted, which takes k x k / 2 comparisons spread over tasks.
