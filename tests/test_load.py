@@ -3,13 +3,15 @@
 import datetime
 import shutil
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
 from tunehouse import catalog
-from tunehouse.plans.load import LoadedWarehouse, load_warehouse
+from tunehouse.plans.load import LoadedWarehouse, check_loaded, load_warehouse
 from tunehouse.plans.warehouse import Warehouse
+from tunehouse.sinks.tables import refresh_table
 from tunehouse.sources.tables import StagingTables
 from tunehouse.staging import Staging
 
@@ -83,3 +85,21 @@ def test_albums_are_joined_only_where_wanted(spark):
     plan = wh.track("trackid", "genre_name")._jdf.queryExecution().optimizedPlan().toString()
     assert "albumid" not in plan and "genreid" in plan
     assert "albumid" in wh.track("trackid", "album_name")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_facts_are_stored_by_date_and_columns_are_checked(spark, tmp_path):
+    wh = Warehouse(Staging(spark, SMALL), datetime.date(2024, 2, 28))
+    load_warehouse(wh, "dwh_sorted", str(tmp_path))
+    try:
+        for file in (tmp_path / "dwh_sorted" / "fact_invoice").glob("load-*/part-*.parquet"):
+            dates = pq.read_table(file, columns=["invoicedate"])["invoicedate"].to_pylist()
+            assert dates == sorted(dates)
+        loaded = LoadedWarehouse(spark, "dwh_sorted", wh)
+        assert {r["violations"] for r in check_loaded(loaded).collect()} == {0}
+        # a half-written and a wrongly defined table are both noticed
+        refresh_table(spark.table("dwh_sorted.fact_invoice").limit(7), "dwh_sorted.fact_invoice", str(tmp_path))
+        refresh_table(spark.table("dwh_sorted.dim_customer").drop("email"), "dwh_sorted.dim_customer", str(tmp_path))
+        found = {r["table_name"]: r["violations"] for r in check_loaded(loaded).collect() if r["violations"]}
+        assert found == {"fact_invoice": wh.invoice().count() - 7, "dim_customer": 1}
+    finally:
+        spark.sql("DROP DATABASE dwh_sorted CASCADE")
