@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -19,6 +20,7 @@ BLOCK = 1 << 18  # tokens after which a run of documents is packed and let go
 SENTENCE_PENALTY = 1.0  # padding tokens that a cut at a sentence's end is worth
 FORCED_PENALTY = 16.0  # the same for a cut inside a sentence
 SHORT_PENALTY = 4.0  # the same for a sequence that is not filled up, as its length is a power of two
+BEYOND = re.compile("[^\x00-\u024f]")
 PIECES = "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
@@ -84,7 +86,7 @@ def token_ids(texts: list[str | None], path: str) -> list[np.ndarray]:
     for text in texts:
         if not text:
             ids = []
-        elif max(text) < "ɐ" and not any(s in text for s in special):
+        elif (text.isascii() or not BEYOND.search(text)) and not any(s in text for s in special):
             ids = fast.encode_ordinary(text)
         else:
             ids = _tokenizer(path).encode(text, add_special_tokens=False).ids
@@ -109,8 +111,8 @@ def cut_points(ids: np.ndarray, ends: np.ndarray, doc_ends: np.ndarray, length:
     # the run's last tokens hardly fill a sequence, but may make a few whose lengths are powers of two
     powers = 1 << np.arange(length.bit_length())
     tail = total - np.concatenate([powers, np.add.outer(powers, powers).ravel()])
-    # and a sequence may always be filled up
-    full = at + length
+    # and a sequence that begins at every fourth of these places may be filled up
+    full = at[::4] + length
     more = np.setdiff1d(np.concatenate([*inside, tail[tail > 0], full[full < total]]), at)
     at = np.concatenate([at, more])
     cost = np.concatenate([cost, np.full(len(more), FORCED_PENALTY)])
