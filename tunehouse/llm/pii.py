@@ -97,8 +97,8 @@ def _is_title(word: Column) -> Column:
 def name_tokens(entity: Column) -> Column:
     """The words of a person's name as (word, kind, norm); kind is NULL for titles.
 
-    The last word is the surname; a word before it is a given name, whose gender comes from the name or else from the title.
-    Names are mapped word by word, so that "Mr. John Smith" and "Mr. Smith" keep one surname.
+    The last word is the surname; a word before it is a given name, whose gender comes from the name or else from
+    the title. Names are mapped word by word, so that "Mr. John Smith" and "Mr. Smith" keep one surname.
     """
     words = F.split(entity, " ")
     women, men = (entity.rlike(rf"(?:^| )(?:{_any(TITLES[g])})\.? ") for g in "fm")
@@ -199,9 +199,9 @@ def _pick(table: Column, digest: Column):
 def surrogate(kind: Column, norm: Column, attempt: Column, key: str = KEY) -> Column:
     """The replacement of an entity, in the same normal form.
 
-    e-mail: length and separators stay, the last label is the reserved "example"; phone: the first digit stays; card:
-    the first digit stays, and a valid check digit stays valid, a wrong one wrong; account: the country stays, with valid check
-    digits; address: another address; name: a name of the gender and script.
+    e-mail: length and separators stay, the last label is the reserved "example"; phone: the first digit stays;
+    card: the first digit stays, and a valid check digit stays valid, a wrong one wrong; account: the country
+    stays, with valid check digits; address: another address; name: a name of the gender and script.
     """
     seed = F.concat_ws("|", F.lit(key), kind, norm, attempt.cast("string"))
     digest = F.concat(F.sha2(seed, 512), F.sha2(F.concat(seed, F.lit("+")), 512))
@@ -225,9 +225,9 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str = KEY) -> Co
 def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
     """Distinct (kind, norm) -> with surrogate, stored: no two entities of a kind share one, and none is an entity itself.
 
-    A surrogate depends on key, kind and entity alone unless it collides. Of those that collide the earliest attempt
-    keeps it (of equal ones the smallest entity); the others try again. Rounds go on until none collides; more entities of a
-    kind than its format has room for end in an error.
+    A surrogate depends on key, kind and entity alone unless it collides. Of those that collide the earliest
+    attempt keeps it (of equal ones the smallest entity); the others try again. Rounds go on until none collides;
+    more entities of a kind than its format has room for end in an error.
     """
     spark = entities.sparkSession
 

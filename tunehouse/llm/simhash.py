@@ -100,9 +100,9 @@ def near_duplicates(
 
     Rows are linked when their fingerprints differ in at most ``max_bits`` bits; component_id is the smallest id
     reachable (NULL ids are passed over, a component of NULL ids has NULL), component_key its smallest
-    fingerprint, signed. Copies are one fingerprint from the start, so a group of any size is one node. Texts without words have
-    fingerprint 0 and are linked like any other. Repeated rows each give a row; other columns are ignored; an
-    empty table gives no rows.
+    fingerprint, signed. Copies are one fingerprint from the start, so a group of any size is one node. Texts
+    without words have fingerprint 0 and are linked like any other. Repeated rows each give a row; other columns
+    are ignored; an empty table gives no rows.
     """
     own = landed(with_fingerprints(docs, id_col, text_col, words), "fingerprints")[0]
     prints = landed(own.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fingerprints")[0]
@@ -127,7 +127,8 @@ def near_duplicates(
 def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataFrame:
     """The rows of ``docs`` with one row left of each group of near-duplicates: that of the smallest doc_id.
 
-    Rows without doc_id cannot be named and all stay. Of repeated rows of the kept id, the one with the smallest text stays.
+    Rows without doc_id cannot be named and all stay. Of repeated rows of the kept id, the one with the smallest
+    text stays.
     """
     groups = near_duplicates(docs.where("doc_id is not null"), words=words, max_bits=max_bits)
     kept = groups.select(F.col("component_id").alias("doc_id")).distinct()

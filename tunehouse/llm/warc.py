@@ -52,9 +52,10 @@ def _record(kind: str, record_id: Column, block: Column, *fields: tuple[str, Col
 def write_captures(pages: DataFrame, path: str, min_bytes: int = 0, pages_per_file: int = PAGES_PER_FILE) -> None:
     """Write a request, a response or revisit, and a metadata record for each row of ``pages`` (page_id, url, html).
 
-    The payload is the html in UTF-8, empty for NULL. Of equal payloads of ``min_bytes`` or more, that of the largest page_id
-    is written as response, the others as revisits of it; repeated rows of the largest page_id are all responses, as are equal payloads that all lack a page_id. A
-    NULL page_id is the smallest. Control characters in a url become spaces; a NULL url leaves the field out.
+    The payload is the html in UTF-8, empty for NULL. Of equal payloads of ``min_bytes`` or more, that of the
+    largest page_id is written as response, the others as revisits of it; repeated rows of the largest page_id are
+    all responses, as are equal payloads that all lack a page_id. A NULL page_id is the smallest. Control
+    characters in a url become spaces; a NULL url leaves the field out.
     Records are written as they come, without Python: a record ends in two blank lines, which Spark's text writer
     puts between rows. Files are gzip and hold ``pages_per_file`` pages at most.
     """
@@ -82,9 +83,8 @@ def write_captures(pages: DataFrame, path: str, min_bytes: int = 0, pages_per_fi
     digest = ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest")))
     http = ("Content-Type", F.lit("application/http;msgtype=response"))
     response = _record("response", own, F.concat(head, F.col("body")), target, digest, http)
-    revisit = _record(
-        "revisit", own, head, target, digest, http, ("WARC-Profile", F.lit(REVISIT_PROFILE)), ("WARC-Refers-To-Target-URI", F.col("first.url")), ("WARC-Refers-To-Date", F.lit(DATE))
-    )
+    original = ("WARC-Refers-To-Target-URI", F.col("first.url")), ("WARC-Refers-To-Date", F.lit(DATE))
+    revisit = _record("revisit", own, head, target, digest, http, ("WARC-Profile", F.lit(REVISIT_PROFILE)), *original)
     concurrent = ("WARC-Concurrent-To", own)
     # parse_url would fail the job on a malformed url
     host = F.coalesce(F.regexp_extract("url", r"^[A-Za-z]+://(?:[^/?#@]*@)?([^/?#:]+)", 1), F.lit(""))
@@ -156,8 +156,9 @@ def assemble(records: DataFrame) -> DataFrame:
     """One nested row per capture: capture_id, capture, request, metadata, page_id.
 
     Requests and metadata are joined to the response or revisit that their concurrent-to identifier names. Of
-    several of one kind the one of the smallest record id is kept, and n_requests and n_metadata count them; records whose capture
-    is missing make a row of their own with a NULL capture. Records without identifier are left out of the join.
+    several of one kind the one of the smallest record id is kept, and n_requests and n_metadata count them;
+    records whose capture is missing make a row of their own with a NULL capture. Records without identifier are
+    left out of the join.
     ``records`` should be stored, as it is read three times.
     """
     capture = records.where(F.col("kind").isin("response", "revisit")).select(
