@@ -125,3 +125,51 @@ def test_short_runs_waste_little(spark, con):
     path = P.default_tokenizer()
     sizes = check(P.pack(docs).collect(), [(k, with_end(t, path)) for k, t in rows])
     assert sum(padding(n, 2048) for n in sizes.values()) < 0.03 * sum(sizes.values())
+
+
+def plain_filled(at, cost, length, fill):
+    """Least cost over all cuts whatever, without the powers of two."""
+    own = dict(zip(at, cost, strict=True))
+    best = [0.0] + [float("inf")] * at[-1]
+    for j in range(1, at[-1] + 1):
+        best[j] = own.get(j, fill) + min(best[i] + length - (j - i) for i in range(max(0, j - length), j))
+    return best[-1]
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_filled_up_cuts_cost_least(seed, monkeypatch):
+    """No cut elsewhere is better than those at places and at the ends of full sequences."""
+    rng = random.Random(seed)
+    length = 63
+    monkeypatch.setattr(P, "SHORT_PENALTY", 1000.0)  # powers of two are never worth it
+    at = [0]
+    for _ in range(60):
+        at.append(at[-1] + rng.randint(1, [5, 30, 63, 200][seed % 4]))
+    cost = [0.0] + [rng.choice([0.0, 1.0]) for _ in at[1:]]
+    cuts = P.best_cuts(at, cost, length, 4.0)
+    own = dict(zip(at, cost, strict=True))
+    assert cuts[0] == 0 and cuts[-1] == at[-1] and all(0 < b - a <= length for a, b in zip(cuts, cuts[1:], strict=False))
+    total = sum(length - (b - a) + own.get(b, 4.0) for a, b in zip(cuts, cuts[1:], strict=False))
+    assert total == pytest.approx(plain_filled(at, cost, length, 4.0))
+
+
+@pytest.mark.parametrize("most", [1_400, 2_000, 2_040])
+def test_documents_without_sentence_ends_waste_little(most):
+    rng = random.Random(most)
+    docs = [np.append(np.full(rng.randint(700, most), 1000, np.uint32), np.uint32(P.END_ID)) for _ in range(200)]
+    kinds = np.zeros(2000, np.int8)
+    sizes = defaultdict(int)
+    for _, _, count, _, sequence, _ in P.pack_run(docs, (kinds, {})):
+        sizes[sequence] += count
+    assert sum(sizes.values()) == sum(map(len, docs)) and max(sizes.values()) <= 2048
+    assert sum(padding(n, 2048) for n in sizes.values()) < 0.01 * sum(sizes.values())
+
+
+@pytest.mark.parametrize("text", ["日本語の文です。次の文", "यह वाक्य है। अगला", "really？ no", "Ça va… oui", "هل هذا؟ نعم", "one. two", "これ！それ"])
+def test_sentence_ends_of_other_scripts(text):
+    path = P.default_tokenizer()
+    mark = next(i for i, c in enumerate(text) if c.encode() in P.STOPS)
+    ids = P.token_ids([text], path)[0]
+    places = P.sentence_places(ids, P._sentence_ends(path))
+    tokenizer = P._tokenizer(path)
+    assert [tokenizer.decode(ids[:p].tolist()) for p in places] == [text[: mark + 1]]

@@ -21,6 +21,10 @@ SENTENCE_PENALTY = 1.0  # padding tokens that a cut at a sentence's end is worth
 FORCED_PENALTY = 16.0  # the same for a cut inside a sentence
 SHORT_PENALTY = 4.0  # the same for a sequence that is not filled up, as its length is a power of two
 BEYOND = re.compile("[^\x00-\u024f]")
+# fixed values: full stops, question and exclamation marks and line breaks of the world's scripts, and what may close a sentence after them
+STOPS = tuple(c.encode() for c in ".!?\n。．！？｡।॥؟۔։።፧။།។៕‼⁇⁈⁉…\u2028\u2029")
+CLOSERS = tuple(c.encode() for c in "\"”’»」』）】")
+NO_END, END, PERHAPS = 0, 1, 2  # a token of the last kind ends a sentence if those before it begin the mark
 PIECES = "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
@@ -59,14 +63,39 @@ def _bytes_by_char() -> dict[str, int]:
 
 
 @lru_cache(maxsize=4)
-def _sentence_ends(path: str) -> np.ndarray:
-    """Per token id: its text ends a sentence or a line."""
-    pieces = _vocabulary(path)[0]
-    ends = np.zeros(max(pieces.values()) + 1, bool)
-    newline = next(c for c, b in _bytes_by_char().items() if b == 10)
+def _sentence_ends(path: str) -> tuple[np.ndarray, dict[int, bytes]]:
+    """Per token id: its text ends a sentence or a line, or may be the rest of a mark of several bytes; and the bytes of
+    the tokens that can be part of such a mark."""
+    pieces, special = _vocabulary(path)
+    as_byte = _bytes_by_char()
+    kinds = np.full(max(pieces.values()) + 1, NO_END, np.int8)
+    parts: dict[int, bytes] = {}
+    rests = {stop[k:] for stop in STOPS for k in range(1, len(stop))}
+    begins = tuple({stop[:k] for stop in STOPS for k in range(1, len(stop))})
     for piece, i in pieces.items():
-        ends[i] = piece.rstrip('"')[-1:] in (".", "!", "?", newline)
-    return ends
+        if piece in special:
+            continue
+        raw = bytes(as_byte[c] for c in piece)
+        bare = raw
+        while bare.endswith(CLOSERS):
+            bare = bare[: -next(len(c) for c in CLOSERS if bare.endswith(c))]
+        if bare.endswith(STOPS):
+            kinds[i] = END
+        elif raw in rests:
+            kinds[i] = PERHAPS
+        if raw in rests or raw.endswith(begins):
+            parts[i] = raw
+    return kinds, parts
+
+
+def sentence_places(ids: np.ndarray, ends: tuple[np.ndarray, dict[int, bytes]]) -> np.ndarray:
+    """Places after tokens that end a sentence, ascending; a mark may lie in up to as many tokens as it has bytes."""
+    kinds, parts = ends
+    kind = kinds[ids]
+    found = kind == END
+    for i in np.flatnonzero(kind == PERHAPS).tolist():
+        found[i] = b"".join(parts.get(t, b"") for t in ids[max(0, i - 2) : i + 1].tolist()).endswith(STOPS)
+    return np.flatnonzero(found) + 1
 
 
 def default_tokenizer() -> str:
@@ -94,14 +123,14 @@ def token_ids(texts: list[str | None], path: str) -> list[np.ndarray]:
     return out
 
 
-def cut_points(ids: np.ndarray, ends: np.ndarray, doc_ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+def cut_points(ids: np.ndarray, ends: tuple[np.ndarray, dict[int, bytes]], doc_ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Places where a run of tokens may be cut, ascending, 0 and the end included, and the penalty of each.
 
     Cuts at a document's end are free. Forced ones are put where two places lie further apart than a sequence, and
-    before the end.
+    before the end; the search itself adds those that fill a sequence up.
     """
     total = len(ids)
-    places = np.flatnonzero(ends[ids]) + 1
+    places = sentence_places(ids, ends)
     places = np.setdiff1d(places, np.concatenate([doc_ends, doc_ends - 1]))
     at = np.concatenate([[0], doc_ends, places])
     cost = np.concatenate([np.zeros(len(doc_ends) + 1), np.full(len(places), SENTENCE_PENALTY)])
@@ -111,9 +140,7 @@ def cut_points(ids: np.ndarray, ends: np.ndarray, doc_ends: np.ndarray, length:
     # the run's last tokens hardly fill a sequence, but may make a few whose lengths are powers of two
     powers = 1 << np.arange(length.bit_length())
     tail = total - np.concatenate([powers, np.add.outer(powers, powers).ravel()])
-    # and a sequence that begins at every fourth of these places may be filled up
-    full = at[::4] + length
-    more = np.setdiff1d(np.concatenate([*inside, tail[tail > 0], full[full < total]]), at)
+    more = np.setdiff1d(np.concatenate([*inside, tail[tail > 0]]), at)
     at = np.concatenate([at, more])
     cost = np.concatenate([cost, np.full(len(more), FORCED_PENALTY)])
     order = np.argsort(at, kind="stable")
@@ -122,7 +149,7 @@ def cut_points(ids: np.ndarray, ends: np.ndarray, doc_ends: np.ndarray, length:
     return at, cost
 
 
-def best_cuts(at: list[int], cost: list[float], length: int) -> list[int]:
+def best_cuts(at: list[int], cost: list[float], length: int, fill: float | None = None) -> list[int]:
     """Cuts of least padding and penalty from the first place to the last, as places, ascending.
 
     A sequence of n tokens is padded to ``length``, except where n is a power of two, which costs a little. Let
@@ -130,43 +157,66 @@ def best_cuts(at: list[int], cost: list[float], length: int) -> list[int]:
     places i within ``length`` before j, so the least f[i] + at[i] of a sliding window is wanted: a queue of
     ascending values holds it at its head, and each place enters and leaves it once. The powers of two are looked
     up besides; those below a 64th of ``length`` only for the last ``length`` tokens, where they can spare much padding.
+
+    With ``fill``, a sequence may also be filled up from any place, filled-up ones included, at that penalty. A cut
+    elsewhere could be moved on to such a place, and only the queue's head can be worth it: where head i leaves the
+    queue, place at[i] + ``length`` is added, unless the next place is at least as good for all that follows.
     """
-    n = len(at)
-    best, source = [0.0] * n, [0] * n
+    place, best, source = [at[0]], [0.0], [0]
     number = [-1] * (at[-1] + 1)  # place -> its index
-    number[0] = 0
+    number[at[0]] = 0
     powers = [1 << k for k in range(length.bit_length()) if 1 << k < length]
     large = [p for p in powers if 64 * p >= length]
     tail = at[-1] - length
     queue, values, head = [0], [0.0], 0
-    for j in range(1, n):
-        here = at[j]
+    for here, penalty in zip(at[1:], cost[1:], strict=True):
         low = here - length
-        while at[queue[head]] < low:
-            head += 1
+        if place[queue[head]] < low:
+            if fill is not None:
+                stays = head + 1
+                while stays < len(queue) and place[queue[stays]] < low:
+                    stays += 1
+                enough = values[stays] + penalty - fill if stays < len(queue) else float("inf")
+            while place[queue[head]] < low:
+                i, value = queue[head], values[head]
+                head += 1
+                if fill is None or value >= enough or number[place[i] + length] >= 0:
+                    continue
+                value += fill + length
+                while len(queue) > head and values[-1] >= value:
+                    queue.pop()
+                    values.pop()
+                number[place[i] + length] = len(place)
+                queue.append(len(place))
+                values.append(value)
+                place.append(place[i] + length)
+                best.append(best[i] + fill)
+                source.append(i)
         i = queue[head]
         short, via = values[head] + length - here - SHORT_PENALTY, i
         for p in powers if here > tail else large:
             k = number[here - p] if here >= p else -1
             if k >= 0 and best[k] < short:
                 short, via = best[k], k
-        least = short + SHORT_PENALTY + cost[j]
-        best[j], source[j] = least, via
-        number[here] = j
+        least = short + SHORT_PENALTY + penalty
+        number[here] = len(place)
         value = least + here
         while len(queue) > head and values[-1] >= value:
             queue.pop()
             values.pop()
-        queue.append(j)
+        queue.append(len(place))
         values.append(value)
-    cuts, j = [], n - 1
+        place.append(here)
+        best.append(least)
+        source.append(via)
+    cuts, j = [], len(place) - 1
     while j:
-        cuts.append(at[j])
+        cuts.append(place[j])
         j = source[j]
-    return [0, *reversed(cuts)] if n > 1 else [0]
+    return [0, *reversed(cuts)]
 
 
-def pack_run(docs: list[np.ndarray], ends: np.ndarray, length: int = LENGTH) -> Iterator[tuple[int, int, int, int, int, int]]:
+def pack_run(docs: list[np.ndarray], ends: tuple[np.ndarray, dict[int, bytes]], length: int = LENGTH) -> Iterator[tuple[int, int, int, int, int, int]]:
     """Pieces (document, start, length, crc32 of the ids, sequence, offset) of a run of documents, in order.
 
     ``docs`` are ids with the closing id. No piece crosses a document, no sequence is longer than ``length``.
@@ -174,7 +224,7 @@ def pack_run(docs: list[np.ndarray], ends: np.ndarray, length: int = LENGTH) ->
     ids = np.concatenate(docs)
     doc_ends = np.cumsum([len(d) for d in docs])
     at, cost = cut_points(ids, ends, doc_ends, length)
-    cuts = np.array(best_cuts(at.tolist(), cost.tolist(), length))
+    cuts = np.array(best_cuts(at.tolist(), cost.tolist(), length, FORCED_PENALTY))
     edges = np.unique(np.concatenate([cuts, doc_ends]))
     starts, stops = edges[:-1], edges[1:]
     doc = np.searchsorted(doc_ends, starts, side="right")
