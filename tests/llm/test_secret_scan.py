@@ -114,3 +114,59 @@ def test_query_columns(spark, awkward, awkward_rows, nothing):
     found = S.scan(docs).first()["found"]
     text = docs.first()["text"]
     assert all(s["sha256"] == hashlib.sha256(text[s["start"] : s["end"]].encode()).hexdigest() for s in found)
+
+
+def wrap(text, width):
+    return [text[i : i + width] for i in range(0, len(text), width)]
+
+
+ENCRYPTED = "\n".join(["-----BEGIN RSA PRIVATE KEY-----", "Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF", "", *wrap(b64(hashlib.sha512(b"k").digest() * 6), 64), "-----END RSA PRIVATE KEY-----"])
+
+
+def test_armour_with_header_lines():
+    assert kinds(f"see\n{ENCRYPTED}\n.") == {"pem"}
+    assert kinds(json.dumps({"key": ENCRYPTED})) == {"pem"} and kinds(ENCRYPTED.replace("\n", "\r\n")) == {"pem"}
+    assert not kinds(ENCRYPTED.replace("DEK-Info", "Other")) and not kinds(ENCRYPTED.replace("4,ENCRYPTED", "4,MIC-CLEAR"))
+    assert not kinds(ENCRYPTED.replace("\n\n", "\n\nno key at all, see below\n"))
+    plain = "\n".join(["-----BEGIN RSA PRIVATE KEY-----", "Comment: of a key", "", *wrap(b64(RSA), 64), "-----END RSA PRIVATE KEY-----"])
+    assert "pem" in kinds(plain)
+
+
+@pytest.mark.parametrize("key", [RSA, PKCS8, EC])
+def test_armour_in_strings(key):
+    pem = "\n".join(["-----BEGIN PRIVATE KEY-----", *wrap(b64(key), 64), "-----END PRIVATE KEY-----", ""])
+    account = json.dumps({"type": "service_account", "private_key": pem})
+    assert S.written(S.spans(account)).count("pem") == 1 and "pem" in kinds(json.dumps(account)) and "pem" in kinds("KEY='" + pem.replace("\n", "\\r\\n") + "'")
+    assert "pem" in kinds(account.replace("/", "\\/").replace("=", "\\u003d"))
+    assert "pem" in kinds("\n".join(f'    "{line}\\n" +' for line in pem.splitlines())) and "pem" in kinds("\n".join(f"# {line}" for line in pem.splitlines()))
+    kind, start, end = next(x for x in S.spans(account) if x[0] == "pem")
+    assert account[start:end].startswith("-----BEGIN") and account[start:end].endswith("KEY-----")
+
+
+@pytest.mark.parametrize("width", [44, 64, 76])
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n    ", "\\n", '"\n"', "\n# ", '" +\n  "', '\\n" +\n  "'])
+def test_keys_wrapped_without_armour(width, end):
+    blob = S.SSH_PRIVATE + string(b"none") + string(b"none") + string(b"") + (1).to_bytes(4, "big") + string(SSH) + string(bytes(range(100)))
+    for key, kind in ((RSA, "der"), (PKCS8, "der"), (string(b"ssh-rsa") + string(b"\1\0\1") + string(bytes(range(1, 200))), "ssh"), (blob, "ssh")):
+        lines = wrap(b64(key), width)
+        if len(lines) == 1:
+            continue
+        text = f"some words\nbefore: {end.join(lines)}\nwords after\n"
+        (found,) = [x for x in S.spans(text) if x[0] not in S.BASE_KINDS]
+        assert found[0] == kind and text[found[1] : found[2]] == end.join(lines)
+        assert not kinds(text.replace(lines[0], lines[0][4:]))
+    hexed = wrap(RSA.hex(), width)
+    assert kinds(f"x\n{end.join(hexed)}\nafter") == {"der"}
+
+
+def test_hex_of_mixed_case():
+    text = "".join(c.upper() if i % 3 else c for i, c in enumerate(RSA.hex()))
+    assert kinds(f"x {text} y") == {"der"} and kinds("0x" + text) == {"der"}
+
+
+def test_tokens_after_names():
+    for before in ("access_token.", "a.b.c.", "some.access_token.", "id-", "user_", "\\n", "eyJhbGciOi.eyJ.", "x..", JWT + "."):
+        text = f"see {before}{JWT}, yes"
+        last = [x for x in S.spans(text) if x[0] == "jwt"][-1]
+        assert text[last[1] : last[2]] == JWT, before
+    assert kinds(JWT + ".more") == {"jwt"}

@@ -20,14 +20,25 @@ LEAST = {"assign": 12, "access": 18, "hex": 16}
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "jwt", "pem", "der", "ssh")  # spans of one start are listed in this order
 
-JWT = re.compile(r"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,40})-----([A-Za-z0-9+/=\s]*?)-----END \1-----", re.ASCII)
+DOTTED = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]++(?:\.[A-Za-z0-9_-]*+){2,}+")
+HEADER = re.compile(r"e[wy][A-Za-z0-9_-]")  # an opening brace, and then a quote or white space
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,40})-----((?:[^-]|-(?!----))*+)-----END \1-----")
+PEM_HEADER = re.compile(r"([A-Za-z][A-Za-z0-9-]*):\s*(.*)")
+PEM_LINE = re.compile(r"""(?:[\s"'`#>*|;]|//(?=\s)|\+(?=\s|$))*([A-Za-z0-9+/=_\s-]*?)\s*(?:["'`][\s+,;.\\&)]*|\\)?""")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
-LONG_HEX = re.compile(r"[0-9a-f]{80,}|[0-9A-F]{80,}")
+# a line break with the quotes or comment marks around it, and lines of base64 or hex between such breaks
+LINE_BREAK = re.compile(r"""(?:["'][ \t]*[+,.]?)?[ \t]*\\?[ \t]*\r?\n[ \t"'#>*|]*(?://[ \t]+|\+[ \t]*\r?\n[ \t"']*)?""")
+LEAST_LINE = 20
+WRAPPED = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{LEAST_LINE},}}+(?:{LINE_BREAK.pattern}[A-Za-z0-9+/_-]++)++={{0,2}}")
+DER_START = re.compile(r"M[A-P]|30")  # a sequence in base64 and in hex
+LONG_HEX = re.compile(r"[0-9a-fA-F]{80,}")
+BREAK_ESCAPE = re.compile(r"\\+(?:[nrt]|u000[aAdD9]|x0[aAdD9])")
+OTHER_ESCAPE = re.compile(r"\\+(?:u00(2[bBfF]|3[dD])|(/))")
 # fixed values: algorithm names of signed tokens, key names of the SSH wire format, DER tags and object identifiers
 ALGORITHMS = frozenset("HS256 HS384 HS512 RS256 RS384 RS512 ES256 ES384 ES512 ES256K PS256 PS384 PS512 EdDSA none".split())
 SSH_NAMES = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-nistp256", b"ecdsa-sha2-nistp384", b"ecdsa-sha2-nistp521")
 SSH_PRIVATE = b"openssh-key-v1\x00"
+SSH_START = re.compile("|".join(base64.b64encode(raw)[: len(raw) * 4 // 3].decode() for raw in (SSH_PRIVATE, *(len(n).to_bytes(4, "big") + n for n in SSH_NAMES))))
 SEQUENCE, INTEGER, OCTETS, OBJECT_ID = 0x30, 0x02, 0x04, 0x06
 MAX_DEPTH = 8
 
@@ -35,7 +46,7 @@ MAX_DEPTH = 8
 def decoded(text: str) -> bytes | None:
     """A base64 (either alphabet, padding optional) or hex text's bytes; None if it is neither."""
     text = re.sub(r"\s+", "", text)
-    if len(text) % 2 == 0 and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", text):
+    if len(text) % 2 == 0 and re.fullmatch(r"[0-9a-fA-F]+", text):
         return bytes.fromhex(text)
     bare = text.rstrip("=").replace("-", "+").replace("_", "/")
     try:
@@ -120,6 +131,18 @@ def is_ssh_key(data: bytes) -> bool:
     return parts is not None and len(parts) >= 2 and all(parts)
 
 
+def is_whole_ssh_key(data: bytes) -> bool:
+    """An SSH key with nothing missing or left over: of a container, the strings of its public and private keys too."""
+    if not data.startswith(SSH_PRIVATE):
+        return is_ssh_key(data)
+    at = len(SSH_PRIVATE)
+    for _ in range(3):  # the names of the cipher and of the key derivation, and its options
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+    count = int.from_bytes(data[at : at + 4], "big")
+    parts = ssh_strings(data[at + 4 :])
+    return is_ssh_key(data) and parts is not None and count > 0 and len(parts) == count + 1
+
+
 def is_signed_token(text: str) -> bool:
     """Three base64url parts: a JSON header that names a signing algorithm, a JSON object, and a signature."""
     head, body, signature = text.split(".")
@@ -135,36 +158,131 @@ def is_signed_token(text: str) -> bool:
     return known and (bool(signature) or header["alg"] == "none")
 
 
+def unescaped(text: str) -> str:
+    """The text with escaped line breaks and tabs (as in JSON or environment strings) as blanks of the same length."""
+    return BREAK_ESCAPE.sub(lambda m: " " * (len(m[0]) - 1) + ("\n" if m[0][-1] in "naA" else " "), text) if "\\" in text else text
+
+
+def pem_parts(body: str) -> tuple[dict[str, str], str] | None:
+    """Header lines and payload of an armoured body, quotes and comment marks around its lines left out; None if
+    another line lies in it."""
+    body = OTHER_ESCAPE.sub(lambda m: m[2] or chr(int(m[1], 16)), unescaped(body))
+    headers: dict[str, str] = {}
+    payload: list[str] = []
+    after_header = False
+    for line in body.splitlines():
+        bare = line.strip(" \t\"'`#>*|;\\")
+        header = PEM_HEADER.match(bare)
+        if header:
+            headers[header[1].lower()] = header[2]
+        elif m := PEM_LINE.fullmatch(line):
+            payload.append(m[1])
+        elif not (after_header and line[:1] in " \t"):
+            return None
+        after_header = bool(header) or (after_header and bool(bare))
+    return headers, "".join(payload)
+
+
 def is_pem_key(label: str, body: str) -> bool:
-    if "PRIVATE KEY" not in label:
+    parts = pem_parts(body) if "PRIVATE KEY" in label else None
+    if parts is None:
         return False
-    data = decoded(body)
+    headers, payload = parts
+    data = decoded(payload)
     if data is None or not data:
         return False
+    if headers.get("proc-type", "").replace(" ", "").endswith(",ENCRYPTED"):
+        cipher = headers.get("dek-info", "").split(",")[0].strip()
+        # encrypted, so only the cipher's blocks can be checked
+        return bool(cipher) and len(data) >= 32 and (len(data) % 8 == 0 or not cipher.endswith("CBC"))
     if label.startswith("OPENSSH"):
         return is_ssh_key(data)
     return is_private_der(data) or (label.startswith("ENCRYPTED") and data[:1] == b"\x30" and der_items(data) is not None)
 
 
+def signed_tokens(text: str) -> Iterator[tuple[str, int, int]]:
+    """Tokens among dotted names; a header may start at any place of a part, as a name may stand before it."""
+    for run in DOTTED.finditer(text):
+        parts, starts = run[0].split("."), [run.start()]
+        for part in parts:
+            starts.append(starts[-1] + len(part) + 1)
+        i = 0
+        while i + 2 < len(parts):
+            claims = HEADER.match(parts[i + 1])
+            heads = HEADER.finditer(parts[i]) if claims else ()
+            at = next((m.start() for m in heads if is_signed_token(".".join([parts[i][m.start() :], *parts[i + 1 : i + 3]]))), None)
+            if at is None:
+                i += 1
+            else:
+                yield "jwt", starts[i] + at, starts[i + 2] + len(parts[i + 2])
+                i += 3
+
+
+def der_size(head: bytes) -> int | None:
+    """Bytes of the DER value that begins with ``head``."""
+    if head[:1] != bytes([SEQUENCE]) or len(head) < 2:
+        return None
+    count = head[1] & 0x7F if head[1] & 0x80 else 0
+    return 2 + count + int.from_bytes(head[2 : 2 + count], "big") if count else 2 + head[1]
+
+
+def key_kind(data: bytes | None) -> str | None:
+    if data is None:
+        return None
+    return "der" if is_private_der(data) else "ssh" if is_ssh_key(data) else None
+
+
+def wrapped_keys(text: str) -> Iterator[tuple[str, int, int]]:
+    """Keys wrapped over lines without armour. A key starts at a line's start, and ends where its own length says,
+    or with the lines of one width and a shorter one after them."""
+    for run in WRAPPED.finditer(text):
+        edges = [run.start()]
+        for m in LINE_BREAK.finditer(text, run.start(), run.end()):
+            edges += m.span()
+        edges.append(run.end())
+        lines = list(zip(edges[::2], edges[1::2], strict=True))
+        for i, (start, stop) in enumerate(lines[:-1]):
+            if stop - start < LEAST_LINE:
+                continue
+            ends = set()
+            if DER_START.match(text, start):
+                size = der_size(decoded(text[start : start + 12]) or b"")
+                left = 0 if size is None else 2 * size if text.startswith("30", start) else -(-8 * size // 6)
+                j = i
+                while j < len(lines) and left > 0:
+                    left -= len(text[slice(*lines[j])].rstrip("="))
+                    j += 1
+                if left == 0:
+                    ends.add(j - 1)
+            elif SSH_START.match(text, start):
+                other = next((j for j in range(i + 1, len(lines)) if lines[j][1] - lines[j][0] != stop - start), len(lines))
+                ends = {other - 1, min(other, len(lines) - 1)}
+            for j in sorted(j for j in ends if j > i):
+                data = decoded("".join(text[a:b] for a, b in lines[i : j + 1]))
+                kind = key_kind(data)
+                if kind == "der" or kind and is_whole_ssh_key(data):
+                    yield kind, start, lines[j][1]
+                    break
+
+
 def structural(text: str) -> Iterator[tuple[str, int, int]]:
     """Spans whose content decodes to a key or a signed token."""
-    if "eyJ" in text or "ewo" in text or "eyA" in text or "ewk" in text:
-        for m in JWT.finditer(text):
-            if is_signed_token(m[0]):
-                yield "jwt", m.start(), m.end()
+    if "ey" in text or "ew" in text:
+        yield from signed_tokens(text)
     if "-----BEGIN " in text:
         for m in PEM.finditer(text):
             if is_pem_key(m[1], m[2]):
                 yield "pem", m.start(), m.end()
-    for pattern in (BASE64, LONG_HEX):
-        for m in pattern.finditer(text):
-            data = decoded(m[0])
-            if data is None:
-                continue
-            if is_private_der(data):
-                yield "der", m.start(), m.end()
-            elif is_ssh_key(data):
-                yield "ssh", m.start(), m.end()
+    forms = {text, unescaped(text)}
+    wrapped = {span for form in forms for span in wrapped_keys(form)}
+    yield from wrapped
+    whole = {(kind, start) for kind, start, _ in wrapped}
+    for form in forms:
+        for pattern in (BASE64, LONG_HEX):
+            for m in pattern.finditer(form):
+                kind = key_kind(decoded(m[0]))
+                if kind and (kind, m.start()) not in whole:  # not the first line of a wrapped key
+                    yield kind, m.start(), m.end()
 
 
 def base_spans(text: str) -> Iterator[tuple[str, int, int]]:
