@@ -97,3 +97,70 @@ def test_awkward_documents(awkward, nothing):
     assert len(rows) == awkward.count()
     assert {r["key"] for r in rows if r["license"] == "MIT"} == {11}
     assert L.license_scan(L.document_files(nothing)).count() == 0
+
+
+GPL3_HEADER = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>."""
+MIT_TEXT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+APACHE_HEADER = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""
+MPL_HEADER = """This Source Code Form is subject to the terms of the Mozilla
+Public License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+SHORT = "Licensed under the\nApache License,\nVersion 2.0."
+CODE = "\n\nint main(int argc, char **argv) {\n" + "    total += price[i] * count[i];\n" * 60 + "}\n"
+
+
+def commented(text, first, mark, last):
+    return "\n".join([*([first] if first else []), *((f"{mark} {line}".rstrip()) for line in text.split("\n")), *([last] if last else [])])
+
+
+def test_wrapped_headers(spark):
+    marks = (("", "#", ""), ("", "//", ""), ("/*", " *", " */"), ("<!--", "", "-->"), ("", "--", ""), ("", ";;", ""))
+    texts = {"GPL-3.0": GPL3_HEADER, "MIT": MIT_TEXT, "Apache-2.0": APACHE_HEADER, "MPL-2.0": MPL_HEADER}
+    rows, want = [], []
+    for license, text in [*texts.items(), ("Apache-2.0", SHORT)]:
+        copyright = "Copyright (C) 2020 A. Author\n\n"
+        for mark in marks:
+            rows.append((len(rows), f"d{len(rows)}/x.c", commented(copyright + text, *mark) + CODE))
+            want.append(license)
+        for one in (text.replace("\n", " "), "# " + text.replace("\n", "\r\n# ")):
+            rows.append((len(rows), f"d{len(rows)}/x.c", "first line\n" + one + CODE))
+            want.append(license)
+    rows += [(len(rows) + i, f"e{i}/x.c", "# prose on the licence and\n# on copyright and warranty\n# in general terms" + CODE) for i in range(40)]
+    got = {r["key"]: (r["license"], r["origin"]) for r in L.license_scan(spark.createDataFrame(rows, "key int, path string, text string")).collect()}
+    assert [got[i] for i in range(len(want))] == [(license, "header") for license in want]
+    assert all(got[i] == (None, None) for i in range(len(want), len(rows)))

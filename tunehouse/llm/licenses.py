@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -15,6 +16,11 @@ WORD = r"[a-z0-9]+(?:\.[0-9]+)*"
 SIGNAL = r"(?i)licen[cs]e|copyright|warrant|redistribut|permission|public domain|rights reserved"
 BREAK = r"\n|(?<=[.!?])[ \t]+"  # between sentences; a line break ends one too
 PARAGRAPH = r"\n[ \t]*\n"
+# what marks a line as a comment, at its start or end
+MARK = r"""(?m)^[ \t]*(?://+!?|/?\*+!?(?!/)|\*+/|#+|;+|--+|%+|<!--|\"\"\"|'''|(?:@?rem|@?REM|Rem|dnl)\b)?[ \t]*|[ \t]*(?:\*+/|-->)?[ \t]*$"""
+SIGNAL_WORD = r"licen[cs]e|copyright|warrant|redistribut|permission|domain|reserved"
+LONG = 12  # words from which a template is looked for in windows of its length
+LINES = (2, 3, 4)  # lines over which a shorter one may be wrapped
 LICENSE_FILE = r"(?i)^(un)?(licen[cs]e|copying|notice)([.-][^/]*)?$"
 ROW = "__row"
 
@@ -77,13 +83,79 @@ def inverse_frequencies(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return weighed.where("term != ''")
 
 
+def _template_lengths() -> dict[int, list[list[str]]]:
+    """The templates' words, by their number."""
+    lengths: dict[int, list[list[str]]] = {}
+    for _, text in TEMPLATES:
+        found = re.findall(WORD, text.lower())
+        lengths.setdefault(len(found), []).append(found)
+    return lengths
+
+
+def alike(tokens: Column, templates: list[list[str]]) -> Column:
+    """Whether the words hold a third of the different words of a template; parts with fewer are not scored."""
+    share = [F.size(F.array_intersect(tokens, F.array(*map(F.lit, sorted(set(t)))))) * 3 >= len(set(t)) for t in templates]
+    return reduce(lambda a, b: a | b, share)
+
+
+def windows(text: Column) -> Column:
+    """Runs of as many words as a long template has that hold a word of licensing, whatever lines and sentences they
+    lie in: from every place where a template's first two words stand, and from every eighth of its length."""
+
+    def of_words(tokens: Column) -> Column:
+        signals = F.filter(F.sequence(F.lit(0), F.size(tokens) - 1), lambda i: F.get(tokens, i).rlike(SIGNAL_WORD))
+
+        def of_length(n: int, templates: list[list[str]]) -> Column:
+            heads = [" ".join(t[:2]) for t in templates]
+
+            def near(p: Column) -> Column:
+                head = lambda i: F.concat_ws(" ", F.get(tokens, i), F.get(tokens, i + 1)).isin(heads)
+                return F.filter(F.sequence(F.greatest(p - (n - 1), F.lit(0)), p), lambda i: (i % (n // 8 or 1) == 0) | head(i))
+
+            starts = F.array_distinct(F.flatten(F.transform(signals, near)))
+            runs = F.filter(F.transform(starts, lambda i: F.slice(tokens, i + 1, F.lit(n))), lambda run: alike(run, templates))
+            return F.transform(runs, lambda run: F.array_join(run, " "))
+
+        return F.concat(*[of_length(n, templates) for n, templates in _template_lengths().items() if n >= LONG])
+
+    # a variable of one value, so that the words are found once
+    return F.flatten(F.transform(F.array(words(text)), of_words))
+
+
+def line_runs(text: Column) -> Column:
+    """Some consecutive lines, joined, where they are not much longer than a short template and like one."""
+    short = [t for n, templates in _template_lengths().items() if n < LONG for t in templates]
+    fits = lambda tokens: (F.size(tokens) <= 2 * LONG) & alike(tokens, short)
+
+    def of_lines(lines: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(lines))
+        run = lambda k: lambda i: F.array_join(F.slice(lines, i, F.lit(k)), " ")
+        return F.concat(*[F.transform(starts, run(k)) for k in LINES])
+
+    joined = F.flatten(F.transform(F.array(F.split(text, "\r?\n")), of_lines))
+    return F.filter(joined, lambda p: p.rlike(SIGNAL) & F.exists(F.array(words(p)), fits))
+
+
 def segments(text: Column) -> Column:
-    """Sentences, lines and paragraphs that hold a word of licensing, and the whole text, without repeats: (whole, text)."""
+    """Parts that hold a word of licensing, and the whole text, without repeats: (whole, text).
+
+    Parts are sentences, lines and paragraphs, sentences and paragraphs of the text without comment marks, sentences
+    going on over lines there, a few consecutive lines there, and windows of the long templates' lengths.
+    """
 
     def held(parts: Column) -> Column:
         return F.filter(parts, lambda p: p.rlike(SIGNAL))
 
-    parts = F.concat(held(F.split(text, BREAK)), held(F.split(text, "\n")), held(F.split(text, PARAGRAPH)))
+    plain = F.regexp_replace(text, MARK, "")
+    blocks = F.transform(F.split(plain, PARAGRAPH), lambda p: F.regexp_replace(p, "\\s+", " "))
+    sentences = F.flatten(F.transform(held(blocks), lambda p: F.split(p, r"(?<=[.!?])[ \t]+")))
+    own = F.concat(held(F.split(text, BREAK)), held(F.split(text, "\n")), held(F.split(text, PARAGRAPH)))
+    # the same words in other white space are the same part
+    squeezed = lambda parts: F.transform(parts, lambda p: F.trim(F.regexp_replace(p, "\\s+", " ")))
+    templates = [t for found in _template_lengths().values() for t in found]
+    long_ones = F.filter(F.concat(held(blocks), held(sentences)), lambda p: F.exists(F.array(words(p)), lambda tokens: alike(tokens, templates)))
+    more = F.array_except(squeezed(F.concat(long_ones, line_runs(plain))), squeezed(own))
+    parts = F.concat(own, more, windows(text))
     notices = F.transform(F.array_distinct(parts), lambda p: F.struct(F.lit(False).alias("whole"), p.alias("text")))
     return F.array_append(notices, F.struct(F.lit(True).alias("whole"), text.alias("text")))
 
