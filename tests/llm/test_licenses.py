@@ -164,3 +164,15 @@ def test_wrapped_headers(spark):
     got = {r["key"]: (r["license"], r["origin"]) for r in L.license_scan(spark.createDataFrame(rows, "key int, path string, text string")).collect()}
     assert [got[i] for i in range(len(want))] == [(license, "header") for license in want]
     assert all(got[i] == (None, None) for i in range(len(want), len(rows)))
+
+
+def test_whole_licences(spark):
+    """A document that is a complete licence is a licence file whatever its name, and its directory inherits."""
+    rows, want = [], []
+    for i, (license, text) in enumerate(L.WHOLE_TEXTS):
+        own = "\n".join(f"  {line}" for line in ["Copyright (c) 2020 A. Author", "", *text.split("\n")])
+        rows += [(2 * i, f"d{i}/{i}.txt", own), (2 * i + 1, f"d{i}/code.py", "code only")]
+        want += [(license, "file"), (license, "inherited")]
+    got = {r["key"]: (r["license"], r["origin"]) for r in L.license_scan(spark.createDataFrame(rows, "key int, path string, text string")).collect()}
+    assert {k for k, _ in L.WHOLE_TEXTS} >= {"MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "Unlicense"}
+    assert [got[i] for i in range(len(want))] == want

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -50,6 +51,8 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("Proprietary", "All rights reserved."),
 )
+# whole licences, by SPDX identifier
+WHOLE_TEXTS = tuple((p.stem, p.read_text(encoding="utf-8")) for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt")))
 
 
 def words(text: Column) -> Column:
@@ -58,10 +61,11 @@ def words(text: Column) -> Column:
 
 
 def template_words(docs: DataFrame) -> DataFrame:
-    """(template, license, term, tf)."""
-    listed = F.array(*[F.struct(F.lit(i).alias("template"), F.lit(k).alias("license"), F.lit(t).alias("text")) for i, (k, t) in enumerate(TEMPLATES)])
+    """(template, license, full, term, tf) of the notices and, as full ones, of the whole licences."""
+    every = [(k, False, t) for k, t in TEMPLATES] + [(k, True, t) for k, t in WHOLE_TEXTS]
+    listed = F.array(*[F.struct(F.lit(i).alias("template"), F.lit(k).alias("license"), F.lit(f).alias("full"), F.lit(t).alias("text")) for i, (k, f, t) in enumerate(every)])
     one = docs.sparkSession.range(1).select(F.explode(listed).alias("t")).select("t.*")
-    return one.select("template", "license", F.explode(words(F.col("text"))).alias("term")).groupBy("template", "license", "term").agg(F.count("*").alias("tf"))
+    return one.select("template", "license", "full", F.explode(words(F.col("text"))).alias("term")).groupBy("template", "license", "full", "term").agg(F.count("*").alias("tf"))
 
 
 def inverse_frequencies(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -163,22 +167,24 @@ def segments(text: Column) -> Column:
 def best_templates(candidates: DataFrame, idf: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(row, whole, license, score) for every row's notices, and for its whole text, that reach the threshold.
 
+    Whole texts are compared with whole licences as well as with notices; of words in no notice all weigh idf_other.
     Vectors are sparse: a row per segment and word. Weights and templates are broadcast; both are bounded by the list of templates.
     """
     segment = [ROW, "whole", "place"]
     cut = candidates.select(ROW, F.posexplode(segments(F.col("text"))).alias("place", "s"))
     tokens = cut.select(ROW, "s.whole", "place", F.explode(words(F.col("s.text"))).alias("term"))
-    tf = tokens.groupBy(*segment, "term").agg(F.count("*").alias("tf"))
+    # dealt by segment once: counts, norms and products all follow that
+    tf = tokens.repartition(*segment).groupBy(*segment, "term").agg(F.count("*").alias("tf"))
     other = F.lit(idf.first()["idf_other"])
     weighed = tf.join(F.broadcast(idf.select("term", "idf")), "term", "left")
     weighed = weighed.withColumn("w", F.col("tf") * F.coalesce("idf", other))
-    vectors = template_words(candidates).join(F.broadcast(idf.select("term", "idf")), "term").withColumn("tw", F.col("tf") * F.col("idf"))
+    vectors = template_words(candidates).join(F.broadcast(idf.select("term", "idf")), "term", "left").withColumn("tw", F.col("tf") * F.coalesce("idf", other))
     norms = vectors.groupBy("template").agg(F.sqrt(F.sum(F.col("tw") * F.col("tw"))).alias("tn"))
-    scaled = vectors.join(norms, "template").groupBy("term").agg(F.collect_list(F.struct("template", "license", (F.col("tw") / F.col("tn")).alias("tw"))).alias("in"))
+    scaled = vectors.join(norms, "template").groupBy("term").agg(F.collect_list(F.struct("template", "license", "full", (F.col("tw") / F.col("tn")).alias("tw"))).alias("in"))
     # one row per segment and word; the products with all templates are kept beside it, so norms and products need one shuffle
     paired = weighed.join(F.broadcast(scaled), "term", "left")
     norm = paired.groupBy(*segment).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    hits = paired.select(*segment, "w", F.explode("in").alias("t")).groupBy(*segment, "t.template", "t.license").agg(F.sum(F.col("w") * F.col("t.tw")).alias("dot"))
+    hits = paired.select(*segment, "w", F.explode(F.filter("in", lambda t: ~t["full"] | F.col("whole"))).alias("t")).groupBy(*segment, "t.template", "t.license").agg(F.sum(F.col("w") * F.col("t.tw")).alias("dot"))
     score = hits.join(norm, segment).select(ROW, "whole", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score"))
     reached = score.where(F.col("score") >= threshold)
     # of equal scores the licence that comes first by name
