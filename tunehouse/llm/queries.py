@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunehouse.llm import embedding_dedup, licenses, mixing, packing, pii, quality_crf, rule_ledger, secret_scan, simhash, warc
+from tunehouse.llm import (
+    embedding_dedup,
+    filter_audit,
+    licenses,
+    merkle,
+    mixing,
+    packing,
+    pii,
+    quality_crf,
+    rule_ledger,
+    secret_scan,
+    simhash,
+    warc,
+    wavelet,
+)
 from tunehouse.llm.common import landed, read
 from tunehouse.session import scratch_path
 
@@ -98,3 +112,31 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with personal data replaced by surrogates."""
     return pii.surrogate_texts(read(spark, sf_dir, "documents"))
+
+
+@query
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Interactions of five filters over all documents, per language, in all orders."""
+    return filter_audit.interaction_audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+ORACLES["op11_filter_audit"] = filter_audit.AUDIT_SQL
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of all documents, each with its proof checked, a seventh of them tampered with."""
+    return merkle.document_manifest(read(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_merkle_manifest"] = merkle.MANIFEST_SQL
+
+
+@query
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token ids written to wavelet-matrix shards and read back."""
+    path = scratch_path(spark, "shards")
+    docs = read(spark, sf_dir, "documents")
+    wavelet.write_shards(docs, path)
+    found = wavelet.read_documents(spark, path, docs.schema["doc_id"].dataType.simpleString())
+    return found.withColumnRenamed("id", "doc_id")
