@@ -1,0 +1,106 @@
+"""One column-oriented document read by many tasks, against the reader that takes it whole."""
+
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from conftest import rows
+from tunehouse.session import scratch_path
+from tunehouse.sinks.files import write_json_document
+from tunehouse.sources.files import read_json_columns
+from tunehouse.sources.json_document import pieces_of, read_json_document
+
+SCHEMA = T.StructType().add("a", "string").add("b", "long").add("c", "double").add("d", T.ArrayType(T.StringType()))
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Splits of few bytes, so that strings, escapes and entries lie across them."""
+    keys = {"spark.sql.files.maxPartitionBytes": "160", "spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k in keys:
+        spark.conf.unset(k)
+
+
+def text(rng):
+    return "".join(rng.choice(list('abc ,,"\\{}[]:\n\té日😀/')) for _ in range(rng.choice([0, 1, 5, 30])))
+
+
+def document(seed):
+    rng = random.Random(seed)
+    keys = [str(i) for i in range(rng.choice([1, 3, 25]))] + (['k"ey', "a,b", "{"] if seed % 2 else [])
+    make = {
+        "a": lambda: rng.choice([None, text(rng)]),
+        "b": lambda: rng.choice([None, rng.randint(-(10**12), 10**12)]),
+        "c": lambda: rng.choice([None, rng.random(), 3]),
+        "d": lambda: rng.choice([None, [], [text(rng) for _ in range(rng.randint(1, 4))]]),
+        "other, \"column\" {": lambda: rng.choice([1, "x,y", {"deep": [{"er": ","}, []]}]),
+    }
+    names = [n for n in make if rng.random() < 0.8]
+    rng.shuffle(names)
+    columns = {n: {k: make[n]() for k in keys if rng.random() < 0.8} for n in names}
+    if seed % 3 == 0:
+        columns["b"] = None
+    return columns
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_equals_the_reader_of_whole_documents(spark, tmp_path, small_splits, seed):
+    indent = [None, 2, 0][seed % 3]
+    separators = (",", ":") if seed % 2 else None
+    file = tmp_path / "document.json"
+    file.write_text(json.dumps(document(seed), indent=indent, separators=separators, ensure_ascii=bool(seed % 4)))
+    want = rows(read_json_columns(spark, str(file), SCHEMA))
+    assert rows(read_json_document(spark, str(file), SCHEMA)) == want
+
+
+def test_several_documents_of_a_folder(spark, tmp_path, small_splits):
+    for seed in (1, 4, 7):
+        (tmp_path / f"{seed}.json").write_text(json.dumps(document(seed)))
+    assert rows(read_json_document(spark, str(tmp_path), SCHEMA)) == rows(read_json_columns(spark, str(tmp_path), SCHEMA))
+
+
+def test_empty_documents(spark, tmp_path, small_splits):
+    for i, body in enumerate(["{}", ' { "a" : { } } ', '{"a":null}', '{"a":{},"b":{}}']):
+        (tmp_path / f"{i}.json").write_text(body)
+    assert read_json_document(spark, str(tmp_path), SCHEMA).count() == 0
+
+
+@pytest.mark.parametrize("body", ['{"a":{"0":"x"', '{"a":{"0":"x}}', '{"a":{"0":"x"}}}', '{"a":{"0":"x","1":"y}}', '{"b":{"0":"no number"}}'])
+def test_broken_documents_fail(spark, tmp_path, small_splits, body):
+    (tmp_path / "document.json").write_text(body)
+    with pytest.raises(Exception, match="not a whole JSON document|MALFORMED|FAILFAST|Malformed"):
+        read_json_document(spark, str(tmp_path), SCHEMA).collect()
+
+
+def test_many_tasks_read_one_document(spark, tmp_path):
+    """No split of a large document is read by more than one task, and each task reads only its own."""
+    cells = {str(i): f"name, {i} \"quoted\"" for i in range(60_000)}
+    file = tmp_path / "document.json"
+    file.write_text(json.dumps({"a": cells, "b": {k: int(k) for k in cells}}, indent=1))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(256 * 1024))
+    try:
+        pieces = pieces_of(spark, str(file))
+        assert pieces.rdd.getNumPartitions() >= 8
+        assert pieces.select("block").distinct().count() >= 8
+        found = read_json_document(spark, str(file), SCHEMA)
+        good = (F.col("a") == F.concat(F.lit("name, "), F.col("b"), F.lit(' "quoted"'))) & F.col("c").isNull()
+        assert found.agg(F.count("*"), F.count_if(good), F.count_distinct("b")).first() == (60_000, 60_000, 60_000)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_written_document_comes_back(spark):
+    rng = random.Random(1)
+    frame = spark.createDataFrame([(text(rng) if i % 5 else None, i, i / 4 if i % 3 else None, None) for i in range(500)], SCHEMA)
+    path = scratch_path(spark, "document")
+    write_json_document(frame.repartition(7), path, key="b")
+    assert rows(read_json_document(spark, path, SCHEMA, parts=True)) == rows(frame)
+    joined = "".join(r["value"] for r in spark.read.text(path, wholetext=True).withColumn("n", F.col("_metadata.file_name")).orderBy("n").collect())
+    whole = json.loads(joined.rstrip(","))
+    assert set(whole) == {"a", "b", "c"} and len(whole["b"]) == 500

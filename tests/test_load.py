@@ -70,7 +70,7 @@ def test_what_is_not_stored_needs_the_source(spark, loaded):
 def test_staging_follows_its_files(spark, tmp_path):
     """Look-ups are derived anew once a table's files are replaced."""
     for name in ("part", "lineitem", "orders", "customer", "nation", "region", "supplier"):
-        shutil.copy(f"{SMALL}/{name}.parquet", tmp_path / f"{name}.parquet")
+        shutil.copyfile(f"{SMALL}/{name}.parquet", tmp_path / f"{name}.parquet")
     query = catalog.QUERIES["an_top_genres_by_tracks"]
     before = rows(query(spark, str(tmp_path)))
     part = spark.read.parquet(f"{SMALL}/part.parquet")

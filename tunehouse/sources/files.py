@@ -26,12 +26,19 @@ def read_json_columns(spark: SparkSession, path: str, schema: T.StructType, one_
     """Documents of the shape ``{"column": {"0": value, "1": value}}``, as rows.
 
     A file holds one document, which may span lines; with ``one_per_line`` each
-    line is a document, so that a large file can be split among tasks. A cell
-    that a column lacks is NULL.
+    line is a document, so that a large file can be split among tasks; for one
+    large document see ``json_document``. A cell that a column lacks is NULL.
     """
-    names = schema.fieldNames()
-    as_maps = T.StructType([T.StructField(f.name, T.MapType(T.StringType(), f.dataType)) for f in schema.fields])
-    documents = spark.read.schema(as_maps).option("mode", "FAILFAST").json(path, multiLine=not one_per_line)
+    documents = spark.read.schema(columns_as_maps(schema)).option("mode", "FAILFAST").json(path, multiLine=not one_per_line)
+    return cells_of_columns(documents.withColumn("_document", F.monotonically_increasing_id()), schema)
+
+
+def columns_as_maps(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, T.MapType(T.StringType(), f.dataType)) for f in schema.fields])
+
+
+def cells_of_columns(documents: DataFrame, schema: T.StructType) -> DataFrame:
+    """The rows of documents (_document, and a map of cells per column); a document may come in several parts."""
 
     def cells(field: T.StructField):
         """A column's entries, as rows of which only this column is filled."""
@@ -49,8 +56,8 @@ def read_json_columns(spark: SparkSession, path: str, schema: T.StructType, one_
         return F.transform(entries, row)
 
     # entries are grouped, not looked up: finding each row key in each map would be quadratic in a document
-    numbered = documents.withColumn("_document", F.monotonically_increasing_id())
-    every = numbered.select("_document", F.inline(F.concat(*map(cells, schema.fields))))
+    names = schema.fieldNames()
+    every = documents.select("_document", F.inline(F.concat(*map(cells, schema.fields))))
     return every.groupBy("_document", "_row").agg(*(F.first(n, ignorenulls=True).alias(n) for n in names)).select(*names)
 
 
