@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunehouse.plans.checks import check_load_counts
+from tunehouse.plans.checks import check_contents, check_load_counts
 from tunehouse.plans.warehouse import REPEATED_PLAYLISTS, Warehouse
 from tunehouse.schemas import (
     CUSTOMER_EXTRA,
@@ -22,9 +23,31 @@ from tunehouse.schemas import (
 from tunehouse.sinks.tables import delete_where, refresh_table, save_bucketed
 
 SORT_KEYS = {"fact_invoice": "invoicedate", "fact_invoiceline": "last_update"}
+ROW_KEYS = {
+    "dim_playlist": ("playlist_id", "track_id"),
+    "dim_customer": ("customerid",),
+    "dim_employee": ("employeeid",),
+    "dim_track": ("trackid",),
+    "dim_currencies": (),
+    "fact_invoice": ("invoiceid",),
+    "fact_invoiceline": ("invoiceline_id",),
+}
 BUCKET_KEYS = {"fact_invoice": "invoiceid", "fact_invoiceline": "invoice_id"}
 
 
+def table_builds(wh: Warehouse) -> dict[str, Callable[[], DataFrame]]:
+    """What builds each stored table."""
+    return {
+        "dim_playlist": wh.playlist,
+        "dim_customer": wh.customer,
+        "dim_employee": wh.employee,
+        "dim_track": wh.track,
+        "dim_currencies": wh.currencies,
+        "fact_invoice": wh.invoice,
+        "fact_invoiceline": wh.invoiceline,
+    }
+
+
 def load_warehouse(wh: Warehouse, database: str, root: str, buckets: int | None = None) -> None:
     """Full refresh of all dimensions and facts as tables of ``database`` below ``root``.
 
@@ -35,15 +58,7 @@ def load_warehouse(wh: Warehouse, database: str, root: str, buckets: int | None
     """
     spark = wh.staging.spark
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root.rstrip('/')}/{database}'")
-    builds = {
-        "dim_playlist": wh.playlist,
-        "dim_customer": wh.customer,
-        "dim_employee": wh.employee,
-        "dim_track": wh.track,
-        "dim_currencies": wh.currencies,
-        "fact_invoice": wh.invoice,
-        "fact_invoiceline": wh.invoiceline,
-    }
+    builds = table_builds(wh)
 
     def load(name: str) -> None:
         table = f"{database}.{name}"
@@ -124,3 +139,11 @@ def check_loaded(loaded: LoadedWarehouse) -> DataFrame:
             "fact_invoiceline": (s.invoiceline(), loaded.invoiceline(), FACT_INVOICELINE),
         }
     )
+
+
+def check_loaded_contents(loaded: LoadedWarehouse) -> DataFrame:
+    """The stored tables against the rows built anew: every column, and whole rows, whatever their order."""
+    tables = {}
+    for name, build in table_builds(loaded.source).items():
+        tables[name] = (build(), loaded._table(name, ()), ROW_KEYS[name])
+    return check_contents(tables)
