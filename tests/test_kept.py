@@ -1,0 +1,222 @@
+"""Stored tables that are changed in place of being rebuilt: states, bitmaps, partitions, buckets."""
+
+import datetime
+import hashlib
+import os
+import random
+from decimal import Decimal
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from tunehouse.operators import bitmaps as B
+from tunehouse.plans import customers, recommend
+from tunehouse.plans.incremental import SalesStates
+from tunehouse.session import scratch_path
+from tunehouse.sinks.partitions import read_partitioned, update_stored, write_partitioned
+
+INVOICE = "invoiceid bigint, customerid bigint, invoicedate date, total decimal(10,2), usd_price double, ils_price double, billingcountry string"
+
+
+def invoices(spark, n, seed):
+    rng = random.Random(seed)
+    made = []
+    for i in range(n):
+        day = None if rng.random() < 0.05 else datetime.date(2020 + rng.randint(0, 2), rng.randint(1, 12), rng.randint(1, 3))
+        # a third of all rows belongs to one customer, some to none
+        customer = 7 if rng.random() < 0.33 else None if rng.random() < 0.05 else rng.randint(1, 10**12)
+        customer = customer if rng.random() < 0.5 else rng.randint(1, 20)
+        usd = rng.randint(0, 10**6) / 100
+        made.append((i, customer, day, Decimal(str(usd)), usd, usd * 3.5, rng.choice([None, "A", "B", "C"])))
+    return spark.createDataFrame(made, INVOICE)
+
+
+def full_run(frame):
+    currencies = frame.select(F.col("invoicedate").cast("timestamp_ntz").alias("purchase_date"), "usd_price", "ils_price")
+    return (
+        rows(customers.monthly_sales(frame)),
+        rows(customers.customer_totals(frame, currencies)),
+        rows(frame.where("customerid is not null").groupBy("billingcountry").agg(F.count_distinct("customerid"))),
+    )
+
+
+def kept(states):
+    return rows(states.monthly_sales()), rows(states.customer_totals()), rows(states.customers_per_country())
+
+
+def test_two_loads_equal_one_full_run(spark):
+    frame = invoices(spark, 600, 1)
+    source, states = scratch_path(spark, "source"), SalesStates(spark, scratch_path(spark, "states"))
+    frame.where("invoiceid < 350").repartition(3).write.parquet(source)
+    assert states.add(source) == 3
+    assert kept(states) == full_run(frame.where("invoiceid < 350"))
+    # days and customers of the first load come again in the second one
+    frame.where("invoiceid >= 350").repartition(2).write.mode("append").parquet(source)
+    assert states.add(source) == 2
+    assert kept(states) == full_run(frame)
+    assert states.add(source) == 0
+    states.compact()
+    assert kept(states) == full_run(frame)
+    assert states.add(source) == 0
+
+
+def test_months_are_counted_from_bitmaps(spark):
+    frame = invoices(spark, 400, 2)
+    source, states = scratch_path(spark, "source"), SalesStates(spark, scratch_path(spark, "states"))
+    frame.write.parquet(source)
+    states.add(source)
+    known = frame.where("customerid is not null and invoicedate is not null")
+    want = known.groupBy(F.year("invoicedate"), F.month("invoicedate")).agg(F.count_distinct("customerid"))
+    assert rows(states.customers_per_month()) == rows(want)
+
+
+def test_a_new_day_reads_only_new_files(spark, monkeypatch):
+    source, states = scratch_path(spark, "source"), SalesStates(spark, scratch_path(spark, "states"))
+    invoices(spark, 50, 3).write.parquet(source)
+    states.add(source)
+    old = {p for p in Path(source).glob("*.parquet")}
+    for p in old:  # unreadable as Parquet now, with length and time as they were
+        stat = p.stat()
+        p.write_bytes(b"x" * stat.st_size)
+
+
+        os.utime(p, ns=(stat.st_atime_ns, stat.st_mtime_ns))
+        p.with_name(f".{p.name}.crc").unlink(missing_ok=True)
+    more = invoices(spark, 20, 4)
+    more.coalesce(1).write.mode("append").parquet(source)
+    assert states.add(source) == 1
+    assert states._table("days").agg(F.sum("invoices")).first()[0] == 70
+
+
+def test_a_changed_file_is_not_counted_again(spark):
+    source, states = scratch_path(spark, "source"), SalesStates(spark, scratch_path(spark, "states"))
+    invoices(spark, 30, 5).coalesce(1).write.parquet(source)
+    states.add(source)
+    before = kept(states)
+    file = next(Path(source).glob("*.parquet"))
+    file.write_bytes(file.read_bytes() + b"0")
+    with pytest.raises(ValueError, match="has changed"):
+        states.add(source)
+    assert kept(states) == before
+
+
+def test_the_second_of_two_writers_fails(spark, monkeypatch):
+    from tunehouse.plans import incremental as I
+
+    source, states = scratch_path(spark, "source"), SalesStates(spark, scratch_path(spark, "states"))
+    invoices(spark, 30, 6).write.parquet(source)
+    real, other = I.announce, SalesStates(spark, states.root)
+
+    def late(*args):
+        monkeypatch.setattr(I, "announce", real)
+        other.add(source)
+        real(*args)
+
+    monkeypatch.setattr(I, "announce", late)
+    with pytest.raises(RuntimeError, match="another load"):
+        states.add(source)
+    assert states._table("days").agg(F.sum("invoices")).first()[0] == 30
+
+
+# ---- bitmaps
+
+
+def test_numbers_are_dense_and_stay(spark):
+    first = B.with_new_numbers(None, spark.createDataFrame([(5,), (900,), (5,), (None,), (-3,)], "k bigint"))
+    assert rows(first) == [(-3, 1), (5, 2), (900, 3)]
+    again = B.with_new_numbers(first, spark.createDataFrame([(900,), (6,), (-10**15,)], "k bigint"))
+    assert rows(again) == [(-(10**15), 4), (6, 5)]
+    assert rows(B.with_new_numbers(first, spark.createDataFrame([(5,)], "k bigint"))) == []
+
+
+def test_distinct_counts_merge(spark):
+    frame = spark.range(200_000).selectExpr("id % 3 as g", "id % 5 as day", "(id * 7919) % 70001 + 1 as number")
+    states = B.bitmap_states(frame, ["g", "day"])
+    assert states.groupBy("g", "day", "bucket").count().where("count > 1").isEmpty()
+    for group in (["g"], ["g", "day"], ["day"]):
+        want = rows(frame.groupBy(*group).agg(F.count_distinct("number")))
+        assert rows(B.distinct_counts(states, group, "n")) == want
+    # a load by load
+    parts = [B.bitmap_states(frame.where(f"day = {d}"), ["g", "day"]) for d in range(5)]
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    assert rows(B.distinct_counts(every, ["g"], "n")) == rows(frame.groupBy("g").agg(F.count_distinct("number")))
+
+
+def test_no_rows_and_no_numbers(spark):
+    frame = spark.createDataFrame([("a", None)], "g string, number bigint")
+    assert B.distinct_counts(B.bitmap_states(frame, ["g"]), ["g"], "n").count() == 0
+
+
+# ---- partitions
+
+
+def digests(path):
+    return {p: hashlib.sha256(p.read_bytes()).hexdigest() for p in Path(path).rglob("*.parquet")}
+
+
+@pytest.fixture
+def stored(spark):
+    path = scratch_path(spark, "partitioned")
+    frame = spark.range(300).selectExpr("id", "id * 10 as v", "if(id % 50 = 0, null, cast(2000 + id % 4 as int)) as year")
+    write_partitioned(frame, path, "year")
+    return path, frame
+
+
+def test_update_rewrites_only_folders_with_a_match(spark, stored):
+    path, frame = stored
+    before = digests(path)
+    source = spark.createDataFrame([(5, -1), (5, -2), (9, None), (999, 3)], "k bigint, v bigint")
+    hit = update_stored(spark, path, frame.schema, "year", source, {"id": "k"}, ["v"])
+    assert hit == [2001]
+    after = digests(path)
+    assert {p for p in before if "year=2001" not in str(p)} == {p for p in after if "year=2001" not in str(p)}
+    assert all(after[p] == d for p, d in before.items() if "year=2001" not in str(p))
+    want = [(i, -1 if i == 5 else None if i == 9 else v, y) for i, v, y in rows(frame)]
+    assert rows(read_partitioned(spark, path, frame.schema)) == sorted(want, key=repr)
+
+
+def test_update_of_the_folder_without_a_value_and_of_none(spark, stored):
+    path, frame = stored
+    before = digests(path)
+    assert update_stored(spark, path, frame.schema, "year", spark.createDataFrame([(999, 1)], "id bigint, v bigint"), {"id": "id"}, ["v"]) == []
+    assert digests(path) == before
+    both = spark.createDataFrame([(50, 1), (51, 2)], "id bigint, v bigint")
+    assert set(update_stored(spark, path, frame.schema, "year", both, {"id": "id"}, ["v"])) == {None, 2003}
+    found = {r["id"]: r["v"] for r in read_partitioned(spark, path, frame.schema).collect()}
+    assert len(found) == 300 and (found[50], found[51], found[52]) == (1, 2, 520)
+    with pytest.raises(ValueError):
+        update_stored(spark, path, frame.schema, "year", both, {"id": "id"}, ["year"])
+
+
+def test_only_the_best_years_folders_are_read(spark):
+    path = scratch_path(spark, "by-year")
+    frame = invoices(spark, 300, 7).select("invoicedate", "total").withColumn("year", F.year("invoicedate"))
+    write_partitioned(frame, path, "year")
+    found = customers.months_of_best_years(read_partitioned(spark, path, frame.schema), 1)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
+    best = frame.where("year is not null").groupBy("year").agg(F.sum("total").alias("s")).orderBy(F.desc("s")).first()["year"]
+    assert rows(found) == rows(customers.monthly_sales(frame.where(F.col("year") == best)))
+
+
+# ---- buckets
+
+
+def test_one_customer_reads_one_bucket(spark, tmp_path):
+    frame = spark.range(2000).selectExpr("id div 4 as customerid", "id as track_id", "cast(id as string) as track_name", "'g' as genre_name")
+    recommend.store_recommendations(frame, "stored_recommendations", str(tmp_path / "r"), 16)
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")  # so that the plan says what is read
+    try:
+        one = recommend.recommendations_of(spark, "stored_recommendations", 47)
+        assert "SelectedBucketsCount: 1 out of 16" in one._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        )
+        assert rows(one) == rows(frame.where("customerid = 47"))
+        assert recommend.recommendations_of(spark, "stored_recommendations", -1).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+        spark.sql("DROP TABLE stored_recommendations")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunehouse.functions.text import full_name
@@ -81,3 +81,16 @@ def monthly_sales(fact_invoice: DataFrame) -> DataFrame:
         .agg(F.coalesce(F.sum("total"), F.lit(0)).cast("decimal(20,2)").alias("total"))
         .orderBy("year", "month")
     )
+
+
+def months_of_best_years(invoices: DataFrame, n: int = 1) -> DataFrame:
+    """Monthly sales of the ``n`` years with the highest sales, of invoices in folders by ``year``.
+
+    The best years are found from the year column and the totals; the months then read only the folders of those
+    years, which Spark learns while the job runs.
+    """
+    yearly = invoices.where("year is not null").groupBy("year").agg(F.sum("total").alias("_sales"))
+    # a row per year
+    ranked = yearly.withColumn("_rank", F.row_number().over(Window.orderBy(F.desc("_sales"), F.asc("year"))))
+    best = ranked.where(F.col("_rank") <= n).select("year")
+    return monthly_sales(invoices.join(F.broadcast(best), "year").select("invoicedate", "total"))

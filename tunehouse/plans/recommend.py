@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tunehouse.operators.ranking import group_top_n, position_in_group
+from tunehouse.sinks.tables import save_bucketed
 
 
 def order_lines(dim_customer: DataFrame, fact_invoice: DataFrame, fact_invoiceline: DataFrame) -> DataFrame:
@@ -96,3 +97,16 @@ def recommend(
     ranked = lacked.withColumn("_rank", F.row_number().over(Window.partitionBy(*genre).orderBy("_number")))
     picks = ranked.filter(F.col("_rank") <= most).filter(F.col("_rank") <= F.col("_wanted"))
     return picks.join(numbered, ["genre_name", "_number"]).select("customerid", "track_id", "track_name", "genre_name")
+
+
+def store_recommendations(recommended: DataFrame, table: str, location: str, buckets: int) -> DataFrame:
+    """All customers' recommendations as a table in buckets by customer: ``recommendations_of`` then reads one bucket.
+
+    A customer has at most a few rows, so buckets are even.
+    """
+    return save_bucketed(recommended, table, "customerid", buckets, location)
+
+
+def recommendations_of(spark: SparkSession, table: str, customer_id: int) -> DataFrame:
+    """One customer's stored recommendations, in track order: one bucket is read, and in it the row groups of the customer."""
+    return spark.table(table).where(F.col("customerid") == customer_id).orderBy("track_id")
