@@ -67,6 +67,16 @@ def test_head_rest_split(skewed):
     assert rows(rest) == sorted(ordered[25:], key=repr)
 
 
+def test_head_rest_split_by_a_key_moves_only_the_head(spark, skewed):
+    data, df = skewed
+    for n in (0, 1, 25, len(data) + 1):
+        head, rest = ranking.head_rest_split(df, n, "n", key="k")
+        ordered = sorted(data, key=lambda r: (r[2], r[1]))
+        assert rows(head) == sorted(ordered[:n], key=repr) and rows(rest) == sorted(ordered[n:], key=repr)
+    plan = rest._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "numbered-rows" not in plan
+
+
 def test_top_k_breaks_ties_by_key_whatever_the_row_order(spark):
     data = [(c, 1) for c in "hgfedcba"]
     for seed in range(3):

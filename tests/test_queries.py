@@ -17,7 +17,7 @@ def con():
 
 
 def test_each_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES) and len(QUERIES) == 44
+    assert set(QUERIES) == set(ORACLES) and len(QUERIES) == 53
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 

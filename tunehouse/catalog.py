@@ -16,13 +16,17 @@ from tunehouse.operators.sets import union_all
 from tunehouse.plans import checks, countries, customers, employees, playlists, recommend, tracks
 from tunehouse.plans.currencies import convert, convert_at_default
 from tunehouse.plans.jobs import currency_job, department_job
-from tunehouse.plans.load import LoadedWarehouse, check_loaded, load_warehouse
+from tunehouse.plans.incremental import SalesStates
+from tunehouse.plans.load import LoadedWarehouse, check_loaded, check_loaded_contents, load_warehouse
+from tunehouse.plans.publish import PublishedWarehouse, delete_rows, publish
 from tunehouse.plans.warehouse import Warehouse
 from tunehouse.schemas import DEPARTMENT, MAX_LENGTHS, SUB_BUDGET
 from tunehouse.session import land, own_scratch, scratch_path
-from tunehouse.sinks.files import write_csv, write_delimited, write_json_columns, write_json_lines
+from tunehouse.sinks.files import write_csv, write_delimited, write_json_columns, write_json_document, write_json_lines
+from tunehouse.sinks.partitions import read_partitioned, update_stored, write_partitioned
 from tunehouse.sinks.tables import refresh_table
 from tunehouse.sources.files import read_delimited, read_json_columns, read_json_lines
+from tunehouse.sources.json_document import read_json_document
 from tunehouse.sources.rates import daily_rates, read_rate_responses
 from tunehouse.sources.tables import read_table
 from tunehouse.staging import Staging
@@ -105,6 +109,16 @@ def src_json_columns(wh: Warehouse) -> DataFrame:
     return read_json_columns(s.spark, path, SUB_BUDGET, one_per_line=True)
 
 
+@query
+def src_json_document(wh: Warehouse) -> DataFrame:
+    """All parts as one column-oriented JSON document; some cells are missing."""
+    s, path = wh.staging, scratch_path(wh.staging.spark, "json-document")
+    name = F.when(F.col("p_size") > 3, F.concat("p_name", F.lit(', "{'), "p_brand", F.lit('}\\"')))
+    rows = s.source("part").select("p_partkey", name, F.col("p_size").cast("bigint"), F.floor("p_retailprice"))
+    write_json_document(rows.toDF(*SUB_BUDGET.fieldNames()), path, key="sub_dep_id")
+    return read_json_document(s.spark, path, SUB_BUDGET, parts=True)
+
+
 @query
 def src_table(wh: Warehouse) -> DataFrame:
     return read_table(wh.staging.spark, f"{wh.staging.sf_dir}/orders.parquet")
@@ -257,9 +271,104 @@ def chk_load_counts(wh: Warehouse) -> DataFrame:
     return counts
 
 
+@query
+def chk_contents(wh: Warehouse) -> DataFrame:
+    """Every column of the stored tables against the rows built anew; a warehouse that is not stored yet is published first."""
+    if isinstance(wh, LoadedWarehouse):
+        return check_loaded_contents(wh)
+    spark, root = wh.staging.spark, scratch_path(wh.staging.spark, "published")
+    publish(wh, root)
+    return check_loaded_contents(PublishedWarehouse(spark, root, source=wh))
+
+
 # ---- operators
 
 
+@query
+def op_published_load(wh: Warehouse) -> DataFrame:
+    """Two loads, a day and a year apart, both readable; of each, its tables' rows, the employees' years, and lines without their invoice."""
+    spark, root = wh.staging.spark, scratch_path(wh.staging.spark, "published")
+    publish(Warehouse(wh.staging, wh.as_of.replace(year=wh.as_of.year - 1)), root)
+    publish(wh, root)
+    parts = []
+    for number in (1, 2):
+        load = PublishedWarehouse(spark, root, number)
+        rows = [df.agg(F.count(F.lit(1)).alias("value")).withColumn("measure", F.lit(f"rows of {name}")) for name, df in load.tables().items()]
+        years = load.employee("years_employed").agg(F.sum(F.col("years_employed").cast("bigint")).alias("value"))
+        orphans = anti_join(load.invoiceline("invoice_id"), load.invoice("invoiceid"), {"invoice_id": "invoiceid"})
+        rows.append(years.withColumn("measure", F.lit("employees' years")))
+        rows.append(orphans.agg(F.count(F.lit(1)).alias("value")).withColumn("measure", F.lit("lines without invoice")))
+        parts += [r.select(F.lit(number).alias("load_number"), "measure", "value") for r in rows]
+    return union_all(*parts)
+
+
+@query
+def op_delete_stored(wh: Warehouse) -> DataFrame:
+    """Invoices of one country deleted from the published table; only files with such an invoice are written anew."""
+    spark, root = wh.staging.spark, scratch_path(wh.staging.spark, "published")
+    publish(wh, root)
+    delete_rows(spark, root, "fact_invoice", F.col("billingcountry") == "NATION_7")
+    return PublishedWarehouse(spark, root).invoice()
+
+
+def _invoices_by_year(wh: Warehouse) -> tuple[str, T.StructType]:
+    """Stored invoices in folders by year."""
+    path = scratch_path(wh.staging.spark, "by-year")
+    invoices = wh.invoice("invoiceid", "customerid", "invoicedate", "total").withColumn("year", F.year("invoicedate"))
+    write_partitioned(invoices, path, "year")
+    return path, invoices.schema
+
+
+@query
+def op_update_stored(wh: Warehouse) -> DataFrame:
+    """Totals of the invoices of 1995 that have a line over 80,000 set to the dearest line's price; other years' files stay."""
+    spark, (path, schema) = wh.staging.spark, _invoices_by_year(wh)
+    lines = wh.invoiceline("invoice_id", "unitprice").where("unitprice > 80000")
+    dated = wh.invoice("invoiceid", "invoicedate").where(F.year("invoicedate") == 1995)
+    source = lines.join(dated, F.col("invoice_id") == F.col("invoiceid")).select("invoice_id", F.col("unitprice").alias("total"))
+    update_stored(spark, path, schema, "year", source, {"invoiceid": "invoice_id"}, ["total"])
+    return read_partitioned(spark, path, schema)
+
+
+@query
+def an_months_of_best_year(wh: Warehouse) -> DataFrame:
+    """Monthly sales of the best year, from invoices in folders by year."""
+    path, schema = _invoices_by_year(wh)
+    return customers.months_of_best_years(read_partitioned(wh.staging.spark, path, schema))
+
+
+def _sales_states(wh: Warehouse) -> SalesStates:
+    """States after three loads: the older invoices, all of them (the older files again), and none new."""
+    spark = wh.staging.spark
+    root, source = (scratch_path(spark, n) for n in ("states", "invoice-files"))
+    priced = convert(wh.invoice("invoiceid", "customerid", "invoicedate", "total", "billingcountry"), wh.staging.rates())
+    states = SalesStates(spark, root)
+    older = F.coalesce(F.col("invoicedate") < F.lit("1995-06-17").cast("date"), F.lit(True))
+    for part in (older, ~older):
+        priced.where(part).write.mode("append").parquet(source)
+        states.add(source)
+    states.add(source)
+    return states
+
+
+@query
+def an_monthly_sales_kept(wh: Warehouse) -> DataFrame:
+    """Sales per month, from states that two loads have added to."""
+    return _sales_states(wh).monthly_sales()
+
+
+@query
+def an_customer_totals_kept(wh: Warehouse) -> DataFrame:
+    """Customers' totals, from states that two loads have added to."""
+    return customers.ranked_customers(_sales_states(wh).customer_totals())
+
+
+@query
+def an_country_customers_kept(wh: Warehouse) -> DataFrame:
+    """Distinct customers per country, from bitmaps that two loads have added to."""
+    return _sales_states(wh).customers_per_country()
+
+
 @query
 def op_update_from(wh: Warehouse) -> DataFrame:
     """List prices replaced by the highest price a track was sold at; unsold tracks keep theirs."""
@@ -293,7 +402,7 @@ def op_track_popularity(wh: Warehouse) -> DataFrame:
 def op_head_rest_split(wh: Warehouse) -> DataFrame:
     """The first invoices at the day's rate, all others at the default rate."""
     invoices = wh.staging.invoice().select("invoiceid", "invoicedate", "total")
-    head, rest = head_rest_split(invoices, HEAD_ROWS, "invoicedate", "invoiceid")
+    head, rest = head_rest_split(invoices, HEAD_ROWS, "invoicedate", key="invoiceid")
     return union_all(convert(head, wh.staging.rates()), convert_at_default(rest)).drop("rate_is_default")
 
 

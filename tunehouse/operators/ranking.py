@@ -49,13 +49,17 @@ def with_global_position(df: DataFrame, *order: Column | str, name: str = "posit
     )
 
 
-def head_rest_split(df: DataFrame, n: int, *order: Column | str) -> tuple[DataFrame, DataFrame]:
+def head_rest_split(df: DataFrame, n: int, *order: Column | str, key: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The first ``n`` rows in ``order`` and all the others.
 
-    Every row is in one of the two, also where it is repeated or holds NULLs: the
-    rows get a number of their own and are landed with it, and both parts come
-    from that. Ties go by that number. One task gathers the ``n`` rows.
+    With ``key``, a column that is unique and never NULL, the head comes from one pass in which each task keeps its own
+    first ``n`` rows, and the rest are the rows without its keys: nothing but the head is moved or stored. Without one, every
+    row is in one of the two also where it is repeated or holds NULLs: the rows get a number of their own and are landed
+    with it, and both parts come from that. Ties go by the key or that number. One task gathers the ``n`` rows.
     """
+    if key is not None:
+        head = land(df.orderBy(*order, key).limit(n), "head-rows")
+        return head.select(*df.columns), df.join(broadcast_within(head.select(key), n), key, "left_anti").select(*df.columns)
     numbered = land(df.withColumn("_number", F.monotonically_increasing_id()), "numbered-rows")
     head = numbered.orderBy(*order, "_number").limit(n)
     rest = numbered.join(broadcast_within(head.select("_number"), n), "_number", "left_anti")
