@@ -32,15 +32,41 @@ def test_ids_are_the_librarys_own(library, awkward_rows, con):
     texts += ["a <|endoftext|> b", "<|STARTOFTEXT|>", "it's IT'S we'Ve 'S", "İstanbul", "é", "日本語 текст", "a b c\x1cd\x85e"]
     encode = W.Encoder(W.default_tokenizer()).encode
     for at in range(0, len(texts), 50):
-        for text, raw in zip(texts[at : at + 50], encode([t.encode() for t in texts[at : at + 50]]), strict=True):
-            assert np.frombuffer(raw, "<u4").tolist() == ids_of(library, text), repr(text[:80])
-
-
-def test_forgetting_words_changes_nothing(library, monkeypatch):
-    monkeypatch.setattr(W, "REMEMBERED_BYTES", 700)
-    encode = W.Encoder(W.default_tokenizer()).encode
-    for text in ["one two three four five", "two six", "one six seven", "eight one two"]:
-        assert np.frombuffer(encode([text.encode()])[0], "<u4").tolist() == ids_of(library, text)
+        for text, ids in zip(texts[at : at + 50], encode([t.encode() for t in texts[at : at + 50]]), strict=True):
+            assert ids.tolist() == ids_of(library, text), repr(text[:80])
+
+
+def test_forgetting_changes_nothing(library, monkeypatch):
+    monkeypatch.setattr(W, "KNOWN_WORDS", 3)
+    encoder = W.Encoder(W.default_tokenizer())
+    encoder.chunks = W.ChunkTable(16)
+    for text in ["one two three four five", "two six", "one six seven x" + "y" * 200, "eight one two", "", "a b c d e f g one"] * 3:
+        assert encoder.encode([text.encode()])[0].tolist() == ids_of(library, text)
+
+
+def test_table_of_chunks_keeps_what_it_is_told():
+    rng = np.random.default_rng(2)
+    table = W.ChunkTable(1 << 12)
+    hashes = np.unique(rng.integers(1, 1 << 62, 1500).astype(np.uint64) << np.uint64(2))  # only every fourth slot to begin with
+    ids = [rng.integers(0, 9, rng.integers(0, 5)).astype("<u4").tobytes() for _ in hashes]
+    for at in range(0, len(hashes), 400):
+        assert (table.find(hashes[at:]) == -1).all()
+        table.name(hashes[at : at + 400], table.add(ids[at : at + 400]))
+    entries = table.find(rng.permutation(np.concatenate([hashes, hashes])))
+    assert sorted(entries.tolist()) == sorted([*range(len(hashes))] * 2)
+    got, ends = table.ids(table.find(hashes))
+    assert [got[a:b].astype("<u4").tobytes() for a, b in zip(ends, ends[1:], strict=False)] == ids
+
+
+def test_pieces_of_texts():
+    texts = [b"", b"ab cd ef gh", b"x" * 30, b" ", b"a\tb\nc" * 10, b""]
+    for size in (1, 3, 8, 1000):
+        joined = [b""] * len(texts)
+        for numbers, parts in W.in_pieces(texts, size):
+            for n, part in zip(numbers, parts, strict=True):
+                assert not joined[n] or joined[n][-1:].isspace()
+                joined[n] += part
+        assert joined == texts
 
 
 def image(ids, lengths=None):

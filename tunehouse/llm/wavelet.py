@@ -21,8 +21,15 @@ END_ID = 1  # closes each document
 SHARD_TOKENS = 1 << 20  # a shard ends with the document that reaches this
 BLOCK_BITS = 1 << 15  # bits of a plane that are compressed, and so read, at a time
 MAGIC = b"TKWM0001"
-REMEMBERED_BYTES = 256 << 20  # of words and their ids, in each worker
-ENTRY_BYTES = 160  # of a remembered word besides its characters and ids
+KNOWN_WORDS = 800_000  # words whose ids a worker remembers
+CHUNK_SLOTS = 1 << 22  # places for chunks between white space, half of which are used
+LONG_CHUNK = 64  # bytes from which a chunk is not remembered
+ENCODED_BYTES = 1 << 20  # bytes of text that are encoded at a time
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_SPACES = re.compile(rb"[\x20\x09-\x0D]")
+_FACTORS = np.random.default_rng(13).integers(0, 1 << 64, LONG_CHUNK + 1, np.uint64) | np.uint64(1)
+MARK = "1"  # a digit is a word and a token of its own, so no other word has its id
 # characters that lower-casing and composition treat one by one and that the vocabulary's pattern splits as below
 _OTHER = re.compile("[^!-~\xa1-įı-ſ]")
 _WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ſ]+|[0-9²³¹¼½¾]|[^\\s0-9a-zªµºß-öø-ſ²³¹¼½¾]+")
@@ -48,69 +55,198 @@ def as_symbols(word: str) -> str:
     return "".join([symbols[b] for b in word.encode()])
 
 
+class ChunkTable:
+    """Ids by the hash of a chunk, for whole arrays of hashes at a time: open addressing with linear probing."""
+
+    def __init__(self, slots: int = CHUNK_SLOTS):
+        self.keys = np.zeros(slots, np.uint64)  # 0: free
+        self.index = np.zeros(slots, np.int32)
+        self.begin = np.zeros(1024, np.int64)
+        self.length = np.zeros(1024, np.int64)
+        self.pool = np.zeros(4096, np.uint32)
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys[:] = 0
+        self.entries = self.used = 0
+
+    def full(self) -> bool:
+        return 2 * self.entries > len(self.keys) or self.used > 2 * len(self.keys)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Entry of each hash, -1 where there is none."""
+        found = np.full(len(hashes), -1, np.int64)
+        place = (hashes & np.uint64(len(self.keys) - 1)).astype(np.int64)
+        left = np.arange(len(hashes))
+        while len(left):
+            key = self.keys[place[left]]
+            hit = key == hashes[left]
+            found[left[hit]] = self.index[place[left[hit]]]
+            left = left[~hit & (key != 0)]
+            place[left] = (place[left] + 1) % len(self.keys)
+        return found
+
+    def add(self, ids: list[bytes]) -> np.ndarray:
+        """New entries for ids (little-endian 32-bit); they have no hash yet."""
+        new = np.arange(self.entries, self.entries + len(ids))
+        sizes = np.array([len(x) // 4 for x in ids], np.int64)
+        self.begin, self.length = (_grown(x, self.entries + len(ids)) for x in (self.begin, self.length))
+        self.pool = _grown(self.pool, self.used + int(sizes.sum()))
+        self.begin[new] = self.used + np.cumsum(sizes) - sizes
+        self.length[new] = sizes
+        self.pool[self.used : self.used + sizes.sum()] = np.frombuffer(b"".join(ids), "<u4")
+        self.entries += len(ids)
+        self.used += int(sizes.sum())
+        return new
+
+    def name(self, hashes: np.ndarray, entries: np.ndarray) -> None:
+        """Find entries by their hashes, all different, from now on."""
+        place = (hashes & np.uint64(len(self.keys) - 1)).astype(np.int64)
+        left = np.arange(len(hashes))
+        while len(left):
+            free = left[self.keys[place[left]] == 0]
+            self.keys[place[free]] = hashes[free]  # of several for one slot the last one gets it
+            won = free[self.keys[place[free]] == hashes[free]]
+            self.index[place[won]] = entries[won]
+            left = left[self.keys[place[left]] != hashes[left]]
+            place[left] = (place[left] + 1) % len(self.keys)
+
+    def ids(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The entries' ids, end to end, and where those of each begin, the end included."""
+        sizes = self.length[entries]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        return self.pool[np.repeat(self.begin[entries] - ends[:-1], sizes) + np.arange(ends[-1])], ends
+
+
+def _grown(array: np.ndarray, size: int) -> np.ndarray:
+    return array if size <= len(array) else np.concatenate([array, np.zeros(max(size, 2 * len(array)) - len(array), array.dtype)])
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library, which is asked once for each word.
 
     The vocabulary drops white space and encodes what lies between piece by piece, so the ids of a text are those of its
-    chunks between ASCII white space, and these are remembered. A new chunk of letters up to U+017F is split into words
-    here, and the unknown words go to the library together; chunks with other characters or a special token's string go to
-    it whole. All is forgotten at once when it takes too much memory.
+    chunks between ASCII white space, and these are remembered by a hash of 64 bits with random factors. A new chunk of letters up
+    to U+017F is split into words here, and the unknown words go to the library together; chunks with other characters or a
+    special token's string go to it whole. What takes too much memory is forgotten all at once.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
-        self.single = Tokenizer(self.whole.model)  # the same vocabulary without the steps that splitting has done
-        self.single.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         with open(path, encoding="utf-8") as f:
-            self.special = [t["content"] for t in json.load(f)["added_tokens"]]
-        self.chunks: dict[bytes, bytes] = {}
+            spec = json.load(f)
+        model = spec["model"]
+        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        # the same vocabulary without the steps that splitting has done, and without a memory of its own
+        bare = models.BPE(vocab=model["vocab"], merges=pairs, end_of_word_suffix=model["end_of_word_suffix"], cache_capacity=0)
+        self.single = Tokenizer(bare)
+        self.single.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.special = [t["content"] for t in spec["added_tokens"]]
+        self.mark = self.single.encode(MARK).ids
+        self.chunks = ChunkTable()
         self.words: dict[str, bytes] = {}
-        self.size = 0
 
     def _learn_words(self, words: list[str]) -> None:
-        found = self.single.encode("\n".join([w if w.isascii() else as_symbols(w) for w in words]), add_special_tokens=False)
-        ends = 4 * np.searchsorted(np.array(found.word_ids), np.arange(len(words) + 1))
-        raw = np.array(found.ids, "<u4").tobytes()
-        for word, a, b in zip(words, ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-            self.words[word] = raw[a:b]
-        self.size += len(raw) + sum(map(len, words)) + ENTRY_BYTES * len(words)
-
-    def _learn(self, chunks: list[bytes]) -> None:
+        """Many words in one call: a single character, which is a token of its own, stands after each."""
+        long = [w for w in words if len(w) > 1]
+        spelt = [w if w.isascii() else as_symbols(w) for w in long]
+        ids = np.array(self.single.encode_batch_fast([f" {MARK} ".join([*spelt, ""])], add_special_tokens=False)[0].ids, "<u4")
+        raw, ends = ids.tobytes(), np.flatnonzero(ids == self.mark[0])
+        if len(ends) != len(long):
+            raise ValueError("the vocabulary has its mark in longer words")
+        begin = 0
+        for word, end in zip(long, (4 * ends).tolist(), strict=True):
+            self.words[word] = raw[begin:end]
+            begin = end + 4
+        for word in words:
+            if len(word) == 1:
+                self.words[word] = np.array(self.single.encode(as_symbols(word), add_special_tokens=False).ids, "<u4").tobytes()
+
+    def chunk_ids(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of chunks without white space."""
         split: list[list[str] | None] = []
         for chunk in chunks:
             text = chunk.decode("utf-8", "replace")
-            plain = not _OTHER.search(text) and not ("<" in text and any(s in text for s in self.special))
-            split.append(_WORDS.findall(text.lower()) if plain else None)
-        unknown = {w for words in split if words for w in words}.difference(self.words)
+            if chunk.isalpha():  # ASCII letters only: one word
+                split.append([text.lower()])
+            else:
+                plain = not _OTHER.search(text) and not ("<" in text and any(s in text for s in self.special))
+                split.append(_WORDS.findall(text.lower()) if plain else None)
+        known = self.words
+        unknown = {w for words in split if words for w in words if w not in known}
         if unknown:
             self._learn_words(list(unknown))
+        out = []
         for chunk, words in zip(chunks, split, strict=True):
             if words is None:
                 text = chunk.decode("utf-8", "replace")
-                ids = np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+                out.append(np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
             else:
-                ids = b"".join(map(self.words.__getitem__, words))
-            self.chunks[chunk] = ids
-            self.size += len(chunk) + len(ids) + ENTRY_BYTES
+                out.append(known[words[0]] if len(words) == 1 else b"".join([known[w] for w in words]))
+        return out
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids per text (UTF-8) as little-endian 32-bit integers."""
-        if self.size > REMEMBERED_BYTES:
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids per text (UTF-8)."""
+        if self.chunks.full():
             self.chunks.clear()
+        if len(self.words) > KNOWN_WORDS:
             self.words.clear()
-            self.size = 0
-        split = [t.split() for t in texts]
-        found = [list(map(self.chunks.get, chunks)) for chunks in split]
-        gaps = [[i for i, ids in enumerate(f) if ids is None] if None in f else () for f in found]
-        unknown = {chunks[i] for chunks, at in zip(split, gaps, strict=True) for i in at}
-        if unknown:
-            self._learn(list(unknown))
-        for chunks, f, at in zip(split, found, gaps, strict=True):
-            for i in at:
-                f[i] = self.chunks[chunks[i]]
-        return [b"".join(f) for f in found]
+        raw = b"\n".join([b"", *texts, b""])
+        data = np.frombuffer(raw, np.uint8)
+        inside = ~_IS_SPACE[data]
+        edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1  # every text is surrounded by breaks
+        start, size = edges[::2], edges[1::2] - edges[::2]
+        if not len(start):
+            return [np.zeros(0, np.uint32) for _ in texts]
+        first = np.cumsum(size) - size
+        place = np.arange(int(size.sum())) - np.repeat(first, size)
+        factors = _FACTORS[np.minimum(place, LONG_CHUNK)]
+        hashes = np.add.reduceat((data[inside].astype(np.uint64) + np.uint64(1)) * factors, first)
+        hashes ^= hashes >> np.uint64(29)
+        hashes[hashes == 0] = 1
+        short = size <= LONG_CHUNK
+        entries = np.where(short, self.chunks.find(hashes), -1)
+        missing = np.flatnonzero(short & (entries < 0))
+        if len(missing):
+            new, where, back = np.unique(hashes[missing], return_index=True, return_inverse=True)
+            at = missing[where]
+            added = self.chunks.add(self.chunk_ids([raw[a:b] for a, b in zip(start[at].tolist(), (start + size)[at].tolist(), strict=True)]))
+            self.chunks.name(new, added)
+            entries[missing] = added[back]
+        large = np.flatnonzero(~short)
+        if len(large):
+            entries[large] = self.chunks.add(self.chunk_ids([raw[start[i] : start[i] + size[i]] for i in large.tolist()]))
+        ids, ends = self.chunks.ids(entries)
+        lengths = np.array([len(t) + 1 for t in texts])
+        begins = 1 + np.cumsum(lengths) - lengths
+        cuts = ends[np.searchsorted(start, np.append(begins, len(raw)))]
+        return [ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+
+
+def in_pieces(texts: list[bytes], size: int) -> Iterator[tuple[list[int], list[bytes]]]:
+    """Numbers and parts of texts, some ``size`` bytes at a time; a longer text is cut at white space, so that its parts' ids
+    are its own in a row."""
+    numbers: list[int] = []
+    parts: list[bytes] = []
+    held = 0
+    for number, text in enumerate(texts):
+        at = 0
+        while at < len(text) or (at == 0 and not text):
+            end = len(text)
+            if end - at > size:
+                gap = _SPACES.search(text, at + size)
+                end = gap.end() if gap else end
+            numbers.append(number)
+            parts.append(text[at:end])
+            held += end - at
+            at = max(end, 1)
+            if held >= size:
+                yield numbers, parts
+                numbers, parts, held = [], [], 0
+    if parts:
+        yield numbers, parts
 
 
 @lru_cache(maxsize=2)
@@ -283,15 +419,23 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
         encode = encoder(tokenizer or default_tokenizer()).encode
         task, number, before = TaskContext.get().partitionId(), 0, 0
-        ids: list[bytes] = []
+        ids: list[np.ndarray] = []
         keys: list = []
         held = 0
-        close = struct.pack("<I", END_ID)
+        end = np.array([END_ID], np.uint32)
+
+        def close(key, found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            nonlocal held
+            keys.append(key)
+            ids.append(np.concatenate([*found, end]))
+            held += len(ids[-1])
+            if held >= shard_tokens:
+                yield image()
 
         def image() -> pa.RecordBatch:
             nonlocal ids, keys, held, number, before
-            table = pa.RecordBatch.from_arrays([pa.array(keys, kind), pa.array([len(x) // 4 for x in ids], pa.int64())], names=["id", "n_tokens"])
-            made = shard_image(np.frombuffer(b"".join(ids), "<u4"), table, task=task, shard=number, before=before)
+            table = pa.RecordBatch.from_arrays([pa.array(keys, kind), pa.array([len(x) for x in ids], pa.int64())], names=["id", "n_tokens"])
+            made = shard_image(np.concatenate(ids), table, task=task, shard=number, before=before)
             number, before = number + 1, before + held
             ids, keys, held = [], [], 0
             return pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], names=["image"])
@@ -299,15 +443,19 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         kind = None
         for batch in batches:
             kind = batch.column(0).type
-            for at in range(0, batch.num_rows, 64):
-                some = batch.slice(at, 64)
-                texts = [t or b"" for t in some.column(1).to_pylist()]
-                for key, raw in zip(some.column(0).to_pylist(), encode(texts), strict=True):
-                    keys.append(key)
-                    ids.append(raw + close)
-                    held += len(raw) // 4 + 1
-                    if held >= shard_tokens:
-                        yield image()
+            texts = [t or b"" for t in batch.column(1).to_pylist()]
+            own = batch.column(0).to_pylist()
+            open_text: list[np.ndarray] = []
+            last = -1
+            for numbers, parts in in_pieces(texts, ENCODED_BYTES):
+                for row, found in zip(numbers, encode(parts), strict=True):
+                    if row != last and last >= 0:
+                        yield from close(own[last], open_text)
+                        open_text = []
+                    open_text.append(found)
+                    last = row
+            if last >= 0:
+                yield from close(own[last], open_text)
         if keys:
             yield image()
 
