@@ -112,7 +112,7 @@ def test_collisions_are_resolved(spark, monkeypatch):
     rows = pii.assign(spark.createDataFrame([("ip", str(i)) for i in range(15)], "kind string, norm string")).collect()
     assert len({r["surrogate"] for r in rows}) == 15 and not {r["surrogate"] for r in rows} & {r["norm"] for r in rows}
     with pytest.raises(RuntimeError):
-        monkeypatch.setattr(pii, "ROUNDS", 4)
+        monkeypatch.setattr(pii, "STUCK_ROUNDS", 4)
         pii.assign(spark.createDataFrame([("ip", str(i)) for i in range(30)], "kind string, norm string"))
 
 
@@ -139,3 +139,112 @@ def test_no_planted_entity_is_left(spark, con, small):
         assert not [m for m in old if m in r["text"]]
         assert (r["n_entities"] > 0) == (r["text"] != texts[r["doc_id"]])
     assert found
+
+
+LEFT = {
+    "Mary Ann Smith": ["Mary", "Ann", "Smith"],
+    "Mr. John Michael Smith": ["John", "Michael", "Smith"],
+    "Dr. Ludwig van Beethoven": ["Ludwig", "Beethoven"],
+    "Jean-Pierre Dupont": ["Jean", "Pierre", "Dupont"],
+    "John Q. Public": ["John", "Public"],
+    "Mary  Smith": ["Mary", "Smith"],
+    "Mary\nSmith": ["Mary", "Smith"],
+    "Mrs.\n  Anna Weber": ["Anna", "Weber"],
+    "Wei Zhang and Priya Natarajan": ["Wei", "Zhang", "Priya", "Natarajan"],
+    "call 555 123 4567 now": ["555", "4567"],
+    "call 020 7946 0958 now": ["7946", "0958"],
+    "at 2001:db8::1 or fe80::1ff:fe23:4567:890a": ["2001", "db8", "fe80", "4567"],
+    "2001:0DB8:0000:0000:0000:FF00:0042:8329": ["0DB8", "FF00"],
+    "Mr. Smith's hat. Smith left; SMITH'S hat, Smithson stayed.": ["Smith ", "Smith'", "SMITH"],
+}
+
+
+def test_nothing_of_an_entity_is_left(spark):
+    texts, counts = run(spark, list(LEFT))
+    for before, after, n in zip(LEFT, texts, counts, strict=True):
+        assert n >= 1 and not [x for x in LEFT[before] if re.search(rf"(?<!\w){re.escape(x)}", after)], after
+    found = re.fullmatch(r"Mr\. (\w+)'s hat\. \1 left; (\w+)'S hat, Smithson stayed\.", texts[-1])
+    assert found[1].upper() == found[2]
+    assert re.fullmatch(r"\w+ Q\. \w+", texts[4]) and re.fullmatch(r"\w+  \w+", texts[5]) and re.fullmatch(r"\w+\n\w+", texts[6])
+    assert " van " in texts[2] and re.fullmatch(r"call \d{3} \d{3} \d{4} now", texts[9])
+
+
+CLEAN = [
+    "Prices were 100 200 300 and 12:30:45 on 2024-01-02; std::vector, a::b, version 1.2.3.4.5, item 12345.",
+    "The Smith of the village. Ann went home. mary smith. Mr. said nothing. 1234 567 8901 23",
+    "x:1:2:3 and ::: and 10::20 is not hex:here",
+]
+
+
+def test_clean_texts_stay(spark):
+    texts, counts = run(spark, CLEAN)
+    assert texts[:2] == CLEAN[:2] and counts[:2] == [0, 0]
+
+
+def plain_pattern():
+    """The kinds' patterns for another engine."""
+    import regex
+
+    pattern = pii.PATTERN.replace(r"\p{Lu}", r"\p{Uppercase_Letter}").replace(r"\p{Ll}", r"\p{Lowercase_Letter}")
+    return regex.compile(pattern)
+
+
+def plain_replaced(text, after, seen, words):
+    """Check ``after`` against a replacement made one entity at a time: what is no entity stays letter by letter, what is
+    one goes, and equal words get equal surrogates. ``seen`` and ``words`` collect entity -> surrogate over all texts."""
+    import regex
+
+    gaps, entities, at = [], [], 0
+    for m in plain_pattern().finditer(text):
+        gaps.append(text[at : m.start()])
+        entities.append(m[0])
+        at = m.end()
+    gaps.append(text[at:])
+    surnames = {w.lower() for e in entities if not regex.search(r"[\d@]", e) for w in regex.split(r"\s+", e)}
+    parts = [regex.escape(g) for g in gaps]
+    for i, g in enumerate(gaps):
+        pieces = regex.split(r"(?V1)(?<![\p{L}\p{N}'’-])(?=\p{Lu})|(?<=[\p{L}\p{N}])(?![\p{L}\p{N}'’-])", g)
+        known = lambda x: regex.match(r"\p{Lu}", x) and regex.sub("['’][sS]$", "", x).lower() in surnames
+        parts[i] = "".join(r"[\p{L}'’-]+" if known(x) else regex.escape(x) for x in pieces)
+    m = regex.fullmatch("(.+?)".join(f"(?:{p})" for p in parts), after, regex.DOTALL)
+    assert m, (text, after)
+    for entity, made in zip(entities, m.groups(), strict=True):
+        assert entity != made
+        if regex.search(r"[\d@]", entity):
+            assert seen.setdefault(entity, made) == made
+        else:
+            for a, b in zip(regex.split(r"\s+", entity), regex.split(r"\s+", made), strict=True):
+                words.setdefault(a.lower(), set()).add(b.lower())
+    return len(entities)
+
+
+def test_every_document_against_a_plain_replacer(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    before = {r["doc_id"]: r["text"] for r in docs.collect()}
+    seen, words, total = {}, {}, 0
+    for r in pii.surrogate_texts(docs).collect():
+        n = plain_replaced(before[r["doc_id"]], r["text"], seen, words)
+        assert n == r["n_entities"]
+        total += n
+    assert total > 20
+    # no two entities share a surrogate, and none is an entity itself
+    bare = {re.sub(r"[^\w@.:]", "", k).lower(): re.sub(r"[^\w@.:]", "", v).lower() for k, v in seen.items()}
+    assert len(set(bare.values())) == len(bare) and not set(bare.values()) & set(bare)
+    assert all(len(v) <= 2 for v in words.values())
+
+
+def test_room_is_used_up_to_the_end(spark, monkeypatch):
+    """Ten digits of which most are taken: rounds go on as long as one of them finds a place."""
+    monkeypatch.setattr(pii, "surrogate", lambda kind, norm, attempt, key: F.pmod(F.xxhash64("norm", "attempt"), F.lit(40)).cast("string"))
+    entities = spark.createDataFrame([("ssn", str(i)) for i in range(18)], "kind string, norm string")
+    rows = pii.assign(entities).collect()
+    assert len({r["surrogate"] for r in rows}) == 18 and not {r["surrogate"] for r in rows} & {str(i) for i in range(18)}
+
+
+def test_the_key_comes_from_the_session(spark):
+    assert pii.session_key(spark) == pii.KEY
+    spark.conf.set(pii.KEY_SETTING, "other")
+    try:
+        assert pii.session_key(spark) == "other"
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
