@@ -80,7 +80,9 @@ def link_fingerprints(prints: DataFrame, max_bits: int = 2) -> DataFrame:
     """
     if not 0 <= max_bits <= 4:
         raise ValueError("max_bits must be 0 to 4")
-    points = prints.select("fp", F.array(popcount_cell(F.col("fp"))).alias("cells"))
+    # few bytes, but some fifty rows each: the number of tasks is not left to their size
+    dealt = prints.select("fp").repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    points = dealt.select("fp", F.array(popcount_cell(F.col("fp"))).alias("cells"))
     for _ in range((max_bits + 1) // 2):
         around = F.expr(f"flatten(transform(cells, c -> array_append({_steps('c')}, c)))")
         points = points.select("fp", F.array_distinct(around).alias("cells"))
@@ -125,13 +127,15 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataFrame:
-    """The rows of ``docs`` with one row left of each group of near-duplicates: that of the smallest doc_id.
+    """The rows of ``docs`` with exactly one row left of each group of near-duplicates: that of the smallest doc_id.
 
-    Rows without doc_id cannot be named and all stay. Of repeated rows of the kept id, the one with the smallest
-    text stays.
+    A row is known by its doc_id and its text, so two texts of one doc_id are two rows, each in its own group. Rows
+    without doc_id come last in a group; of rows of one id the smallest hash of the text counts. Of rows that are equal in both one stays.
     """
-    groups = near_duplicates(docs.where("doc_id is not null"), words=words, max_bits=max_bits)
-    kept = groups.select(F.col("component_id").alias("doc_id")).distinct()
-    named = docs.join(kept, "doc_id", "left_semi")
-    one = named.groupBy("doc_id").agg(F.min_by(whole_row(docs), text_or_empty()).alias("row"))
-    return one.select(*fields(docs, "row")).unionByName(docs.where("doc_id is null"))
+    ident = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id").alias("id"), F.sha2(text_or_empty(), 256).alias("text"))
+    named = docs.select(whole_row(docs).alias("row"), ident.alias("ident"), F.col("text").cast("string").alias("text"))
+    groups = near_duplicates(named, id_col="ident", words=words, max_bits=max_bits)
+    kept = groups.groupBy("component_key").agg(F.min("ident").alias("ident")).select("ident")
+    # equal in id and text: the other columns decide, so that the same row stays whatever the order
+    one = named.join(kept, "ident", "left_semi").groupBy("ident").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return one.select(*fields(docs, "row"))
