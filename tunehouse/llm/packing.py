@@ -21,6 +21,8 @@ SENTENCE_PENALTY = 1.0  # padding tokens that a cut at a sentence's end is worth
 FORCED_PENALTY = 16.0  # the same for a cut inside a sentence
 SHORT_PENALTY = 4.0  # the same for a sequence that is not filled up, as its length is a power of two
 BEYOND = re.compile("[^\x00-\u024f]")
+SPACES = re.compile(r"\s+")
+LONG_SPACE = 100_000  # the faster encoder gives up on much longer runs of white space
 # fixed values: full stops, question and exclamation marks and line breaks of the world's scripts, and what may close a sentence after them
 STOPS = tuple(c.encode() for c in ".!?\n。．！？｡।॥؟۔։።፧။།។៕‼⁇⁈⁉…\u2028\u2029")
 CLOSERS = tuple(c.encode() for c in "\"”’»」』）】")
@@ -104,18 +106,22 @@ def default_tokenizer() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def has_long_space(text: str) -> bool:
+    return len(text) >= LONG_SPACE and any(m.end() - m.start() >= LONG_SPACE for m in SPACES.finditer(text))
+
+
 def token_ids(texts: list[str | None], path: str) -> list[np.ndarray]:
     """Ids of each whole text without special tokens added; none for NULL and empty texts.
 
-    Texts of characters below U+0250 without the string of a special token go through the faster encoder, which
-    gives the same ids there; all others through the tokenizer itself.
+    Texts of characters below U+0250 without the string of a special token and without a very long run of white space go
+    through the faster encoder, which gives the same ids there; all others through the tokenizer itself.
     """
     fast, special = _fast(path)
     out: list[np.ndarray] = []
     for text in texts:
         if not text:
             ids = []
-        elif (text.isascii() or not BEYOND.search(text)) and not any(s in text for s in special):
+        elif (text.isascii() or not BEYOND.search(text)) and not any(s in text for s in special) and not has_long_space(text):
             ids = fast.encode_ordinary(text)
         else:
             ids = _tokenizer(path).encode(text, add_special_tokens=False).ids
