@@ -104,3 +104,18 @@ def test_heavier_documents_come_first(spark):
 def test_first_words(one):
     text = F.lit(" a  b\nc\td ")
     assert [one(mixing.first_words(text, F.lit(n))) for n in (0, 1, 2, 4, 9)] == ["", " a", " a  b", " a  b\nc\td", " a  b\nc\td "]
+
+
+@pytest.mark.parametrize("key", ["cast(null as bigint)", "7L", "id"])
+def test_equal_rows_at_the_cut(spark, key):
+    """Rows with one draw: some are taken whole and one in part, so that the target is met to the word."""
+    docs = spark.range(4000).selectExpr(f"{key} as doc_id", "'three words here' as text", "if(id < 3000, 'a', 'b') as source")
+    rows = mixing.mix(docs).collect()
+    by_source = {s: [r for r in rows if r["source_size"] == 3 * n] for s, n in (("a", 3000), ("b", 1000))}
+    for mine in by_source.values():
+        assert sum(r["taken"] for r in mine) == int(mine[0]["target"])
+        partial = [r["taken"] % 3 for r in mine if r["taken"] % 3]
+        assert len(partial) <= 1 and len({r["taken"] // 3 for r in mine}) <= 2
+    mixed = mixing.mixed_documents(docs.withColumn("n_chars", F.length("text")))
+    taken = mixed.groupBy("source").agg(F.sum(F.size(F.split("text", " ")))).collect()
+    assert dict(map(tuple, taken)) == {s: int(mine[0]["target"]) for s, mine in by_source.items()}

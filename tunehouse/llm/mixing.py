@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tunehouse.llm.common import WORD, fields, landed, text_or_empty, whole_row, word_count
+from tunehouse.operators.ranking import with_global_position
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
@@ -76,12 +77,11 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int
 
 def mixing_plan(keyed: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """One row per source: its target, the complete epochs, and the place in the order of keys where its fractional
-    epoch is cut: (key, doc_id, size) of the document that is cut, and the words taken of it.
+    epoch is cut: (key, doc_id, size) of the document that is cut, how many rows are equal in that, and the words taken of them.
 
     Sizes are summed up per source and bin within each task first, so a source with a third of all documents is
-    some ten thousand rows, and only the rows of the bin with the cut are sorted. Equal rows at the cut take equal
-    parts, so a source may then miss its target by fewer words than there are such rows. ``keyed`` should be
-    stored, as it is read three times.
+    some ten thousand rows, and only the rows of the bin with the cut are sorted, equal ones as one. ``keyed``
+    should be stored, as it is read three times.
     """
     bins = keyed.groupBy("source", "__bin").agg(F.sum("__size").alias("n"))
     sizes = bins.groupBy("source").agg(F.sum("n").alias("source_size"))
@@ -105,17 +105,30 @@ def mixing_plan(keyed: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = C
     rows = near.groupBy("s", "rest", "start", "__key", "doc_id", "__size").agg(F.count("*").alias("copies"))
     rows = rows.withColumn("words", F.col("copies") * F.col("__size"))
     rows = rows.withColumn("before", F.col("start") + before("words", "__key", "doc_id", "__size")).where(reached("words"))
-    cut = rows.select("s", F.struct("__key", "doc_id", "__size").alias("cut"), F.expr("(rest - before) div copies").alias("cut_words"))
+    cut = rows.select("s", F.struct("__key", "doc_id", "__size").alias("cut"), "copies", (F.col("rest") - F.col("before")).alias("cut_words"))
     return planned.join(cut, same_source, "left").drop("s")
 
 
 def _with_taken(keyed: DataFrame, plan: DataFrame) -> DataFrame:
-    """``keyed`` with the plan's columns as __plan and with __extra, the words of the fractional epoch."""
+    """``keyed`` with the plan's columns as __plan and with __extra, the words of the fractional epoch.
+
+    Rows that are equal at a cut are numbered: the first ones are taken whole, the next one is cut, the others are left. They
+    can be a large part of all rows, so they are numbered by a sort over all tasks; mostly there are none.
+    """
     named = plan.select(F.col("source").alias("__s"), F.struct(*plan.columns).alias("__plan"))
     rows = keyed.join(named, F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
     here, cut = F.struct("__key", "doc_id", "__size"), F.col("__plan.cut")
     extra = F.when(here < cut, F.col("__size")).when(here == cut, F.col("__plan.cut_words")).otherwise(0)
-    return rows.withColumn("__extra", extra.cast("bigint"))
+    alone = rows.withColumn("__extra", extra.cast("bigint"))
+    if plan.where("copies > 1").isEmpty():
+        return alone
+    tied = F.coalesce((here == cut) & (F.col("__plan.copies") > 1), F.lit(False))
+    placed = with_global_position(rows.where(tied), F.asc_nulls_last("source"), name="__place")
+    first = placed.groupBy(F.col("source").alias("__s")).agg(F.min("__place").alias("__first"))
+    placed = placed.join(first, F.col("source").eqNullSafe(F.col("__s")))
+    left = F.col("__plan.cut_words") - (F.col("__place") - F.col("__first")) * F.col("__size")
+    shared = placed.withColumn("__extra", F.greatest(F.lit(0).cast("bigint"), F.least(F.col("__size"), left)))
+    return alone.where(~tied).unionByName(shared.select(*alone.columns))
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, weight: Column | None = None, seed: str = SEED) -> DataFrame:
@@ -124,7 +137,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, weigh
     A source's target is made of complete epochs of all its documents, then of documents in ascending order of
     their keys, a document of twice the weight coming first twice as often; the last of these is cut so that the
     source meets its target's whole words exactly. NULL and blank texts have size 0 and give nothing; a NULL source
-    is a source; repeated rows are sampled each for itself; NULL ids share their draw. An empty table gives no rows.
+    is a source; repeated rows and NULL ids share their draw, and of equal rows at the cut some are taken whole and one
+    in part. An empty table gives no rows.
     """
     slim = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("source"))
     if weight is not None:
