@@ -78,3 +78,28 @@ def test_score_depends_on_the_text_alone(spark, awkward, nothing):
 def test_no_usable_labels(spark, awkward):
     labels = spark.createDataFrame([(None, 1), (7, None), (8, 5)], "doc_id bigint, quality int")
     assert {r["score"] for r in Q.classify(awkward, labels).collect()} == {0.5}
+
+
+def test_lines_of_one_document_get_different_labels(spark):
+    """Good prose with a junk block in the middle: the block's lines are bad, the others good; documents of one kind keep one."""
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    model = Q.train(docs, labels)
+    held = docs.join(labels, "doc_id").where(Q.held_out(F.col("doc_id"))).select("text", "quality").collect()
+    lines = lambda r: [x for x in r["text"].split("\n") if x.strip()]
+    good = [lines(r) for r in held if r["quality"] == 1 and len(lines(r)) >= 4][:12]
+    junk = [lines(r) for r in held if r["quality"] == 0][:12]
+    assert len(good) >= 5 and len(junk) >= 5
+    found = right = 0
+    for g, j in zip(good, itertools.cycle(junk)):
+        block = (j * 4)[:4]
+        middle = len(g) // 2
+        own = Q.line_features("\n".join(g[:middle] + block + g[middle:]))[0]
+        p = model.line_marginals([own])
+        bad = np.zeros(len(own), bool)
+        bad[middle : middle + 4] = True
+        found += 1
+        right += (p[bad] < 0.5).mean() >= 0.75 and (p[~bad] >= 0.5).mean() >= 0.75
+    assert right / found >= 0.8, right / found
+    rows = Q.classify(docs, labels).select("n_lines", "n_bad_lines").collect()
+    assert all(0 <= r["n_bad_lines"] <= r["n_lines"] and r["n_lines"] >= 1 for r in rows)

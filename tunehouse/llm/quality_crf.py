@@ -16,7 +16,12 @@ from tunehouse.llm.common import fields, whole_row
 SAMPLE_DOCS = 4_000  # labelled documents that the model is fitted on, at most
 SAMPLE_LINES = 300  # longer labelled documents are not taken into that sample
 THRESHOLD = 0.3
+BAD_SHARE = 0.5  # of a document with label 0 at least this share of its lines is taken to be bad
+SPLICED = 0.5  # of the good documents of the sample this share gets a block of a bad one
+CERTAIN = 30.0  # the score of a line whose label is known
+SEED = 11
 TOGETHER = 256  # texts scored at a time
+TOGETHER_LINES = 1 << 15  # and their lines
 
 CLASSES = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "#*$%&|<>", "!", "|", "0123456789", ".,;:?")
 IN_CLASS = np.zeros((len(CLASSES), 256), np.float32)
@@ -88,8 +93,8 @@ class Chains:
     def step(self, t: int) -> slice:
         return slice(self.first[t], self.first[t + 1])
 
-    def marginals(self, good: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-        """Forward-backward: P(good) per line, expected moves (2 x 2), and the log of the normaliser.
+    def marginals(self, good: np.ndarray, move: np.ndarray, moves: bool = True) -> tuple[np.ndarray, np.ndarray, float]:
+        """Forward-backward: P(good) per line, expected moves (2 x 2, if wanted), and the log of the normaliser.
 
         good: the score of label good per line (bad has 0), step by step; move: the scores of moves.
         """
@@ -101,18 +106,19 @@ class Chains:
             if t:
                 prior = ahead[self.first[t - 1] : self.first[t - 1] + n]
                 ahead[now] += np.logaddexp(prior[:, :1] + move[0], prior[:, 1:] + move[1])
-        moves = np.zeros((2, 2))
+        expected = np.zeros((2, 2))
         for t in range(len(self.active) - 1, 0, -1):
             n, now = self.active[t], self.step(t)
             before = slice(self.first[t - 1], self.first[t - 1] + n)
             onward = emit[now] + back[now]
             back[before] = np.logaddexp(move[:, 0] + onward[:, :1], move[:, 1] + onward[:, 1:])
-            z = np.logaddexp(*(ahead[now] + back[now]).T)
-            pair = ahead[before][:, :, None] + move + onward[:, None, :] - z[:, None, None]
-            moves += np.exp(pair).sum(axis=0)
+            if moves:
+                z = np.logaddexp(*(ahead[now] + back[now]).T)
+                pair = ahead[before][:, :, None] + move + onward[:, None, :] - z[:, None, None]
+                expected += np.exp(pair).sum(axis=0)
         both = ahead + back
         p = 1 / (1 + np.exp(np.clip(both[:, 0] - both[:, 1], -500, 500)))
-        return p, moves, float(np.logaddexp(*both[self.step(0)].T).sum())
+        return p, expected, float(np.logaddexp(*both[self.step(0)].T).sum())
 
 
 @dataclass
@@ -126,24 +132,47 @@ class Model:
     slope: float
     shift: float
 
-    def mean_marginals(self, own: list[np.ndarray], sizes: list[np.ndarray]) -> np.ndarray:
-        """Length-weighted mean over a document's lines of P(good), per document."""
+    def line_marginals(self, own: list[np.ndarray]) -> np.ndarray:
+        """P(good) of every line, document by document."""
         lengths = np.array([len(x) for x in own])
         chains = Chains(lengths)
         x = (np.concatenate([with_neighbours(o) for o in own]) - self.mean) / self.scale
         p = np.empty(len(x))
-        p[chains.source] = chains.marginals((x @ self.weights)[chains.source], self.move)[0]
+        p[chains.source] = chains.marginals((x @ self.weights)[chains.source], self.move, moves=False)[0]
+        return p
+
+    def mean_marginals(self, own: list[np.ndarray], sizes: list[np.ndarray]) -> np.ndarray:
+        """Length-weighted mean over a document's lines of P(good), per document."""
+        return self._means(self.line_marginals(own), own, sizes)[0]
+
+    @staticmethod
+    def _means(p: np.ndarray, own: list[np.ndarray], sizes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        lengths = np.array([len(x) for x in own])
         starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
         size = np.concatenate(sizes)
-        return np.add.reduceat(p * size, starts) / np.add.reduceat(size, starts)
+        return np.add.reduceat(p * size, starts) / np.add.reduceat(size, starts), lengths, np.add.reduceat((p < 0.5).astype(np.int64), starts)
+
+    def judge(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(score from 0 to 1, lines, bad lines) of each text; as many texts are held as matrices at a time as have
+        ``TOGETHER`` texts or ``TOGETHER_LINES`` lines."""
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        own: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
+        lines = 0
+        for i, text in enumerate(texts):
+            features, size = line_features(text)
+            own.append(features)
+            sizes.append(size)
+            lines += len(features)
+            if len(own) == TOGETHER or lines >= TOGETHER_LINES or i == len(texts) - 1:
+                mean, n, bad = self._means(self.line_marginals(own), own, sizes)
+                parts.append((self.scaled(mean), n, bad))
+                own, sizes, lines = [], [], 0
+        return tuple(np.concatenate(column) for column in zip(*parts, strict=True))
 
     def score(self, texts: list[str | None]) -> np.ndarray:
-        """Quality from 0 to 1 of each text; some hundred texts are held as matrices at a time."""
-        scores = [np.zeros(0)]
-        for at in range(0, len(texts), TOGETHER):
-            own, sizes = zip(*map(line_features, texts[at : at + TOGETHER]), strict=True)
-            scores.append(self.scaled(self.mean_marginals(list(own), list(sizes))))
-        return np.concatenate(scores)
+        """Quality from 0 to 1 of each text."""
+        return self.judge(texts)[0]
 
     def scaled(self, mean: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * logit(mean) + self.shift, -500, 500)))
@@ -164,30 +193,58 @@ def _climb(start: np.ndarray, slope_of, rounds: int, rate: float) -> np.ndarray:
     return at
 
 
+def spliced(own: list[np.ndarray], labels: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The documents, and beside them good ones with a run of lines of a bad one inside: (features, labels of lines).
+
+    So the model sees where good and bad lines meet. A line of a document with label 1 is good (1); one that comes from a document with
+    label 0 is hidden (-1).
+    """
+    draw = np.random.default_rng(SEED)
+    good, bad = np.flatnonzero(labels == 1), np.flatnonzero(labels == 0)
+    rows, marks = list(own), [np.full(len(x), 1 if y else -1) for x, y in zip(own, labels, strict=True)]
+    for i in draw.permutation(good)[: int(len(good) * SPLICED)]:
+        other = own[draw.choice(bad)]
+        length = int(draw.integers(1, min(len(other), 8) + 1))
+        start, at = int(draw.integers(0, len(other) - length + 1)), int(draw.integers(0, len(own[i]) + 1))
+        rows.append(np.concatenate([own[i][:at], other[start : start + length], own[i][at:]]))
+        marks.append(np.concatenate([np.full(at, 1), np.full(length, -1), np.full(len(own[i]) - at, 1)]))
+    return rows, marks
+
+
 def fit(own: list[np.ndarray], sizes: list[np.ndarray], labels: np.ndarray, penalty: float = 2.0) -> Model:
-    """Maximum likelihood with an L2 penalty; every line of a document carries the document's label.
+    """Maximum likelihood with an L2 penalty over hidden line labels.
 
-    Without documents of both labels the score is the share of label 1 for every text, 0.5 without any document.
+    Lines of good documents are good. Lines of bad ones are hidden: their labels are expected under the model itself (EM),
+    with one multiplier per chain that rises until at least ``BAD_SHARE`` of its hidden lines are bad. Each step climbs
+    the difference between the expectations with and without that knowledge. Without documents of both labels the score
+    is the share of label 1 for every text, 0.5 without any document.
     """
     plain = Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES), np.zeros((2, 2)), 0.0, 0.0)
     if len(set(labels.tolist())) < 2:
         plain.shift = 0.0 if not len(labels) else float(logit(np.array([labels.mean()]))[0])
         return plain
-    lengths = np.array([len(x) for x in own])
+    rows, marks = spliced(own, labels)
+    lengths = np.array([len(x) for x in rows])
     chains = Chains(lengths)
-    x = np.concatenate([with_neighbours(o) for o in own])
+    x = np.concatenate([with_neighbours(o) for o in rows])
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-3
     mean[-1], scale[-1] = 0, 1
     x = ((x - mean) / scale)[chains.source]
-    y = np.repeat(labels, lengths)[chains.source].astype(float)
+    chain = np.repeat(np.arange(len(rows)), lengths)[chains.source]
+    hidden = np.concatenate(marks)[chains.source] < 0
+    n_hidden = np.bincount(chain, hidden, len(rows))
     share = labels.mean()
-    stay = np.diag([((lengths - 1) * (labels == k)).sum() for k in (0, 1)]).astype(float)
-    n = len(labels)
+    n = len(rows)
+    tilt = np.zeros(n)  # the multipliers
 
     def slope_of(at: np.ndarray) -> np.ndarray:
         w, move = at[:N_FEATURES], at[N_FEATURES:].reshape(2, 2)
-        p, moves, _ = chains.marginals(x @ w, move)
-        return np.concatenate([x.T @ (y - p), (stay - moves).ravel()]) / n - penalty * at / n
+        good = x @ w
+        p, moves, _ = chains.marginals(good, move)
+        q, known_moves, _ = chains.marginals(np.where(hidden, good - tilt[chain], CERTAIN), move)
+        lack = BAD_SHARE - np.bincount(chain, (1 - q) * hidden, n) / np.maximum(n_hidden, 1)
+        tilt[:] = np.clip(tilt + lack * (n_hidden > 0), 0, CERTAIN)
+        return np.concatenate([x.T @ (q - p), (known_moves - moves).ravel()]) / n - penalty * at / n
 
     at = _climb(np.zeros(N_FEATURES + 4), slope_of, 150, 0.1)
     model = Model(mean, scale, at[:N_FEATURES], at[N_FEATURES:].reshape(2, 2), 1.0, 0.0)
@@ -238,30 +295,40 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sa
 
 
 def with_scores(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """(row, score) per row of ``docs``: all its columns as a struct, and the score from 0 to 1.
+    """(row, score, n_lines, n_bad_lines) per row of ``docs``: all its columns as a struct, the score from 0 to 1, the
+    lines with a word, and those of them that are likelier bad.
 
     NULL, empty and blank texts are one empty line. Texts are scored whole; nothing but the text is looked at.
     """
     packed = docs.select(whole_row(docs).alias("row"))
-    schema = T.StructType([packed.schema["row"], T.StructField("score", T.DoubleType())])
+    counts = [T.StructField(c, T.LongType()) for c in ("n_lines", "n_bad_lines")]
+    schema = T.StructType([packed.schema["row"], T.StructField("score", T.DoubleType()), *counts])
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(0).field(place)
-            scores = [model.score(texts.slice(at, TOGETHER).to_pylist()) for at in range(0, len(texts), TOGETHER)]
-            joined = pa.array(np.concatenate([np.zeros(0), *scores]), pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), joined], names=["row", "score"])
+            found = [model.judge(texts.slice(at, TOGETHER).to_pylist()) for at in range(0, len(texts), TOGETHER)]
+            found = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0)] * 3
+            kinds = (pa.float64(), pa.int64(), pa.int64())
+            columns = [pa.array(c, kind) for c, kind in zip(found, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=schema.names)
 
     return packed.mapInArrow(run, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per document: doc_id, held_out, score and predicted (1 from a score of 0.3 on); a NULL id is not held out."""
+    """Per document: doc_id, held_out, score, predicted (1 from a score of 0.3 on), n_lines and n_bad_lines; a NULL id is
+    not held out."""
     scored = with_scores(docs.select("doc_id", "text"), train(docs, labels))
     key = F.col("row.doc_id")
     return scored.select(
-        key.alias("doc_id"), held_out(key).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
+        key.alias("doc_id"),
+        held_out(key).alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+        "n_lines",
+        "n_bad_lines",
     )
 
 
