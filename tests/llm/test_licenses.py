@@ -1,5 +1,7 @@
 import math
+import random
 import re
+import textwrap
 from collections import Counter
 
 import pytest
@@ -7,9 +9,9 @@ from pyspark.sql import functions as F
 
 from tunehouse.llm import licenses as L
 
-APACHE, MIT = L.TEMPLATES[0][1], L.TEMPLATES[3][1]
+APACHE, MIT, GRANT = L.TEMPLATES[0][1], L.TEMPLATES[2][1], L.TEMPLATES[3][1]
 FILES = [
-    (1, "a/LICENSE", L.TEMPLATES[4][1] + "\n\nTHE SOFTWARE IS PROVIDED AS IS. " + "filler words " * 30),
+    (1, "a/LICENSE", GRANT + "\n\nTHE SOFTWARE IS PROVIDED AS IS. " + "filler words " * 30),
     (2, "a/x.py", "code only"),
     (3, "a/b/c/y.py", None),
     (4, "a/b/COPYING", APACHE),
@@ -76,8 +78,9 @@ def test_origins(scanned):
 def test_scores_equal_dictionaries(scanned):
     texts = [f[2] for f in FILES]
     by_key = {r["key"]: r for r in scanned if r["origin"] in ("header", "file")}
-    for key, segment in ((4, APACHE), (5, f"# {MIT}"), (14, "/* SPDX-License-Identifier: MIT */"), (8, MIT)):
+    for key, segment in ((4, APACHE), (5, f"# {MIT}"), (8, MIT)):
         assert by_key[key]["score"] == pytest.approx(max(plain_scores(texts, segment).values()), abs=2e-6)
+    assert by_key[14]["score"] == 1
 
 
 def test_variants_are_told_apart(spark):
@@ -166,6 +169,68 @@ def test_wrapped_headers(spark):
     assert all(got[i] == (None, None) for i in range(len(want), len(rows)))
 
 
+GPL2_HEADER = """This program is free software; you can redistribute it and/or
+modify it under the terms of the GNU General Public License
+as published by the Free Software Foundation; either version 2
+of the License, or (at your option) any later version."""
+
+
+def scan(spark, rows):
+    return {r["key"]: r for r in L.license_scan(spark.createDataFrame(rows, "key int, path string, text string")).collect()}
+
+
+def test_only_licence_files_are_inherited_from(spark):
+    """A source file that is nothing but a notice is no licence file; versions are told apart."""
+    rows = [
+        (0, "f/n.js", "/* SPDX-License-Identifier: (MIT OR Apache-2.0) */"),
+        (1, "f/go.go", "package main"),
+        (2, "g/a.c", commented(GPL2_HEADER, "/*", " *", " */")),
+        (3, "g/b.c", "int x;"),
+        (4, "h/a.c", commented(GPL3_HEADER, "/*", " *", " */")),
+        (5, "h/c.c", commented(GPL2_HEADER.replace("version 2", "version 3"), "", "//", "")),
+    ]
+    got = scan(spark, rows)
+    assert (got[0]["license"], got[0]["origin"], got[0]["score"]) == ("MIT OR Apache-2.0", "header", 1)
+    assert got[1]["origin"] is None and got[3]["origin"] is None
+    assert (got[2]["license"], got[2]["origin"]) == ("GPL-2.0", "header")
+    assert (got[4]["license"], got[4]["origin"]) == ("GPL-3.0", "header") and got[5]["license"] == "GPL-3.0"
+
+
+TAGS = {
+    "// SPDX-License-Identifier: LGPL-2.1-only": "LGPL-2.1",
+    "# SPDX-License-Identifier: BSD-3-Clause": "BSD-3-Clause",
+    "/* SPDX-License-Identifier: GPL-2.0+ */": "GPL-2.0",
+    "<!-- SPDX-License-Identifier: GPL-3.0-or-later -->": "GPL-3.0",
+    ";; spdx-license-identifier: GPL-2.0-only WITH Classpath-exception-2.0": "GPL-2.0-only WITH Classpath-exception-2.0",
+    "SPDX-License-Identifier: (MIT AND ISC) OR Zlib": "(MIT AND ISC) OR Zlib",
+    "SPDX-License-Identifier:": None,
+    "SPDX-License-Identifier: \nMIT": None,
+}
+
+
+def test_spdx_tags(spark):
+    got = scan(spark, [(i, f"d{i}/x", f"{t}\ncode") for i, t in enumerate(TAGS)])
+    assert [got[i]["license"] for i in range(len(TAGS))] == list(TAGS.values())
+
+
+def test_headers_wrapped_at_any_width_are_found(spark):
+    """The recall of windows: every long notice, wrapped at random widths in comments amid code."""
+    rng = random.Random(4)
+    rows, want = [], []
+    for license, text in L.TEMPLATES:
+        if len(re.findall(L.WORD, text.lower())) < L.LONG:
+            continue
+        for _ in range(12):
+            mark = rng.choice(["# ", "// ", " * ", "-- ", "% ", ";; ", ""])
+            lines = textwrap.wrap("Copyright 2020 A. Author. " + text + " See the file for more.", rng.randint(24, 100))
+            rows.append((len(rows), f"d{len(rows)}/x.c", "x = 1\n" + "\n".join(mark + x for x in lines) + CODE))
+            want.append(license)
+    got = scan(spark, rows)
+    right = sum(got[i]["license"] == k for i, k in enumerate(want))
+    assert right / len(want) >= 0.9, right / len(want)
+    print(f"recall of wrapped headers {right / len(want):.3f} of {len(want)}")
+
+
 def test_whole_licences(spark):
     """A document that is a complete licence is a licence file whatever its name, and its directory inherits."""
     rows, want = [], []

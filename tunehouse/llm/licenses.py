@@ -13,30 +13,34 @@ from pyspark.sql import functions as F
 from tunehouse.llm.common import landed
 
 THRESHOLD = 0.8
-WORD = r"[a-z0-9]+(?:\.[0-9]+)*"
+WORD = r"[a-z0-9]++(?:\.[0-9]++)*+"  # possessive: else a call deeper for every repeat, or each length tried anew
 SIGNAL = r"(?i)licen[cs]e|copyright|warrant|redistribut|permission|public domain|rights reserved"
 BREAK = r"\n|(?<=[.!?])[ \t]+"  # between sentences; a line break ends one too
 PARAGRAPH = r"\n[ \t]*\n"
 # what marks a line as a comment, at its start or end
-MARK = r"""(?m)^[ \t]*(?://+!?|/?\*+!?(?!/)|\*+/|#+|;+|--+|%+|<!--|\"\"\"|'''|(?:@?rem|@?REM|Rem|dnl)\b)?[ \t]*|[ \t]*(?:\*+/|-->)?[ \t]*$"""
+MARK = r"""(?m)^[ \t]*+(?://+!?|/?\*+!?(?!/)|\*+/|#+|;+|--+|%+|<!--|\"\"\"|'''|(?:@?rem|@?REM|Rem|dnl)\b)?[ \t]*+|(?:(?<![ \t])[ \t]++(?:\*++/|-->)?+|(?<!\*)\*++/|-->)[ \t]*+$"""
 SIGNAL_WORD = r"licen[cs]e|copyright|warrant|redistribut|permission|domain|reserved"
 LONG = 12  # words from which a template is looked for in windows of its length
 LINES = (2, 3, 4)  # lines over which a shorter one may be wrapped
 LICENSE_FILE = r"(?i)^(un)?(licen[cs]e|copying|notice)([.-][^/]*)?$"
+# an SPDX tag's expression, up to the end of the line or comment
+SPDX_TAG = r"(?i)SPDX-License-Identifier:[ \t]*+([a-z0-9.+:() -]++)"
 ROW = "__row"
 
 # fixed values: the wording of common notices, by SPDX identifier
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0'),
-    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
     ("MIT", "Released under the MIT License."),
     ("MIT", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction'),
-    ("MIT", "SPDX-License-Identifier: MIT"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
-    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-or-later"),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3."),
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
@@ -60,6 +64,15 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
+def spdx_expression(text: Column) -> Column:
+    """What the first SPDX tag of a text says: an identifier without "-only", "-or-later" or "+", or an expression of
+    several as it stands, without brackets around the whole; NULL where there is none."""
+    said = F.regexp_replace(F.trim(F.regexp_extract(text, SPDX_TAG, 1)), r"[ -]++$", "")
+    bare = F.when(said.rlike(r"^\([^()]*\)$"), F.trim(F.substring(said, F.lit(2), F.length(said) - 2))).otherwise(said)
+    single = F.regexp_replace(bare, r"(?i)(?:-only|-or-later|\+)$", "")
+    return F.when(bare.rlike(r"^[A-Za-z0-9.+-]+$"), single).when(bare != "", bare)
+
+
 def template_words(docs: DataFrame) -> DataFrame:
     """(template, license, full, term, tf) of the notices and, as full ones, of the whole licences."""
     every = [(k, False, t) for k, t in TEMPLATES] + [(k, True, t) for k, t in WHOLE_TEXTS]
@@ -112,11 +125,10 @@ def windows(text: Column) -> Column:
         def of_length(n: int, templates: list[list[str]]) -> Column:
             heads = [" ".join(t[:2]) for t in templates]
 
-            def near(p: Column) -> Column:
-                head = lambda i: F.concat_ws(" ", F.get(tokens, i), F.get(tokens, i + 1)).isin(heads)
-                return F.filter(F.sequence(F.greatest(p - (n - 1), F.lit(0)), p), lambda i: (i % (n // 8 or 1) == 0) | head(i))
-
-            starts = F.array_distinct(F.flatten(F.transform(signals, near)))
+            near = lambda p: F.sequence(F.greatest(p - (n - 1), F.lit(0)), p)
+            head = lambda i: F.concat_ws(" ", F.get(tokens, i), F.get(tokens, i + 1)).isin(heads)
+            places = F.array_distinct(F.flatten(F.transform(signals, near)))
+            starts = F.filter(places, lambda i: (i % (n // 8 or 1) == 0) | head(i))
             runs = F.filter(F.transform(starts, lambda i: F.slice(tokens, i + 1, F.lit(n))), lambda run: alike(run, templates))
             return F.transform(runs, lambda run: F.array_join(run, " "))
 
@@ -167,11 +179,13 @@ def segments(text: Column) -> Column:
 def best_templates(candidates: DataFrame, idf: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(row, whole, license, score) for every row's notices, and for its whole text, that reach the threshold.
 
-    Whole texts are compared with whole licences as well as with notices; of words in no notice all weigh idf_other.
+    Whole texts are compared with whole licences only, their parts with notices; words in no notice all weigh idf_other.
     Vectors are sparse: a row per segment and word. Weights and templates are broadcast; both are bounded by the list of templates.
     """
     segment = [ROW, "whole", "place"]
-    cut = candidates.select(ROW, F.posexplode(segments(F.col("text"))).alias("place", "s"))
+    # few texts, but many rows of each: the number of tasks is not left to their size
+    dealt = candidates.select(ROW, "text").repartition(int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions")), ROW)
+    cut = dealt.select(ROW, F.posexplode(segments(F.col("text"))).alias("place", "s"))
     tokens = cut.select(ROW, "s.whole", "place", F.explode(words(F.col("s.text"))).alias("term"))
     # dealt by segment once: counts, norms and products all follow that
     tf = tokens.repartition(*segment).groupBy(*segment, "term").agg(F.count("*").alias("tf"))
@@ -184,7 +198,7 @@ def best_templates(candidates: DataFrame, idf: DataFrame, threshold: float = THR
     # one row per segment and word; the products with all templates are kept beside it, so norms and products need one shuffle
     paired = weighed.join(F.broadcast(scaled), "term", "left")
     norm = paired.groupBy(*segment).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    hits = paired.select(*segment, "w", F.explode(F.filter("in", lambda t: ~t["full"] | F.col("whole"))).alias("t")).groupBy(*segment, "t.template", "t.license").agg(F.sum(F.col("w") * F.col("t.tw")).alias("dot"))
+    hits = paired.select(*segment, "w", F.explode(F.filter("in", lambda t: t["full"] == F.col("whole"))).alias("t")).groupBy(*segment, "t.template", "t.license").agg(F.sum(F.col("w") * F.col("t.tw")).alias("dot"))
     score = hits.join(norm, segment).select(ROW, "whole", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score"))
     reached = score.where(F.col("score") >= threshold)
     # of equal scores the licence that comes first by name
@@ -208,9 +222,10 @@ def license_scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Per row of ``files`` (key, path, text): key, path, license, score, origin, inherited_from.
 
     origin: "header" for a notice anywhere in the text (its first and last line alike), "file" for a licence file
-    (by its name, or by its whole text), "inherited" where the file has none and the nearest directory above it,
+    (a licence's whole text, or a notice in a file of such a name), "inherited" where the file has none and the nearest directory above it,
     its own first, has a licence file; NULL with a NULL license where there is none. Of several licence files in
     a directory the one of the highest score counts, of equal ones the smallest licence name. Scores are rounded to 6 decimals.
+    An SPDX tag says its licence itself, with a score of 1, and goes before notices.
     Texts are read whole; NULL and blank texts and NULL paths have no notice (a NULL path inherits from the top
     directory). Rows are told apart by a number, so repeated rows and NULL keys each give a row; other columns are not read.
     """
@@ -218,13 +233,20 @@ def license_scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     idf = landed(inverse_frequencies(slim), "license-idf")[0]
     # one pass: the text stays with the rows that may have a notice
     text = F.when(F.col("text").rlike(SIGNAL), F.col("text"))
-    every = landed(slim.select("key", "path", text.alias("text"), F.monotonically_increasing_id().alias(ROW)), "license-files")[0]
+    tag = spdx_expression(F.col("text"))
+    every = landed(slim.select("key", "path", text.alias("text"), tag.alias("spdx"), F.monotonically_increasing_id().alias(ROW)), "license-files")[0]
     marked = every.where("text is not null")
     best = landed(best_templates(marked, idf, threshold), "license-matches")[0]
     whole = best.where("whole").select(ROW, F.col("license").alias("whole_license"), F.col("score").alias("whole_score"))
     part = best.where("not whole").select(ROW, "license", "score")
     name = F.regexp_extract("path", "[^/]*$", 0)
-    judged = marked.drop("text").join(whole, ROW, "left").join(part, ROW, "left")
+    judged = marked.drop("text").join(whole, ROW, "left").join(part.withColumnRenamed("license", "noticed"), ROW, "left")
+    judged = judged.withColumns(
+        {
+            "license": F.coalesce("spdx", "noticed"),
+            "score": F.when(F.col("spdx").isNotNull(), F.lit(1.0)).otherwise(F.col("score")),
+        }
+    )
     is_file = F.col("whole_license").isNotNull() | (name.rlike(LICENSE_FILE) & F.col("license").isNotNull())
     own = landed(
         judged.select(
@@ -270,16 +292,23 @@ def _sql_text(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+_TEXTS = Path(__file__).resolve().parent / "license_texts"
+_SQL_WORD = r"[a-z0-9]+(?:\.[0-9]+)*"
+
 #: DuckDB, over the documents as files
 LICENSE_SQL = rf"""
 with tpl(template, license, text) as (values {", ".join(f"({i}, {_sql_text(k)}, {_sql_text(t)})" for i, (k, t) in enumerate(TEMPLATES))}),
+full_tpl as (select 1000 + row_number() over (order by filename) as template,
+                    regexp_extract(filename, '([^/]*)\.txt$', 1) as license, content as text from read_text('{_TEXTS}/*.txt')),
 tw as (select template, license, term, count(*) as tf
-       from (select template, license, unnest(regexp_extract_all(lower(text), '{WORD}')) as term from tpl) group by all),
+       from (select template, license, unnest(regexp_extract_all(lower(text), '{_SQL_WORD}')) as term from tpl) group by all),
+fw as (select template, license, term, count(*) as tf
+       from (select template, license, unnest(regexp_extract_all(lower(text), '{_SQL_WORD}')) as term from full_tpl) group by all),
 d as (select row_number() over () as r, doc_id, text as t,
              concat_ws('/', coalesce(source, 'none'), coalesce((doc_id // 1000)::varchar, 'none'),
                        coalesce((doc_id // 100)::varchar, 'none'), coalesce(doc_id::varchar, 'none') || '.txt') as path from documents),
 n as (select 1.0 + count(*) as n from d),
-df as (select term, count(*) as df from (select distinct r, unnest(regexp_extract_all(lower(coalesce(t, '')), '{WORD}')) as term from d)
+df as (select term, count(*) as df from (select distinct r, unnest(regexp_extract_all(lower(coalesce(t, '')), '{_SQL_WORD}')) as term from d)
        where term in (select term from tw) group by term),
 idf as (select term, ln(n / (coalesce(df, 0) + 1)) + 1 as idf from (select distinct term from tw) left join df using (term), n),
 c as (select r, t from d where regexp_matches(t, '{SIGNAL}')),
@@ -288,18 +317,27 @@ g as (select r, false as whole, unnest(list_distinct(list_filter(list_concat(
           string_split_regex(t, '{PARAGRAPH}')), lambda x: regexp_matches(x, '{SIGNAL}')))) as s from c
       union all select r, true, t from c),
 q as (select row_number() over () as seg, * from g),
-tf as (select seg, term, count(*) as tf from (select seg, unnest(regexp_extract_all(lower(s), '{WORD}')) as term from q) group by all),
+tf as (select seg, term, count(*) as tf from (select seg, unnest(regexp_extract_all(lower(s), '{_SQL_WORD}')) as term from q) group by all),
 w as (select seg, term, tf * coalesce(idf, ln(n) + 1) as w from tf left join idf using (term), n),
 norm as (select seg, sqrt(sum(w * w)) as norm from w group by seg),
-tv as (select template, license, term, tf * idf as tw, sqrt(sum(tf * idf * tf * idf) over (partition by template)) as tn
-       from tw join idf using (term)),
+tv as (select template, license, term, tf * idf as tw, sqrt(sum(tf * idf * tf * idf) over (partition by template)) as tn, false as whole
+       from tw join idf using (term)
+       union all
+       select template, license, term, tf * coalesce(idf, ln(n) + 1) as tw,
+              sqrt(sum(tf * coalesce(idf, ln(n) + 1) * tf * coalesce(idf, ln(n) + 1)) over (partition by template)) as tn, true
+       from fw left join idf using (term), n),
 dot as (select seg, license, round(sum(w * tw / tn) / any_value(norm), 6) as score
-        from w join tv using (term) join norm using (seg) group by seg, template, license),
+        from w join q using (seg) join tv on tv.term = w.term and tv.whole = q.whole join norm using (seg) group by seg, template, license),
 hit as (select r, whole, license, score from dot join q using (seg) where score >= {THRESHOLD}),
 best as (select *, row_number() over (partition by r, whole order by score desc, license) as k from hit),
-own as (select d.r, doc_id, path, coalesce(a.license, b.license) as license, coalesce(a.score, b.score) as score,
-               case when a.license is not null then 'file' when b.license is not null then 'header' end as origin
-        from d left join best a on a.r = d.r and a.whole and a.k = 1 left join best b on b.r = d.r and not b.whole and b.k = 1),
+tag as (select r, regexp_replace(trim(regexp_extract(t, '(?i)SPDX-License-Identifier:[ \t]*([a-z0-9.+:() -]+)', 1)), '[ -]+$', '') as said from c),
+bare as (select r, case when regexp_matches(said, '^\([^()]*\)$') then trim(said[2:-2]) else said end as said from tag),
+spdx as (select r, case when regexp_matches(said, '^[A-Za-z0-9.+-]+$') then regexp_replace(said, '(?i)(-only|-or-later|\+)$', '') else said end as said
+         from bare where said <> ''),
+own as (select d.r, doc_id, path, coalesce(a.license, spdx.said, b.license) as license,
+               coalesce(a.score, case when spdx.said is not null then 1.0 end, b.score) as score,
+               case when a.license is not null then 'file' when spdx.said is not null or b.license is not null then 'header' end as origin
+        from d left join spdx on spdx.r = d.r left join best a on a.r = d.r and a.whole and a.k = 1 left join best b on b.r = d.r and not b.whole and b.k = 1),
 shelf as (select regexp_replace(path, '/[^/]*$', '') as above, license, score,
                  row_number() over (partition by regexp_replace(path, '/[^/]*$', '') order by score desc, license) as k
           from own where origin = 'file'),
