@@ -83,3 +83,12 @@ def test_junk_fails_and_prose_passes(spark, con):
 def test_bits_are_unique():
     bits = [b for b, _ in R.RULES.values()]
     assert len(set(bits)) == len(bits)
+
+
+def test_rows_know_what_leaving_their_rule_out_brings_back(ledger):
+    rows = R.with_ablations(R.judged(ledger), ledger).collect()
+    mask = R.mask(R.CURRENT)
+    single = Counter(r["fail_bits"] & mask for r in rows if (r["fail_bits"] & mask).bit_count() == 1)
+    assert len(rows) == ledger.count() and single
+    for r in rows:
+        assert r["n_only"] == single.get(r["fail_bits"] & mask)

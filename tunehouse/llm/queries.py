@@ -61,9 +61,10 @@ def op3_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quality rules of all documents, judged by the current policy."""
-    ledger = rule_ledger.judged(rule_ledger.build_ledger(read(spark, sf_dir, "documents")))
-    return ledger.select("doc_id", *rule_ledger.MEASURES[:5], "base_failed", "kept")
+    """Quality rules of all documents in a stored ledger, judged by the current policy, with the rules' ablations."""
+    ledger = landed(rule_ledger.build_ledger(read(spark, sf_dir, "documents")), "rule-ledger")[0]
+    judged = rule_ledger.with_ablations(rule_ledger.judged(ledger), ledger)
+    return judged.select("doc_id", *rule_ledger.MEASURES[:5], "base_failed", "kept", "fail_bits", "n_only")
 
 
 ORACLES["op4_rule_ledger"] = rule_ledger.JUDGED_SQL
@@ -110,8 +111,8 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents with personal data replaced by surrogates."""
-    return pii.surrogate_texts(read(spark, sf_dir, "documents"))
+    """All documents with personal data replaced by surrogates, by the key of the session."""
+    return pii.surrogate_texts(read(spark, sf_dir, "documents"), pii.session_key(spark))
 
 
 @query

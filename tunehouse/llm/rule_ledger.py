@@ -109,7 +109,7 @@ def build_ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def ablations(ledger: DataFrame, policies: Mapping[str, tuple[str, ...]] = POLICIES) -> DataFrame:
-    """(policy, rule, n_docs, n_failing, n_only): documents the rule fails, and those that no other rule of the
+    """(policy, rule, bit, n_docs, n_failing, n_only): documents the rule fails, and those that no other rule of the
     policy would drop, so leaving the rule out brings exactly these back.
 
     The ledger is first summed up per bit pattern, at most 2^rules rows, within each task before the shuffle.
@@ -122,13 +122,21 @@ def ablations(ledger: DataFrame, policies: Mapping[str, tuple[str, ...]] = POLIC
     ]
     each = patterns.select("*", F.explode(F.array(*cases)).alias("c")).select("fail_bits", "n", "c.*")
     n = F.col("n")
-    return each.groupBy("policy", "rule").agg(
+    return each.groupBy("policy", "rule", "bit").agg(
         F.sum("n").alias("n_docs"),
         F.sum(F.when(F.expr("fail_bits & bit") != 0, n).otherwise(0)).alias("n_failing"),
         F.sum(F.when(F.expr("fail_bits & mask") == F.col("bit"), n).otherwise(0)).alias("n_only"),
     )
 
 
+def with_ablations(judged: DataFrame, ledger: DataFrame, policy: str = CURRENT) -> DataFrame:
+    """``judged`` with n_only: for a document that a single rule of the policy drops, how many documents that rule alone
+    drops, itself included, which are those that come back without the rule; NULL for the others."""
+    only = ablations(ledger, {policy: POLICIES[policy]}).select(F.col("bit").alias("__bit"), "n_only")
+    # one row per rule
+    return judged.join(F.broadcast(only), F.col("fail_bits").bitwiseAND(F.lit(mask(policy))) == F.col("__bit"), "left").drop("__bit")
+
+
 def rules_in_common(ledger: DataFrame, by: str, policy: str = CURRENT) -> DataFrame:
     """Per group: rules that fail for some rejected document, and rules that fail for all of them, as bits."""
     rejected = ledger.where(~passes(policy))
@@ -162,8 +170,12 @@ m as (select w.doc_id, len(ws) as n_words,
              length(t) - length(regexp_replace(t, '!', '', 'g')) as n_bangs,
              length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) as n_capitals
       from w left join p using (r))
-select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       not base_failed and 4 * n_symbols <= n_words and 4 * n_bangs <= n_words and 2 * n_capitals <= word_chars
-       and 100 * n_dup_lines <= 30 * n_lines and word_chars <= 15 * n_words and word_chars >= 2 * n_words as kept
-from (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from m)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_bits & 3 <> 0 as base_failed,
+       fail_bits = 0 as kept, fail_bits::bigint as fail_bits,
+       case when bit_count(fail_bits) = 1 then count(*) over (partition by fail_bits) end as n_only
+from (select *, case when n_words < 10 then 1 else 0 end + case when 100 * n_repeat_words > 20 * n_words then 2 else 0 end
+                + case when 4 * n_symbols > n_words then 4 else 0 end + case when 4 * n_bangs > n_words then 8 else 0 end
+                + case when 2 * n_capitals > word_chars then 16 else 0 end + case when 100 * n_dup_lines > 30 * n_lines then 32 else 0 end
+                + case when word_chars > 15 * n_words then 64 else 0 end + case when word_chars < 2 * n_words then 128 else 0 end as fail_bits
+      from m)
 """
