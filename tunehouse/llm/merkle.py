@@ -11,6 +11,7 @@ from tunehouse.llm.common import landed
 from tunehouse.operators.ranking import with_global_position
 
 ARITY = 2
+TOGETHER = 4  # levels that one plan hands paths down
 DIGEST = 32  # bytes; 64 characters in hex
 
 
@@ -105,6 +106,7 @@ def with_paths(levels: list[DataFrame], arity: int = ARITY) -> DataFrame:
     """The leaves with ``path``: the siblings on the way to the root, level by level, left to right, end to end.
 
     From the top down, each node adds its siblings to its parent's path, so the work is about twice that of the leaves alone.
+    Every few levels the paths are written, so that no plan joins more than ``TOGETHER`` levels.
     """
     path = None
     for number in range(len(levels) - 1, -1, -1):
@@ -117,6 +119,8 @@ def with_paths(levels: list[DataFrame], arity: int = ARITY) -> DataFrame:
             joined = level.withColumn("up", F.expr(f"idx div {arity}")).join(above, ["g", "up"], "left")
             here = joined.withColumn("path", F.concat(own, F.coalesce("rest", F.lit("").cast("binary")))).drop("up", "rest")
         path = here if number == 0 else here.select("g", "idx", "path")
+        if number and number % TOGETHER == 0:
+            path = landed(path, "paths")[0]
     return path.drop("slot", "left", "right")
 
 
