@@ -22,12 +22,14 @@ KINDS = (*BASE_KINDS, "jwt", "pem", "der", "ssh")  # spans of one start are list
 
 DOTTED = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]++(?:\.[A-Za-z0-9_-]*+){2,}+")
 HEADER = re.compile(r"e[wy][A-Za-z0-9_-]")  # an opening brace, and then a quote or white space
+JSON_KEY = re.compile(r'\{\s*+"[^"\\]*+(?:\\.[^"\\]*+)*+"\s*+:', re.DOTALL)  # how an object that is not empty begins
 PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,40})-----((?:[^-]|-(?!----))*+)-----END \1-----")
 PEM_HEADER = re.compile(r"([A-Za-z][A-Za-z0-9-]*):\s*(.*)")
-PEM_LINE = re.compile(r"""(?:[\s"'`#>*|;]|//(?=\s)|\+(?=\s|$))*([A-Za-z0-9+/=_\s-]*?)\s*(?:["'`][\s+,;.\\&)]*|\\)?""")
+PEM_LINE = re.compile(r"""(?:[\s"'`#>*|;]|//(?=\s)|\+(?=\s|$))*+([A-Za-z0-9+/=_\s-]*+)(?:["'`][\s+,;.\\&)]*|\\)?""")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 # a line break with the quotes or comment marks around it, and lines of base64 or hex between such breaks
-LINE_BREAK = re.compile(r"""(?:["'][ \t]*[+,.]?)?[ \t]*\\?[ \t]*\r?\n[ \t"'#>*|]*(?://[ \t]+|\+[ \t]*\r?\n[ \t"']*)?""")
+# (possessive, so that long runs of blanks are read once)
+LINE_BREAK = re.compile(r"""(?:["'][ \t]*+[+,.]?+)?+[ \t]*+\\?+[ \t]*+\r?\n[ \t"'#>*|]*+(?://[ \t]++|\+[ \t]*+\r?\n[ \t"']*+)?""")
 LEAST_LINE = 20
 WRAPPED = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{LEAST_LINE},}}+(?:{LINE_BREAK.pattern}[A-Za-z0-9+/_-]++)++={{0,2}}")
 DER_START = re.compile(r"M[A-P]|30")  # a sequence in base64 and in hex
@@ -143,19 +145,38 @@ def is_whole_ssh_key(data: bytes) -> bool:
     return is_ssh_key(data) and parts is not None and count > 0 and len(parts) == count + 1
 
 
-def is_signed_token(text: str) -> bool:
-    """Three base64url parts: a JSON header that names a signing algorithm, a JSON object, and a signature."""
-    head, body, signature = text.split(".")
-    raw = decoded(head) if head else None
-    claims = decoded(body) if body else None
-    if raw is None or claims is None or raw[:1] != b"{" or claims[:1] != b"{":
-        return False
+def json_object(text: bytes) -> dict | None:
+    """The object that a JSON text is; None if it is not one."""
     try:
-        header, payload = json.loads(raw), json.loads(claims)
+        found = json.loads(text)
     except (ValueError, RecursionError):
-        return False
-    known = isinstance(header, dict) and header.get("alg") in ALGORITHMS and isinstance(payload, dict)
-    return known and (bool(signature) or header["alg"] == "none")
+        return None
+    return found if isinstance(found, dict) else None
+
+
+def headers_at_end(part: str, places: list[int]) -> Iterator[tuple[int, dict]]:
+    """(place, header) for the places from which a part's rest is base64 of a JSON object that names a signing algorithm.
+
+    The part is decoded once for each of the four alignments, and a candidate is read only as far as its own closing brace.
+    """
+    scanned: dict[int, str] = {}
+    reader = json.JSONDecoder()
+    for place in places:
+        first = place % 4
+        if first not in scanned:
+            scanned[first] = (decoded(part[first:]) or b"").decode("latin-1")
+        text, at = scanned[first], (place - first) // 4 * 3
+        if not JSON_KEY.match(text, at):
+            continue
+        try:
+            _, stop = reader.raw_decode(text, at)
+        except (ValueError, RecursionError):
+            continue
+        if text[stop:].strip(" \t\r\n"):
+            continue
+        header = json_object(text[at:].encode("latin-1"))
+        if header and header.get("alg") in ALGORITHMS:
+            yield place, header
 
 
 def unescaped(text: str) -> str:
@@ -208,9 +229,11 @@ def signed_tokens(text: str) -> Iterator[tuple[str, int, int]]:
             starts.append(starts[-1] + len(part) + 1)
         i = 0
         while i + 2 < len(parts):
-            claims = HEADER.match(parts[i + 1])
-            heads = HEADER.finditer(parts[i]) if claims else ()
-            at = next((m.start() for m in heads if is_signed_token(".".join([parts[i][m.start() :], *parts[i + 1 : i + 3]]))), None)
+            at = None
+            if HEADER.match(parts[i + 1]) and json_object(decoded(parts[i + 1]) or b"") is not None:
+                places = [m.start() for m in HEADER.finditer(parts[i])]
+                signed = bool(parts[i + 2])
+                at = next((p for p, h in headers_at_end(parts[i], places) if signed or h["alg"] == "none"), None)
             if at is None:
                 i += 1
             else:
