@@ -1,0 +1,44 @@
+"""Long texts that try a pattern's patience: every repeated group a hundred thousand times, runs of one character."""
+
+N = 100_000
+
+
+def long_texts() -> dict[str, str]:
+    return {
+        "blanks": " " * (10 * N),
+        "breaks": "\n" * (10 * N),
+        "tabs": "x" + "\t" * (10 * N) + "y",
+        "digits": "7" * (10 * N),
+        "one letter": "a" * (10 * N),
+        "capitals": "A" * (2 * N),
+        "stars": "/" + "*" * (2 * N) + " license",
+        "quotes": "\"'" * N,
+        "labels of a domain": "mail a@" + "b." * N + "com now",
+        "one long label": "mail a@" + "b" * (2 * N) + ".com now",
+        "local part": "a." * N + "x@example.org",
+        "version numbers": "license 1" + ".1" * N,
+        "hyphened name": "Mr. John Smith" + "-Smith" * N,
+        "names": "Mary " * N,
+        "name parts": "Mr. " + "van der " * N + "Beethoven",
+        "initials": "John " + "Q. " * N + "Public",
+        "spaced digits": "+1 " + "555 " * N,
+        "account": "DE89 " + "3704 " * N,
+        "octets": "1." * N + "1",
+        "colons": "fe80" + ":1" * N,
+        "token headers": "eyA1" * N + ".eyJhIjoxfQ.c2ln",
+        "token parts": "eyJ." * N,
+        "nested headers": "eyJhIjp7" * (N // 4) + ".eyJhIjoxfQ.c2ln",
+        "word and blanks": "A" * 30 + " " * (2 * N) + "x",
+        "word, quote and blanks": "A" * 30 + '"' + " " * (2 * N) + "\\" + " " * N,
+        "words over lines": ("A" * 30 + "\n") * (N // 10),
+        "armour with blanks": "-----BEGIN RSA PRIVATE KEY-----\n" + " " * (2 * N) + "!\n-----END RSA PRIVATE KEY-----",
+        "armour openings": "-----BEGIN RSA PRIVATE KEY-----" * (N // 20),
+        "assignments": "password=" * N,
+        "comment marks": "// " * N + "license",
+        "blanks before licence": " " * N + "license" + " " * N + "x",
+        "licences": "license " * (N // 5),
+        "sentences": "Licensed under the MIT License. " * (N // 20),
+        "lines": "a b c\n" * N,
+        "unicode": "é日😀 " * N,
+        "brackets": "{[(" * N,
+    }
