@@ -21,10 +21,11 @@ END_ID = 1  # closes each document
 SHARD_TOKENS = 1 << 20  # a shard ends with the document that reaches this
 BLOCK_BITS = 1 << 15  # bits of a plane that are compressed, and so read, at a time
 MAGIC = b"TKWM0001"
-KNOWN_WORDS = 800_000  # words whose ids a worker remembers
+KNOWN_WORDS = 600_000  # words whose ids a worker remembers
 CHUNK_SLOTS = 1 << 22  # places for chunks between white space, half of which are used
 LONG_CHUNK = 64  # bytes from which a chunk is not remembered
-ENCODED_BYTES = 1 << 20  # bytes of text that are encoded at a time
+ENCODED_BYTES = 1 << 19  # bytes of text that are encoded at a time
+ROWS = 256  # texts that are unpacked at a time
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _SPACES = re.compile(rb"[\x20\x09-\x0D]")
@@ -443,19 +444,21 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         kind = None
         for batch in batches:
             kind = batch.column(0).type
-            texts = [t or b"" for t in batch.column(1).to_pylist()]
-            own = batch.column(0).to_pylist()
-            open_text: list[np.ndarray] = []
-            last = -1
-            for numbers, parts in in_pieces(texts, ENCODED_BYTES):
-                for row, found in zip(numbers, encode(parts), strict=True):
-                    if row != last and last >= 0:
-                        yield from close(own[last], open_text)
-                        open_text = []
-                    open_text.append(found)
-                    last = row
-            if last >= 0:
-                yield from close(own[last], open_text)
+            for at in range(0, batch.num_rows, ROWS):  # a batch is not unpacked at once
+                some = batch.slice(at, ROWS)
+                texts = [t or b"" for t in some.column(1).to_pylist()]
+                own = some.column(0).to_pylist()
+                open_text: list[np.ndarray] = []
+                last = -1
+                for numbers, parts in in_pieces(texts, ENCODED_BYTES):
+                    for row, found in zip(numbers, encode(parts), strict=True):
+                        if row != last and last >= 0:
+                            yield from close(own[last], open_text)
+                            open_text = []
+                        open_text.append(found)
+                        last = row
+                if last >= 0:
+                    yield from close(own[last], open_text)
         if keys:
             yield image()
 
