@@ -151,6 +151,24 @@ def test_no_rows_and_no_numbers(spark):
     assert B.distinct_counts(B.bitmap_states(frame, ["g"]), ["g"], "n").count() == 0
 
 
+def test_thin_numbers_make_short_states(spark):
+    # hardly any two rows of a group lie near each other
+    frame = spark.range(5000).selectExpr("id % 400 as g", "id % 7 as day", "id * 40009 + 1 as number")
+    states = B.bitmap_states(frame, ["g", "day"])
+    plan = states._jdf.queryExecution().executedPlan().toString() + B.merged(states, ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "Sort" not in plan
+    assert dict(states.dtypes)["bitmap"] == "bigint" and states.count() <= 5000
+    assert rows(B.distinct_counts(states, ["g"], "n")) == rows(frame.groupBy("g").agg(F.count_distinct("number")))
+
+
+def test_every_bit_of_a_bitmap_counts(spark):
+    numbers = [*range(1, 66), 128, 129, 32768, 32769, 2**31, 2**31 + 1, 2**40, 0, -1, -64, -65]
+    for made in (f"array({', '.join(f'{n}L' for n in numbers)})", "sequence(1, 64)"):
+        frame = spark.range(3).selectExpr(f"explode({made}) as number", "'g' as g")
+        want = rows(frame.groupBy("g").agg(F.count_distinct("number")))
+        assert rows(B.distinct_counts(B.bitmap_states(frame, ["g"]), ["g"], "n")) == want
+
+
 # ---- partitions
 
 

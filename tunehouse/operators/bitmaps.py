@@ -22,18 +22,21 @@ def with_new_numbers(known: DataFrame | None, keys: DataFrame) -> DataFrame:
 
 
 def bitmap_states(rows: DataFrame, group: list[str], number: str = "number") -> DataFrame:
-    """(group, bucket, bitmap): which numbers occur, 32,768 to a bitmap; combined within each task before the shuffle."""
-    bucket = F.bitmap_bucket_number(F.col(number)).alias("bucket")
-    return rows.where(F.col(number).isNotNull()).groupBy(*group, bucket).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(F.col(number))).alias("bitmap")
-    )
+    """(group, bucket, bitmap): which numbers occur, 64 to a BIGINT; combined within each task before the shuffle.
+
+    There are never more states than rows, however thinly the numbers lie in a group, and a state is as short as a row: it
+    is hashed in place, where a long binary bitmap would be sorted whole.
+    """
+    at = F.col(number).cast("bigint") - 1
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), at.bitwiseAND(F.lit(63)).cast("int"))
+    return rows.where(F.col(number).isNotNull()).groupBy(*group, F.shiftright(at, 6).alias("bucket")).agg(F.bit_or(bit).alias("bitmap"))
 
 
 def merged(states: DataFrame, group: list[str]) -> DataFrame:
     """States of fewer columns, or of several loads, as one per group and bucket."""
-    return states.groupBy(*group, "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+    return states.groupBy(*group, "bucket").agg(F.bit_or("bitmap").alias("bitmap"))
 
 
 def distinct_counts(states: DataFrame, group: list[str], name: str) -> DataFrame:
     """Distinct numbers per group over all states, without the rows they came from."""
-    return merged(states, group).groupBy(*group).agg(F.sum(F.bitmap_count("bitmap")).alias(name))
+    return merged(states, group).groupBy(*group).agg(F.sum(F.bit_count("bitmap")).alias(name))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tunehouse.operators.bitmaps import bitmap_states, distinct_counts, with_new_numbers
+from tunehouse.operators.bitmaps import bitmap_states, distinct_counts, merged, with_new_numbers
 from tunehouse.plans.customers import _sums, millionths, monthly_sales
 from tunehouse.session import land
 from tunehouse.sinks.manifests import announce, claim, loads, manifest, read_entry
@@ -37,6 +38,8 @@ class SalesStates:
         its old rows cannot be taken back. Only the names of new files come to the driver. Only new files are read.
         """
         spark, before = self.spark, self._entries()
+        if before and read_entry(spark, before["country_days"]).schema["bitmap"].dataType != T.LongType():
+            raise ValueError(f"{self.root} holds the longer bitmaps of earlier versions; build the states anew")
         based_on = (loads(spark, self.root) or [0])[-1]
         listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
         found = land(listing.load(folder).select("path", "length", "modificationTime"), "source-files")
@@ -87,7 +90,7 @@ class SalesStates:
                 sums = [F.sum(f.name).cast(f.dataType).alias(f.name) for f in state.schema.fields if f.name not in add_up[name]]
                 state = state.groupBy(*add_up[name]).agg(*sums)
             elif name == "country_days":
-                state = state.groupBy("day", "billingcountry", "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+                state = merged(state, ["day", "billingcountry"])
             path = f"{self.root}/{name}/load-{number:012d}"
             state.write.parquet(path)
             tables[name] = {**entry, "paths": [path]}
