@@ -62,6 +62,23 @@ def test_two_loads_equal_one_full_run(spark):
     assert states.add(source) == 0
 
 
+def test_loads_of_thinly_spread_customers_stay_short(spark):
+    # nearly every invoice has a day and country of its own
+    made = ["id as invoiceid", "id * 7919 % 3001 as customerid", "date_add(date'2020-01-01', cast(id % 500 as int)) as invoicedate",
+            "cast(id / 100 as decimal(10,2)) as total", "id / 100d as usd_price", "id / 25d as ils_price", "concat('C', id % 97) as billingcountry"]
+    frame = spark.range(2000).selectExpr(*made)
+    source, states = scratch_path(spark, "source"), SalesStates(spark, scratch_path(spark, "states"))
+    for part in ("invoiceid < 1200", "invoiceid >= 1200"):
+        frame.where(part).coalesce(2).write.mode("append").parquet(source)
+        states.add(source)
+    for _ in range(2):
+        kept_days = states._table("country_days")
+        assert kept_days.count() <= 2000
+        assert kept_days.agg(F.max(F.octet_length(F.col("bitmap").cast("string")))).first()[0] <= 20
+        assert kept(states) == full_run(frame)
+        states.compact()
+
+
 def test_months_are_counted_from_bitmaps(spark):
     frame = invoices(spark, 400, 2)
     source, states = scratch_path(spark, "source"), SalesStates(spark, scratch_path(spark, "states"))
