@@ -119,6 +119,19 @@ def test_a_changed_file_is_not_counted_again(spark):
     assert kept(states) == before
 
 
+def test_states_of_the_older_layout_stop_a_load(spark, monkeypatch):
+    source, states = scratch_path(spark, "source"), SalesStates(spark, scratch_path(spark, "states"))
+    invoices(spark, 30, 8).coalesce(1).write.parquet(source)
+    states.add(source)
+    before, entries = kept(states), states._entries()
+    next(f for f in entries["country_days"]["schema"]["fields"] if f["name"] == "bitmap")["type"] = "binary"
+    monkeypatch.setattr(SalesStates, "_entries", lambda self: entries)
+    with pytest.raises(ValueError, match="earlier versions"):
+        states.add(source)
+    monkeypatch.undo()
+    assert kept(states) == before
+
+
 def test_the_second_of_two_writers_fails(spark, monkeypatch):
     from tunehouse.plans import incremental as I
 
