@@ -79,6 +79,26 @@ def test_loads_of_thinly_spread_customers_stay_short(spark):
         states.compact()
 
 
+def longest_task(frame):
+    return frame.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+
+def test_a_file_that_one_task_reads_is_added_up_by_many(spark, monkeypatch):
+    from tunehouse.plans import incremental as I
+
+    monkeypatch.setattr(I, "ROWS_PER_TASK", 100, raising=False)
+    seen, numbers, bitmaps = [], I.with_new_numbers, I.bitmap_states
+    monkeypatch.setattr(I, "with_new_numbers", lambda known, keys: seen.append(longest_task(keys)) or numbers(known, keys))
+    monkeypatch.setattr(I, "bitmap_states", lambda frame, group: seen.append(longest_task(frame)) or bitmaps(frame, group))
+    frame = invoices(spark, 1200, 9)
+    source, states = scratch_path(spark, "source"), SalesStates(spark, scratch_path(spark, "states"))
+    for part in ("invoiceid < 800", "invoiceid >= 800"):
+        frame.where(part).coalesce(1).write.mode("append").parquet(source)
+        assert states.add(source) == 1
+    assert len(seen) == 4 and max(seen) < 200
+    assert kept(states) == full_run(frame)
+
+
 def test_months_are_counted_from_bitmaps(spark):
     frame = invoices(spark, 400, 2)
     source, states = scratch_path(spark, "source"), SalesStates(spark, scratch_path(spark, "states"))

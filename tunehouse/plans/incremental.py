@@ -14,6 +14,24 @@ from tunehouse.sinks.manifests import announce, claim, loads, manifest, read_ent
 #: What a source file holds of an invoice; more columns may be there.
 COLUMNS = ("customerid", "invoicedate", "total", "usd_price", "ils_price", "billingcountry")
 
+#: Rows that one task adds up at most before the shuffle: its states are nearly as many where customers come seldom.
+ROWS_PER_TASK = 1 << 19
+
+
+def in_short_tasks(rows: DataFrame, most: int) -> DataFrame:
+    """``rows`` dealt out evenly to tasks of about ``most`` rows, unless no task of the scan reads more.
+
+    A row group of a file is read by one task, however many rows it holds, and a split holds more of them as the files
+    grow. The rows are counted from the files' footers. They are dealt by their place, so a frequent key or repeated
+    rows are spread as well.
+    """
+    per_task = rows.groupBy(F.spark_partition_id().alias("_task")).count()
+    longest, total = per_task.agg(F.max("count"), F.sum("count")).first()
+    if not total or longest <= most:
+        return rows
+    placed = rows.withColumn("_place", F.monotonically_increasing_id())
+    return placed.repartition(-(-total // most), "_place").drop("_place")
+
 
 class SalesStates:
     """States below ``root``: per day, per day and customer, per day and country, each added to by every load.
@@ -56,16 +74,18 @@ class SalesStates:
         if not paths:
             return 0
         rows = spark.read.parquet(*paths).select(*COLUMNS).withColumn("day", F.col("invoicedate").cast("date"))
+        spread = in_short_tasks(rows, ROWS_PER_TASK)
         numbers = read_entry(spark, before["customers"]) if before else None
-        new_numbers = land(with_new_numbers(numbers, rows.select("customerid")), "customer-numbers")
+        new_numbers = land(with_new_numbers(numbers, spread.select("customerid")), "customer-numbers")
         every = new_numbers if numbers is None else numbers.unionByName(new_numbers)
-        numbered = rows.join(every, rows["customerid"] == every["key"], "left")
+        numbered = spread.join(every, spread["customerid"] == every["key"], "left")
         money = [F.sum(millionths(F.col(c))).alias(c) for c in ("usd_price", "ils_price")]
         states = {
             "files": fresh,
             "customers": new_numbers,
+            # few days, so few sums in a task of any length
             "days": rows.groupBy("day").agg(F.sum("total").cast("decimal(38,2)").alias("total"), F.count(F.lit(1)).alias("invoices"), *money),
-            "customer_days": rows.where("customerid is not null and day is not null").groupBy("day", "customerid").agg(F.count(F.lit(1)).alias("invoices")),
+            "customer_days": spread.where("customerid is not null and day is not null").groupBy("day", "customerid").agg(F.count(F.lit(1)).alias("invoices")),
             "country_days": bitmap_states(numbered, ["day", "billingcountry"]),
         }
         number = claim(spark, self.root)
