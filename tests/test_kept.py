@@ -99,6 +99,20 @@ def test_a_file_that_one_task_reads_is_added_up_by_many(spark, monkeypatch):
     assert kept(states) == full_run(frame)
 
 
+def test_rows_are_dealt_evenly_only_where_a_task_reads_many(spark):
+    from tunehouse.plans.incremental import in_short_tasks
+
+    path = scratch_path(spark, "one-row")
+    for made in ("1L as customerid", "cast(null as bigint) as customerid", "id as customerid"):
+        spark.range(5000).coalesce(1).selectExpr(made).write.mode("overwrite").parquet(path)
+        stored = spark.read.parquet(path)
+        assert in_short_tasks(stored, 5000) is stored
+        dealt = in_short_tasks(stored, 500)
+        assert dealt.columns == ["customerid"] and longest_task(dealt) < 750
+        assert rows(dealt) == rows(stored)
+    assert in_short_tasks(stored.where("false"), 500).count() == 0
+
+
 def test_months_are_counted_from_bitmaps(spark):
     frame = invoices(spark, 400, 2)
     source, states = scratch_path(spark, "source"), SalesStates(spark, scratch_path(spark, "states"))
